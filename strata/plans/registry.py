@@ -66,8 +66,8 @@ DUCK_TYPED = {
         FROM region_raw""", ("region_raw",)),
     "match_t": (f"""
         SELECT DISTINCT CAST(match_id AS BIGINT) AS match_id,
-               to_timestamp(start_time)::TIMESTAMP AS start_time,
-               CAST(to_timestamp(start_time)::TIMESTAMP AS DATE) AS match_date,
+               epoch_ms(CAST(start_time AS BIGINT) * 1000) AS start_time,
+               CAST(epoch_ms(CAST(start_time AS BIGINT) * 1000) AS DATE) AS match_date,
                CAST(duration AS INTEGER) AS duration_in_seconds,
                CAST(tower_status_radiant AS INTEGER) AS tower_status_radiant,
                CAST(tower_status_dire AS INTEGER) AS tower_status_dire,
@@ -261,3 +261,7 @@ def q_run_record_counts(spark, d):
     run = F.col("date_processed") == F.to_timestamp(F.lit(T.QUERY_RUN_TS))
     return dq.run_record_counts({"chat_data": _chat(spark, d), "match_data": _matches(spark, d),
                                  "cluster_regions_data": _regions(spark, d)}, run)
+
+
+# Domain A (music plays) and file/sink queries register themselves on import.
+from . import queries_music  # noqa: E402,F401
