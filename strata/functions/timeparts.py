@@ -58,3 +58,9 @@ def time_parts(ts: Column | str, convention: str = "spark") -> list[Column]:
         F.year(ts).alias("year"),
         weekday(ts, convention).alias("weekday"),
     ]
+
+
+def start_time_text(ts: Column | str, twelve_hour: bool = False) -> Column:
+    """Timestamp as 'yyyy-MM-dd HH:mm:ss' text.  ``twelve_hour=True`` reproduces a
+    'hh' pattern (21:01:46 -> 09:01:46, no am/pm marker -- ambiguous, off by default)."""
+    return F.date_format(_c(ts), "yyyy-MM-dd hh:mm:ss" if twelve_hour else "yyyy-MM-dd HH:mm:ss")

@@ -24,9 +24,10 @@ def orphan_check(source: DataFrame, target: DataFrame, source_key: str, target_k
                     .alias("status"))
 
 
-def run_record_counts(tables: Mapping[str, DataFrame], run_filter: Column) -> DataFrame:
-    """Rows loaded by this run, per table; ``ok`` is false for a table with none."""
-    parts = [df.filter(run_filter).agg(F.count(F.lit(1)).alias("rows"))
+def run_record_counts(tables: Mapping[str, DataFrame], run_filter: Column | str) -> DataFrame:
+    """Rows loaded by this run, per table; ``ok`` is false for a table with none.
+    ``run_filter`` is a Column or a SQL predicate string."""
+    parts = [df.where(run_filter).agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(name).alias("table_name"), F.col("rows")) for name, df in tables.items()]
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("ok", F.col("rows") > 0)

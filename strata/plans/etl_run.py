@@ -15,7 +15,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 from .. import schemas as SC
 from ..operators import dq
 from ..sinks import incremental_load, load_table, single_file_overwrite, write_parquet
-from ..sources.files import stage_json
+from ..sources.files import path_exists, stage_json
 from . import star as ST
 from . import toxicity as T
 
@@ -58,7 +58,8 @@ def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame,
                                                schema=CHAT_STORED)
     rep.loaded["cluster_regions_data"] = single_file_overwrite(T.region_typed(region_raw, run_ts), p["region"])
     rep.loaded["match_data"] = incremental_load(spark, T.match_typed(match_raw, run_ts), p["match"],
-                                                ["match_id"], ["match_date"], schema=SC.MATCH)
+                                                ["match_id"], ["match_date"], schema=SC.MATCH,
+                                                prune_by=["match_date"])
 
     chat_t = spark.read.schema(CHAT_STORED).parquet(p["chat"])
     match_t = spark.read.schema(SC.MATCH).parquet(p["match"])
@@ -74,9 +75,17 @@ def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame,
     # Both results are a handful of rows (one per table / per check).
     rep.checks = [r.asDict() for r in counts.collect()] + [r.asDict() for r in orphans.collect()]
 
-    summary = T.match_summary(chat_t, match_t, region_t)
+    # Matches already summarised keep their row (their chat cannot change: chat
+    # loads skip known matches), so only chat of not-yet-summarised matches is
+    # aggregated -- the work of a run grows with the new data, not the history.
+    todo_chat = chat_t
+    if path_exists(spark, p["summary"]):
+        done = spark.read.schema(SC.MATCH_SUMMARY).parquet(p["summary"]).select("match_id").distinct()
+        todo_chat = chat_t.join(done, "match_id", "left_anti")
+    summary = T.match_summary(todo_chat, match_t, region_t)
     rep.loaded["match_summary_data"] = incremental_load(spark, summary, p["summary"], ["match_id"],
-                                                        ["match_date"], schema=SC.MATCH_SUMMARY)
+                                                        ["match_date"], schema=SC.MATCH_SUMMARY,
+                                                        prune_by=["match_date"])
     if raise_on_fail and not rep.ok:
         raise DataQualityError(rep.checks)
     return rep
@@ -110,3 +119,32 @@ def run_star_etl(spark: SparkSession, log_template: str, songs: DataFrame, root:
     if raise_on_fail and not rep.ok:
         raise DataQualityError(rep.checks)
     return rep
+
+
+def lake_paths(root: str) -> dict[str, str]:
+    r = root.rstrip("/")
+    return {t: f"{r}/{t}" for t in ("songs", "artists", "users", "time", "songplays")}
+
+
+def run_lake_etl(spark: SparkSession, song_glob: str, log_glob: str, root: str) -> RunReport:
+    """Data-lake job: song and log JSON -> parquet star schema.
+
+    songs partitioned by (year, artist_id); time and songplays by (year,
+    month); every table overwritten per run.  The fact joins plays to the songs
+    just written (read back, so the partitioned layout is what is joined)."""
+    from ..sources.files import read_json
+    p = lake_paths(root)
+    rep = RunReport(paths=p)
+    songs_src = read_json(spark, song_glob, SC.SONG_JSON)
+    rep.loaded["songs"] = write_parquet(ST.songs_dim(songs_src, "none"), p["songs"], "overwrite",
+                                        ["year", "artist_id"])
+    rep.loaded["artists"] = write_parquet(ST.artists_dim(songs_src, "distinct"), p["artists"], "overwrite")
+    events = read_json(spark, log_glob, SC.EVENT_JSON)
+    rep.loaded["users"] = write_parquet(ST.users_dim(events, "none"), p["users"], "overwrite")
+    plays_ts = ST.plays(events).select(F.timestamp_millis("ts").alias("start_time"))
+    rep.loaded["time"] = write_parquet(ST.time_dim(plays_ts, convention="spark"), p["time"], "overwrite",
+                                       ["year", "month"])
+    songs = spark.read.schema(SC.SONGS).parquet(p["songs"])
+    rep.loaded["songplays"] = write_parquet(ST.songplays_lake(events, songs), p["songplays"], "overwrite",
+                                            ["year", "month"])
+    return rep

@@ -302,3 +302,72 @@ def q_null_violations(spark, d):
     """NOT NULL columns of the fact (unmatched plays have null song and artist)."""
     fact = ST.songplays_warehouse(V.staging_events(spark, d), V.staging_songs(spark, d))
     return dq.null_violations(fact, ["start_time", "user_id", "song_id", "artist_id"], "songplays")
+
+
+# ---- more sources and layouts ----------------------------------------------
+
+SONG_SQL = "SELECT * FROM staging_songs"
+
+
+def _write_song_json(spark, d, root: str) -> str:
+    """Song files two directory levels deep (like song_data/A/B/*.json)."""
+    songs = V.staging_songs_ordered(spark, d)
+    songs.withColumn("d1", F.col("artist_id")).withColumn("d2", F.col("year") % 3) \
+        .select(*SC.SONG_JSON.fieldNames(), "d1", "d2") \
+        .write.mode("overwrite").partitionBy("d1", "d2").json(f"{root}/song_data")
+    return f"{root}/song_data/*/*/*.json"
+
+
+@register("song_json_glob", duck(SONG_SQL, "staging_songs"))
+def q_song_json_glob(spark, d):
+    """A2: song JSON read through a two-level path glob under an explicit schema."""
+    root = S.shared_dir(spark, "songjson")
+    return FL.read_json(spark, _write_song_json(spark, d, root), SC.SONG_JSON)
+
+
+@register("etl_lake_run", duck("""
+    SELECT epoch_ms(e.ts) AS start_time, e.userId AS user_id, e.level, s.song_id, s.artist_id,
+           e.sessionId AS session_id, e.location, e.userAgent AS user_agent,
+           year(epoch_ms(e.ts)) AS year, month(epoch_ms(e.ts)) AS month
+    FROM plays e LEFT JOIN staging_songs s ON s.title = e.song AND s.duration = e.length""",
+    "plays", "staging_songs"))
+def q_etl_lake_run(spark, d):
+    """M1-M4 as the data-lake job (N5: fact partitioned by year, month); returns the stored fact."""
+    root = S.shared_dir(spark, "lakerun")
+    song_glob = _write_song_json(spark, d, root)
+    ev = V.staging_events(spark, d)
+    ev.withColumn("y", F.year(F.timestamp_millis("ts"))).withColumn("m", F.month(F.timestamp_millis("ts"))) \
+        .write.mode("overwrite").partitionBy("y", "m").json(f"{root}/log_data")
+    rep = R.run_lake_etl(spark, song_glob, f"{root}/log_data/*/*/*.json", root)
+    cols = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent",
+            "year", "month"]
+    return spark.read.parquet(rep.paths["songplays"]).select(*cols)
+
+
+@register("session_item_bucketed", duck("""
+    SELECT artist, song, length FROM (
+      SELECT artist, song, CAST(length AS FLOAT) AS length,
+             row_number() OVER (PARTITION BY sessionId, itemInSession ORDER BY ts DESC, event_id DESC) AS rn
+      FROM csv_rows WHERE sessionId = 9213 AND itemInSession = 4)
+    WHERE rn = 1""", "csv_rows"))
+def q_session_item_bucketed(spark, d):
+    """The (session, item) table stored bucketed by session and sorted by
+    item; a point lookup reads one bucket (bucket pruning), like a partition-key read."""
+    name = f"session_items_{uuid.uuid4().hex[:8]}"
+    K.bucketed_table(L.session_items(V.staging_events(spark, d)), name, S.shared_dir(spark, "si"),
+                     16, ["session_id"], ["item_in_session"])
+    return L.session_item_lookup(spark.table(name), 9213, 4)
+
+
+@register("songplays_whole_seconds", duck("""
+    SELECT md5(CAST(e.sessionId AS VARCHAR) || strftime(e.start_time, '%Y-%m-%d %H:%M:%S')) AS songplay_id,
+           e.start_time, e.userId AS user_id, e.level, s.song_id, s.artist_id,
+           e.sessionId AS session_id, e.location, e.userAgent AS user_agent
+    FROM (SELECT epoch_ms((ts // 1000) * 1000) AS start_time, * FROM plays) e
+    LEFT JOIN staging_songs s
+      ON e.song = s.title AND e.artist = s.artist_name
+     AND CAST(e.length AS DECIMAL(18,0)) = CAST(s.duration AS DECIMAL(18,0))
+    WHERE e.sessionId IS NOT NULL""", "plays", "staging_songs"))
+def q_songplays_whole_seconds(spark, d):
+    """Warehouse fact with durations compared as numeric(18,0) (whole seconds)."""
+    return ST.songplays_warehouse(V.staging_events(spark, d), V.staging_songs(spark, d), match_precision=0)

@@ -258,7 +258,7 @@ def q_orphans_match_chat(spark, d):
       WHERE date_processed = {RUN_TS_SQL}""", "chat_t", "match_t", "region_t"))
 def q_run_record_counts(spark, d):
     """L1: rows each table received in this run."""
-    run = F.col("date_processed") == F.to_timestamp(F.lit(T.QUERY_RUN_TS))
+    run = f"date_processed = TIMESTAMP '{T.QUERY_RUN_TS}'"  # SQL-string predicate, as the reference writes it
     return dq.run_record_counts({"chat_data": _chat(spark, d), "match_data": _matches(spark, d),
                                  "cluster_regions_data": _regions(spark, d)}, run)
 

@@ -83,15 +83,23 @@ def time_dim(start_times: DataFrame, ts_col: str = "start_time", convention: str
     return out.distinct() if dedup else out
 
 
-def songplays_warehouse(events: DataFrame, songs: DataFrame) -> DataFrame:
+def _scaled(c: str, precision: int | None):
+    """Duration as compared: exact double, or a decimal of ``precision`` places
+    (precision 0 reproduces a numeric(18,0) column, i.e. whole seconds)."""
+    return F.col(c) if precision is None else F.col(c).cast(f"decimal({18 + precision},{precision})")
+
+
+def songplays_warehouse(events: DataFrame, songs: DataFrame, match_precision: int | None = None) -> DataFrame:
     """Warehouse build: seconds-precision start time, md5(session || time) key,
-    left join on (title, artist name, duration), plays with a session id only."""
+    left join on (title, artist name, duration), plays with a session id only.
+    ``match_precision=0`` compares durations rounded to whole seconds (fan-out
+    possible when two songs of one artist and title round alike)."""
     ev = plays(events).filter(F.col("sessionId").isNotNull()) \
         .withColumn("start_time", epoch_ms_to_ts_seconds("ts"))
     s = songs.select(F.col("title").alias("__t"), F.col("artist_name").alias("__a"),
                      F.col("duration").alias("__d"), "song_id", "artist_id")
     j = ev.join(s, (F.col("song") == F.col("__t")) & (F.col("artist") == F.col("__a"))
-                & (F.col("length") == F.col("__d")), "left")
+                & (_scaled("length", match_precision) == _scaled("__d", match_precision)), "left")
     return j.select(
         md5_key("sessionId", "start_time").alias("songplay_id"),
         "start_time",

@@ -48,7 +48,8 @@ def _key_match(new: DataFrame, old: DataFrame, keys: Sequence[str], null_safe: b
 
 def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Sequence[str],
                      partition_by: Sequence[str] | None = None, *, schema: StructType | None = None,
-                     null_safe: bool = True, refresh: bool = False) -> int:
+                     null_safe: bool = True, refresh: bool = False,
+                     prune_by: Sequence[str] | None = None) -> int:
     """Idempotent incremental load: append only rows whose key is not in the
     target yet; create the target when absent.  Loading the same data twice
     equals loading it once.
@@ -57,6 +58,10 @@ def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Seq
     anti join re-appends null-key rows on every run).  ``refresh=True``
     instead overwrites the partitions the new rows touch (dynamic partition
     overwrite) -- for late rows of an already-loaded key.
+    ``prune_by`` names partition columns that the key determines (a match's
+    date, say): the existing keys are then read only from the partitions the
+    new rows fall in (a semi join on those values, which Spark turns into
+    dynamic partition pruning of the target scan) instead of the whole table.
     Single writer per target: append + anti join is not atomic across writers.
     """
     if refresh:
@@ -65,7 +70,11 @@ def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Seq
         return write_parquet(new, target, "overwrite", partition_by)
     if path_exists(spark, target):
         r = spark.read.schema(schema) if schema is not None else spark.read
-        existing = r.parquet(target).select(*keys).distinct()
+        existing = r.parquet(target)
+        if prune_by:
+            touched = new.select(*prune_by).distinct()
+            existing = existing.join(touched, list(prune_by), "left_semi")
+        existing = existing.select(*keys).distinct()
         todo = new.join(existing, _key_match(new, existing, keys, null_safe), "left_anti")
         return write_parquet(todo, target, "append", partition_by)
     return write_parquet(new, target, "overwrite", partition_by)
