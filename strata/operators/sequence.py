@@ -1,0 +1,150 @@
+"""Row numbering within groups that stays balanced when one group is huge.
+
+``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a group
+to one task, so a group holding a third of the table becomes one third of the
+job on one core.  Here the rows are range-partitioned on (g, o) -- the range
+partitioner samples the data, so a hot group is cut into many contiguous
+pieces -- and each task numbers its sorted piece locally (vectorised, on Arrow
+batches).  A group can only continue from earlier partitions into the *first*
+run of a partition, so the carry-over offsets form a table with at most one
+row per partition: its size is bounded by the partition count, not the data.
+"""
+
+from __future__ import annotations
+
+from typing import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
+
+from .joins import broadcast_if_bounded
+
+
+def number_within_groups(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "rn",
+                         start: int = 1, partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = start, start+1, ... per group in ``order`` (order must be a total order
+    within the group -- add a unique tie-breaker)."""
+    # Helpers are nested so the Python workers receive them by value (the
+    # package need not be importable on executors).
+    def _same_as_prev(pdf: pd.DataFrame, cols: Sequence[str]) -> np.ndarray:
+        """Row i has the same group key as row i-1 (nulls equal nulls); row 0 False."""
+        n = len(pdf)
+        same = np.ones(n, dtype=bool)
+        for c in cols:
+            s = pdf[c]
+            na = s.isna().to_numpy()
+            v = s.to_numpy()
+            eq = np.zeros(n, dtype=bool)
+            if n > 1:
+                with np.errstate(invalid="ignore"):
+                    eq[1:] = (v[1:] == v[:-1]) & ~na[1:] & ~na[:-1]
+                eq[1:] |= na[1:] & na[:-1]
+            same &= eq
+        if n:
+            same[0] = False
+        return same
+
+
+    def _key_equal(a: tuple, b: tuple) -> bool:
+        return all((pd.isna(x) and pd.isna(y)) or (not pd.isna(x) and not pd.isna(y) and x == y)
+                   for x, y in zip(a, b))
+
+
+    def _row_key(pdf: pd.DataFrame, cols: Sequence[str], i: int) -> tuple:
+        return tuple(pdf[c].iloc[i] for c in cols)
+
+
+    spark = df.sparkSession
+    group, order = list(group), list(order)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The partition id is taken in the JVM as a column (it is the id within this
+    # subtree even when the result is later unioned with other data).
+    ranged = df.repartitionByRange(n, *group, *order).sortWithinPartitions(*group, *order) \
+        .withColumn("__pid", F.spark_partition_id())
+
+    gfields = [df.schema[g] for g in group]
+    summary_schema = StructType(
+        [StructField("__pid", IntegerType(), False)]
+        + [StructField(f"__f_{f.name}", f.dataType, True) for f in gfields]
+        + [StructField("__n_first", LongType(), False)]
+        + [StructField(f"__l_{f.name}", f.dataType, True) for f in gfields]
+        + [StructField("__n_last", LongType(), False)])
+
+    def scan(batches: Iterator[pd.DataFrame]):
+        """Yield (batch, position in its run, in-first-run flag) over one sorted partition."""
+        prev = None      # group key of the last row seen
+        run_idx = -1     # run number of that row within the partition (0 = first run)
+        pos = 0          # its position within that run
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            same = _same_as_prev(pdf, group)
+            if prev is not None and _key_equal(prev, _row_key(pdf, group, 0)):
+                same[0] = True
+            new_run = ~same
+            runs = np.cumsum(new_run)
+            g_run = run_idx + runs
+            idx = np.arange(len(pdf))
+            starts = np.maximum.accumulate(np.where(new_run, idx, -1))
+            local = np.where(starts >= 0, idx - starts + 1, pos + idx + 1).astype("int64")
+            run_idx, pos = int(g_run[-1]), int(local[-1])
+            prev = _row_key(pdf, group, len(pdf) - 1)
+            yield pdf, local, g_run == 0
+
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = last = None
+        n_first = n_last = 0
+        pid = None
+        for pdf, local, first_run in scan(batches):
+            if first is None:
+                first = _row_key(pdf, group, 0)
+                pid = int(pdf["__pid"].iloc[0])
+            n_first += int(first_run.sum())
+            last, n_last = _row_key(pdf, group, len(pdf) - 1), int(local[-1])
+        if first is None:
+            return
+        row = {"__pid": [pid]}
+        for f, v in zip(gfields, first):
+            row[f"__f_{f.name}"] = [v]
+        row["__n_first"] = [n_first]
+        for f, v in zip(gfields, last):
+            row[f"__l_{f.name}"] = [v]
+        row["__n_last"] = [n_last]
+        yield pd.DataFrame(row)
+
+    numbered_schema = StructType(df.schema.fields + [StructField("__pid", IntegerType(), False),
+                                                     StructField("__local", LongType(), False),
+                                                     StructField("__first_run", BooleanType(), False)])
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, local, first_run in scan(batches):
+            res = pdf.copy()
+            res["__local"] = local
+            res["__first_run"] = first_run
+            yield res
+
+    summary = ranged.mapInPandas(summarise, summary_schema)
+    # Offset of each partition's first run = rows of that group in earlier partitions;
+    # such partitions end with that group (ranges are sorted), so sum their tails.
+    p = summary.select("__pid", *[F.col(f"__f_{g}").alias(g) for g in group])
+    q = summary.select(F.col("__pid").alias("__qpid"), *[F.col(f"__l_{g}").alias(g) for g in group],
+                       "__n_last")
+    cond = F.col("__qpid") < F.col("__pid")
+    for g in group:
+        cond = cond & p[g].eqNullSafe(q[g])
+    offsets = p.join(q, cond).groupBy("__pid").agg(F.sum("__n_last").alias("__off"))
+    offsets = broadcast_if_bounded(offsets, max(n, 1) * 4)
+    numbered = ranged.mapInPandas(number, numbered_schema).join(offsets, "__pid", "left")
+    rn = F.col("__local") + F.when(F.col("__first_run"), F.coalesce(F.col("__off"), F.lit(0))).otherwise(0) \
+        + (start - 1)
+    return numbered.withColumn(out, rn).drop("__pid", "__local", "__first_run", "__off")
+
+
+def number_within_groups_window(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                                out: str = "rn", start: int = 1) -> DataFrame:
+    """The plain window form (one task per group); for small, even groups."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn(out, F.row_number().over(w) + (start - 1))

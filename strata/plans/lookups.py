@@ -27,8 +27,9 @@ ARRIVAL = ("ts", "event_id")
 def event_rows(events: DataFrame) -> DataFrame:
     """The 11 used CSV columns, rows with a non-empty artist (CSV reads '' as null)."""
     keep = events.filter(F.col("artist").isNotNull() & (F.col("artist") != ""))
-    return keep.select("artist", "firstName", "gender", "itemInSession", "lastName", "length", "level",
-                       "location", "sessionId", "song", "userId", *ARRIVAL)
+    cols = ["artist", "firstName", "gender", "itemInSession", "lastName", "length", "level",
+            "location", "sessionId", "song", "userId", *ARRIVAL]
+    return keep.select(*[c for c in cols if c in events.columns])
 
 
 def session_items(events: DataFrame, order_by: Sequence[str] = ARRIVAL) -> DataFrame:

@@ -106,7 +106,7 @@ def q_incremental_twice(spark, d):
 def q_append_twice(spark, d):
     """INSERT INTO ... SELECT run twice appends the dimension twice."""
     path = S.shared_dir(spark, "users")
-    u = ST.users_dim(V.staging_events(spark, d), "distinct")
+    u = ST.users_dim(V.staging_events(spark, d, item_in_session=False), "distinct")
     K.load_table(u, path, append=True)
     K.load_table(u, path, append=True)
     return spark.read.schema(SC.USERS).parquet(path)
@@ -116,7 +116,7 @@ def q_append_twice(spark, d):
 def q_truncate_insert(spark, d):
     """Truncate-then-insert after an append leaves one copy."""
     path = S.shared_dir(spark, "users")
-    u = ST.users_dim(V.staging_events(spark, d), "distinct")
+    u = ST.users_dim(V.staging_events(spark, d, item_in_session=False), "distinct")
     K.load_table(u, path, append=True)
     K.load_table(u, path, append=False)
     return spark.read.schema(SC.USERS).parquet(path)
@@ -135,7 +135,7 @@ def q_upsert_users_batches(spark, d):
     """B10 against a stored table: two time batches upserted (level updated only)
     equal one upsert of everything."""
     path = S.shared_dir(spark, "users")
-    p = ST.plays(V.staging_events(spark, d)).filter(F.col("userId").isNotNull())
+    p = ST.plays(V.staging_events(spark, d, item_in_session=False)).filter(F.col("userId").isNotNull())
     rows = p.select(F.col("userId").alias("user_id"), F.col("firstName").alias("first_name"),
                     F.col("lastName").alias("last_name"), "gender", "level", "ts", "event_id")
     for batch in _split(rows):
@@ -149,7 +149,7 @@ def q_insert_if_absent_batches(spark, d):
     ON CONFLICT (start_time) DO NOTHING."""
     path = S.shared_dir(spark, "songplays")
     songs = V.staging_songs_ordered(spark, d)
-    fact = ST.songplays_lookup(V.staging_events(spark, d), ST.songs_dim(songs, "first"),
+    fact = ST.songplays_lookup(V.staging_events(spark, d, item_in_session=False), ST.songs_dim(songs, "first"),
                                ST.artists_dim(songs, "first"), dedup_key=("start_time",))
     for batch in _split(fact.withColumn("ts", F.unix_millis("start_time")), "ts"):
         K.append_if_absent(spark, batch, path, ["start_time"], ["ts"])
@@ -165,7 +165,7 @@ def q_bucketed_join(spark, d):
     their join and the (location, artist_id) pre-aggregate need no exchange."""
     tag = uuid.uuid4().hex[:8]
     root = S.shared_dir(spark, "bucketed")
-    fact = ST.songplays_warehouse(V.staging_events(spark, d), V.staging_songs(spark, d))
+    fact = ST.songplays_warehouse(V.staging_events(spark, d, item_in_session=False), V.staging_songs(spark, d))
     artists = ST.artists_dim(V.staging_songs_ordered(spark, d), "distinct")
     K.bucketed_table(fact, f"songplays_{tag}", f"{root}/songplays", 8, ["artist_id"], ["start_time"])
     K.bucketed_table(artists, f"artists_{tag}", f"{root}/artists", 8, ["artist_id"])
@@ -181,7 +181,7 @@ def q_created_table_insert(spark, d):
     name = f"users_{uuid.uuid4().hex[:8]}"
     K.create_table(spark, name, SC.USERS, S.shared_dir(spark, "users"))
     K.create_table(spark, name, SC.USERS)  # second create is a no-op
-    ST.users_dim(V.staging_events(spark, d), "distinct").write.insertInto(name)
+    ST.users_dim(V.staging_events(spark, d, item_in_session=False), "distinct").write.insertInto(name)
     return spark.table(name)
 
 
@@ -252,7 +252,7 @@ def q_stream_chat_load(spark, d):
 def q_nonempty_tables(spark, d):
     """Row count per table and whether it is non-empty."""
     songs = V.staging_songs_ordered(spark, d)
-    ev = V.staging_events(spark, d)
+    ev = V.staging_events(spark, d, item_in_session=False)
     return dq.nonempty_tables({
         "songs": ST.songs_dim(songs), "artists": ST.artists_dim(songs),
         "users": ST.users_dim(ev, "distinct"),
@@ -278,7 +278,7 @@ def _kv_sql(src: str, keys: str, name: str) -> str:
 def q_key_violations(spark, d):
     """Declared keys -- duplicates and nulls (the warehouse md5 key collides
     for two plays in one session-second; users keyed by id repeat per level)."""
-    ev = V.staging_events(spark, d)
+    ev = V.staging_events(spark, d, item_in_session=False)
     parts = [
         dq.key_violations(T.match_typed(V.match_raw(spark, d)), ["match_id"], "match_data"),
         dq.key_violations(T.region_typed(V.region_raw(spark, d)), ["cluster_id"], "cluster_regions_data"),
@@ -300,7 +300,7 @@ def q_key_violations(spark, d):
     "songplays_wh"))
 def q_null_violations(spark, d):
     """NOT NULL columns of the fact (unmatched plays have null song and artist)."""
-    fact = ST.songplays_warehouse(V.staging_events(spark, d), V.staging_songs(spark, d))
+    fact = ST.songplays_warehouse(V.staging_events(spark, d, item_in_session=False), V.staging_songs(spark, d))
     return dq.null_violations(fact, ["start_time", "user_id", "song_id", "artist_id"], "songplays")
 
 
@@ -370,4 +370,4 @@ def q_session_item_bucketed(spark, d):
     WHERE e.sessionId IS NOT NULL""", "plays", "staging_songs"))
 def q_songplays_whole_seconds(spark, d):
     """Warehouse fact with durations compared as numeric(18,0) (whole seconds)."""
-    return ST.songplays_warehouse(V.staging_events(spark, d), V.staging_songs(spark, d), match_precision=0)
+    return ST.songplays_warehouse(V.staging_events(spark, d, item_in_session=False), V.staging_songs(spark, d), match_precision=0)

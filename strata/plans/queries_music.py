@@ -56,6 +56,11 @@ def _songs(spark, d):
 
 
 def _events(spark, d):
+    """Events without the per-session item number (star schema and analytics never read it)."""
+    return V.staging_events(spark, d, item_in_session=False)
+
+
+def _session_events(spark, d):
     return V.staging_events(spark, d)
 
 
@@ -215,7 +220,7 @@ def q_songplays_unique_start(spark, d):
       FROM csv_rows) WHERE rn = 1""", "csv_rows"))
 def q_session_item_table(spark, d):
     """(session, item) -> artist, song, length; last write wins."""
-    return L.session_items(_events(spark, d))
+    return L.session_items(_session_events(spark, d))
 
 
 @register("session_item", duck(f"""
@@ -226,7 +231,7 @@ def q_session_item_table(spark, d):
     WHERE rn = 1""", "csv_rows"))
 def q_session_item(spark, d):
     """What was played at one (session, item)."""
-    return L.session_item_lookup(L.session_items(_events(spark, d)), *SESSION_ITEM)
+    return L.session_item_lookup(L.session_items(_session_events(spark, d)), *SESSION_ITEM)
 
 
 USER_SESSION_SQL = """
@@ -242,7 +247,7 @@ USER_SESSION_SQL = """
 @register("user_session_table", duck(USER_SESSION_SQL, "csv_rows"))
 def q_user_session_table(spark, d):
     """(user, session, item) -> artist, song, user name; last write wins."""
-    return L.user_sessions(_events(spark, d))
+    return L.user_sessions(_session_events(spark, d))
 
 
 @register("user_session", duck(f"""
@@ -251,7 +256,7 @@ def q_user_session_table(spark, d):
     ORDER BY item_in_session""", "csv_rows"))
 def q_user_session(spark, d):
     """One user's session in item order."""
-    return L.user_session_lookup(L.user_sessions(_events(spark, d)), *USER_SESSION)
+    return L.user_session_lookup(L.user_sessions(_session_events(spark, d)), *USER_SESSION)
 
 
 @register("song_listeners_table", duck("""

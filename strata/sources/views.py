@@ -13,10 +13,11 @@ independently from the same rule; see FIXTURES.md section 4.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
+from ..operators.sequence import number_within_groups
 
 # Fixed values of the mapping (FIXTURES.md section 4).
 ARTISTS = 10            # songs are spread over suppliers 0..9 (p_partkey % 10)
@@ -78,8 +79,11 @@ EVENT_COLUMNS = ["event_id", "artist", "auth", "firstName", "gender", "itemInSes
                  "song", "status", "ts", "userAgent", "userId"]
 
 
-def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """App event log in the reference's JSON shape; ``event_id`` is the arrival order."""
+def staging_events(spark: SparkSession, sf_dir: str, item_in_session: bool = True) -> DataFrame:
+    """App event log in the reference's JSON shape; ``event_id`` is the arrival order.
+
+    ``item_in_session=False`` leaves out the per-session item number (a
+    numbering pass Catalyst cannot prune) for jobs that never read it."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
                                                     "value", "props")
     ev = ev.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
@@ -91,15 +95,13 @@ def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = ev.join(broadcast_if_bounded(nation, 10_000),
                  (F.col("user_id") % NATIONS) == F.col("n_nationkey"), "left")
     session = F.col("user_id") * 100 + F.dayofmonth("ts")
-    w = Window.partitionBy(session).orderBy("ts", "event_id")
     is_known = F.col("k") < KNOWN_SONG_KEYS
-    return ev.select(
+    out = ev.select(
         "event_id",
         F.when(is_known, F.col("__artist")).otherwise(F.lit("")).alias("artist"),
         F.lit("Logged In").alias("auth"),
         F.concat(F.lit("F"), (F.col("user_id") % 40).cast("string")).alias("firstName"),
         F.when(F.col("user_id") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
-        (F.row_number().over(w) - 1).cast("int").alias("itemInSession"),
         F.concat(F.lit("L"), (F.col("user_id") % 50).cast("string")).alias("lastName"),
         F.when(is_known, F.col("__duration")).alias("length"),
         F.when(F.col("value") > 100, F.lit("paid")).otherwise(F.lit("free")).alias("level"),
@@ -115,7 +117,16 @@ def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
         F.concat(F.lit("agent/"), (F.col("user_id") % 7).cast("string")).alias("userAgent"),
         F.col("user_id").alias("userId"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("__ts_us"),
     )
+    # itemInSession: 0, 1, ... per session in (ts, event_id) order.  Numbered by
+    # range-partitioned pieces, so one session holding a third of all events is
+    # still spread over many tasks.
+    if not item_in_session:
+        return out.select(*[c for c in EVENT_COLUMNS if c != "itemInSession"])
+    numbered = number_within_groups(out, ["sessionId"], ["__ts_us", "event_id"], "itemInSession", start=0)
+    return numbered.withColumn("itemInSession", F.col("itemInSession").cast("int")) \
+        .select(*EVENT_COLUMNS)
 
 
 def region_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
