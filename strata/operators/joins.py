@@ -7,16 +7,23 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BOUND_CACHE: dict[tuple[int, int], bool] = {}
+_BOUND_CACHE: dict[tuple[int, str, int], bool] = {}
+
+
+def _size_estimate(df: DataFrame) -> str:
+    """The optimizer's size estimate of ``df`` (from file sizes; no job)."""
+    return str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def within_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Runs ``limit(max_rows + 1).count()`` -- a job that stops reading after
-    max_rows+1 rows -- and memoises the answer per (plan, bound).
+    max_rows+1 rows -- and memoises the answer per (plan, input size, bound):
+    a table re-written at the same path changes its size estimate, so a
+    stale "small" answer is never reused for a table that has grown.
     """
-    key = (df.semanticHash(), max_rows)
+    key = (df.semanticHash(), _size_estimate(df), max_rows)
     if key not in _BOUND_CACHE:
         _BOUND_CACHE[key] = df.limit(max_rows + 1).count() <= max_rows
     return _BOUND_CACHE[key]

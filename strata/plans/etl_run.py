@@ -114,7 +114,8 @@ def run_star_etl(spark: SparkSession, log_template: str, songs: DataFrame, root:
     fact = spark.read.schema(SC.SONGPLAYS).parquet(p["songplays"])
     rep.loaded["time"] = write_parquet(ST.time_dim(fact, convention="warehouse"), p["time"], "overwrite",
                                        ["year", "month"])
-    tables = {t: spark.read.parquet(p[t]) for t in ("songplays", "users", "songs", "artists", "time")}
+    tables = {t: spark.read.schema(SC.TABLES[t]).parquet(p[t])
+              for t in ("songplays", "users", "songs", "artists", "time")}
     rep.checks = [r.asDict() for r in dq.nonempty_tables(tables).collect()]
     if raise_on_fail and not rep.ok:
         raise DataQualityError(rep.checks)

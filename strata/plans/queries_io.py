@@ -48,7 +48,8 @@ def q_staged_json_roundtrip(spark, d):
     (truncate + load, path rendered from the run context), read back from parquet."""
     root = S.shared_dir(spark, "stage")
     ev = V.staging_events(spark, d).withColumn("day", F.dayofmonth(F.timestamp_millis("ts")))
-    ev.write.mode("overwrite").partitionBy("day").json(f"{root}/log_data/2024/01")
+    K.for_partitioned_write(ev, ["day"]).write.mode("overwrite").partitionBy("day") \
+        .json(f"{root}/log_data/2024/01")
     FL.stage_json(spark, "{root}/log_data/{year}/{month}", SC.EVENT_JSON, f"{root}/staging_events",
                   root=root, year="2024", month="01")
     return spark.read.schema(SC.EVENT_JSON).parquet(f"{root}/staging_events")
@@ -312,9 +313,10 @@ SONG_SQL = "SELECT * FROM staging_songs"
 def _write_song_json(spark, d, root: str) -> str:
     """Song files two directory levels deep (like song_data/A/B/*.json)."""
     songs = V.staging_songs_ordered(spark, d)
-    songs.withColumn("d1", F.col("artist_id")).withColumn("d2", F.col("year") % 3) \
-        .select(*SC.SONG_JSON.fieldNames(), "d1", "d2") \
-        .write.mode("overwrite").partitionBy("d1", "d2").json(f"{root}/song_data")
+    files = songs.withColumn("d1", F.col("artist_id")).withColumn("d2", F.col("year") % 3) \
+        .select(*SC.SONG_JSON.fieldNames(), "d1", "d2")
+    K.for_partitioned_write(files, ["d1", "d2"]).write.mode("overwrite").partitionBy("d1", "d2") \
+        .json(f"{root}/song_data")
     return f"{root}/song_data/*/*/*.json"
 
 
@@ -336,8 +338,9 @@ def q_etl_lake_run(spark, d):
     root = S.shared_dir(spark, "lakerun")
     song_glob = _write_song_json(spark, d, root)
     ev = V.staging_events(spark, d)
-    ev.withColumn("y", F.year(F.timestamp_millis("ts"))).withColumn("m", F.month(F.timestamp_millis("ts"))) \
-        .write.mode("overwrite").partitionBy("y", "m").json(f"{root}/log_data")
+    logs = ev.withColumn("y", F.year(F.timestamp_millis("ts"))).withColumn("m", F.month(F.timestamp_millis("ts")))
+    K.for_partitioned_write(logs, ["y", "m"]).write.mode("overwrite").partitionBy("y", "m") \
+        .json(f"{root}/log_data")
     rep = R.run_lake_etl(spark, song_glob, f"{root}/log_data/*/*/*.json", root)
     cols = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent",
             "year", "month"]

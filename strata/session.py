@@ -17,6 +17,12 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # AQE merges shuffle partitions smaller than this.  The 1 MB default folds a
+    # small rebalanced write (hundreds of partition directories) into one task
+    # that writes every directory in turn; a lower floor keeps such writes
+    # spread over the cores.  Large shuffles never reach this size, so it only
+    # affects small ones.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 

@@ -19,9 +19,22 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def for_partitioned_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows grouped by their output partition before a partitioned write.
+
+    Without it every task writes a file into every partition value it holds
+    (tasks x values small files).  The rebalance hint shuffles by the partition
+    columns and lets AQE split a value holding a large share of the rows into
+    several advisory-sized tasks and merge small ones, so each directory gets
+    few, evenly sized files and no task receives a hot value whole."""
+    return df.hint("rebalance", *partition_by)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None) -> int:
     """Parquet write (overwrite / append), optionally partitioned; returns rows written."""
+    if partition_by:
+        df = for_partitioned_write(df, partition_by)
     d, obs = _observed(df, "write")
     w = d.write.mode(mode)
     if partition_by:
@@ -94,15 +107,26 @@ def append_if_absent(spark: SparkSession, new: DataFrame, target: str, keys: Seq
 def replace_table(spark: SparkSession, df: DataFrame, target: str,
                   partition_by: Sequence[str] | None = None) -> int:
     """Overwrite a table with data that may be read from that same table:
-    write to a sibling directory first, then swap directories."""
-    staging = f"{target.rstrip('/')}.__staging-{uuid.uuid4().hex[:8]}"
+    write to a sibling directory first, then swap directories.
+
+    The old table is moved aside (not deleted) before the swap and put back if
+    the swap fails, so a failure at any point leaves a complete table at
+    ``target`` or beside it, never nothing."""
+    tag = uuid.uuid4().hex[:8]
+    staging = f"{target.rstrip('/')}.__staging-{tag}"
     n = write_parquet(df, staging, "overwrite", partition_by)
     fs, t = _fs(spark, target)
     _, s = _fs(spark, staging)
-    if fs.exists(t):
-        fs.delete(t, True)
+    _, b = _fs(spark, f"{target.rstrip('/')}.__previous-{tag}")
+    had_old = fs.exists(t)
+    if had_old and not fs.rename(t, b):
+        raise IOError(f"could not move {target} aside")
     if not fs.rename(s, t):
+        if had_old:
+            fs.rename(b, t)
         raise IOError(f"could not move {staging} to {target}")
+    if had_old:
+        fs.delete(b, True)
     return n
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.joins import broadcast_if_bounded
 from ..operators.sequence import number_within_groups
@@ -28,8 +29,19 @@ CLUSTERS = 30           # cluster_id = conv_id % 30; ids >= 25 have no region
 NATIONS = 25            # TPC-H nation is a fixed 25-row table
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, read under its schema.
+
+    A parquet read without a schema runs a footer-reading job to infer one;
+    the schema of a path is resolved once and then given explicitly."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        schema = _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def _songs_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
