@@ -160,18 +160,23 @@ def most_toxic_region(summary: DataFrame) -> DataFrame:
     """Region with the most toxic matches (ties -> smaller name) and its share of
     *all* matches.  Empty when no match is toxic.
 
-    Grouping by region leaves one row per region (bounded by the region
-    dimension), so the total is a window over those few rows.
+    One grouped aggregate gives per-region counts (a row per region, bounded by
+    the region dimension); one global aggregate over those rows then picks the
+    top region with ``min_by`` on (most toxic, non-null name, smaller name) and
+    sums all matches in the same pass -- no window, no subquery, no second
+    pass over the summary.
     """
-    from pyspark.sql import Window
     per_region = summary.groupBy("region").agg(
         F.count(F.when(F.col("toxic"), 1)).alias("toxic_matches"),
         F.count(F.lit(1)).alias("matches"))
-    total = F.sum("matches").over(Window.partitionBy())
-    ranked = per_region.withColumn("total_matches", total).filter(F.col("toxic_matches") > 0)
-    top = ranked.orderBy(F.col("toxic_matches").desc(), F.col("region").asc_nulls_last()).limit(1)
-    return top.select("region", "toxic_matches",
-                      percent2("toxic_matches", "total_matches").alias("pct_of_matches"))
+    rank = F.when(F.col("toxic_matches") > 0,
+                  F.struct((-F.col("toxic_matches")).alias("k0"), F.col("region").isNull().alias("k1"),
+                           F.col("region").alias("k2")))
+    one = per_region.agg(F.min_by(F.struct("region", "toxic_matches"), rank).alias("top"),
+                         F.sum("matches").alias("total_matches"))
+    return one.filter(F.col("top").isNotNull()).select(
+        F.col("top.region").alias("region"), F.col("top.toxic_matches").alias("toxic_matches"),
+        percent2("top.toxic_matches", "total_matches").alias("pct_of_matches"))
 
 
 def word_hits(docs: DataFrame, id_col: str, text_col: str, words: Iterable[str] = TOXIC_WORDS,
