@@ -7,6 +7,7 @@ star:  stage events -> songplays fact -> dimensions -> non-empty gate
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,17 +45,33 @@ def chat_paths(root: str) -> dict[str, str]:
             "summary": f"{r}/match_summary_data"}
 
 
+# Keys of the chat load.  The reference keys chat by match, so late lines of a
+# loaded match are skipped; the row key accepts them (with ``refresh``).
+CHAT_MATCH_KEY = ("match_id",)
+CHAT_ROW_KEY = ("match_id", "slot", "time_in_seconds", "player_name", "chat")
+
+
 def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame, region_raw: DataFrame,
-                 root: str, run_ts: str, *, raise_on_fail: bool = False) -> RunReport:
-    """Typed incremental loads, checks, then the per-match summary (appended for new matches).
+                 root: str, run_ts: str, *, raise_on_fail: bool = False, refresh: bool = False,
+                 chat_key: Sequence[str] | None = None) -> RunReport:
+    """Typed incremental loads, checks, then the per-match summary.
 
     Chat is partitioned by the run's date (``run_date``) and keeps the exact
     run stamp as a column; matches and summary are partitioned by match date.
+
+    Default (the reference's behaviour): chat is keyed by match, and only
+    matches without a summary are summarised and appended -- a late line of a
+    loaded match is dropped and a summary never changes.  ``refresh=True``
+    keys chat by row (``chat_key`` overrides either default), so late lines are
+    loaded; every match date that received chat in this run has its summary
+    partition recomputed and overwritten (dynamic partition overwrite), and
+    dates without new chat are not touched.
     """
     p = chat_paths(root)
     rep = RunReport(paths=p)
+    key = list(chat_key or (CHAT_ROW_KEY if refresh else CHAT_MATCH_KEY))
     chat = T.chat_typed(chat_raw, run_ts).withColumn("run_date", F.to_date("date_processed"))
-    rep.loaded["chat_data"] = incremental_load(spark, chat, p["chat"], ["match_id"], ["run_date"],
+    rep.loaded["chat_data"] = incremental_load(spark, chat, p["chat"], key, ["run_date"],
                                                schema=CHAT_STORED)
     rep.loaded["cluster_regions_data"] = single_file_overwrite(T.region_typed(region_raw, run_ts), p["region"])
     rep.loaded["match_data"] = incremental_load(spark, T.match_typed(match_raw, run_ts), p["match"],
@@ -75,6 +92,21 @@ def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame,
     # Both results are a handful of rows (one per table / per check).
     rep.checks = [r.asDict() for r in counts.collect()] + [r.asDict() for r in orphans.collect()]
 
+    if refresh:
+        # Dates whose summary may change: those of matches with chat from this run.
+        # The partitions of those dates are rebuilt from all their chat.
+        fresh = chat_t.filter(run).select("match_id").distinct()
+        dates = match_t.join(fresh, "match_id", "left_semi").select("match_date").distinct()
+        in_dates = match_t.join(dates, "match_date", "left_semi")
+        todo_chat = chat_t.join(in_dates.select("match_id"), "match_id", "left_semi")
+        summary = T.match_summary(todo_chat, in_dates, region_t)
+        rep.loaded["match_summary_data"] = incremental_load(spark, summary, p["summary"], ["match_id"],
+                                                            ["match_date"], schema=SC.MATCH_SUMMARY,
+                                                            refresh=True)
+        if raise_on_fail and not rep.ok:
+            raise DataQualityError(rep.checks)
+        return rep
+
     # Matches already summarised keep their row (their chat cannot change: chat
     # loads skip known matches), so only chat of not-yet-summarised matches is
     # aggregated -- the work of a run grows with the new data, not the history.

@@ -374,3 +374,45 @@ def q_session_item_bucketed(spark, d):
 def q_songplays_whole_seconds(spark, d):
     """Warehouse fact with durations compared as numeric(18,0) (whole seconds)."""
     return ST.songplays_warehouse(V.staging_events(spark, d, item_in_session=False), V.staging_songs(spark, d), match_precision=0)
+
+
+# ---- late chat: the reference's stale summary vs. refresh (N12) -------------
+
+# The first load holds every line before this second of a match; the second
+# load is the whole chat table (so both loads together are all of it).
+LATE_CUT_S = 120
+LATE_RUN_TS = "2024-02-02 00:00:00"
+
+LATE_CTES = {
+    "chat_early": ("SELECT * FROM chat_t WHERE time_in_seconds < 120", ("chat_t",)),
+    "chat_loaded": ("""
+        SELECT * FROM chat_early
+        UNION ALL
+        SELECT * FROM chat_t WHERE match_id NOT IN (SELECT match_id FROM chat_early)""", ("chat_t", "chat_early")),
+}
+
+
+def _late_chat_runs(spark, d, refresh: bool):
+    root = S.shared_dir(spark, "latechat")
+    raw = V.chat_raw(spark, d)
+    for run_ts, batch in ((T.QUERY_RUN_TS, raw.filter(F.col("time") < LATE_CUT_S)), (LATE_RUN_TS, raw)):
+        R.run_chat_etl(spark, batch, V.match_raw(spark, d), V.region_raw(spark, d), root, run_ts,
+                       refresh=refresh)
+    return spark.read.schema(SC.MATCH_SUMMARY).parquet(R.chat_paths(root)["summary"]) \
+        .select(*SC.MATCH_SUMMARY.fieldNames())
+
+
+@register("chat_late_kept", duckdb_with(SUMMARY_SQL.replace("FROM chat_t", "FROM chat_loaded"),
+                                        "match_t", "chat_loaded", "region_t",
+                                        extra={**DUCK_TYPED, **LATE_CTES}))
+def q_chat_late_kept(spark, d):
+    """Early lines loaded, then the whole chat: chat keyed by match skips the
+    late lines of loaded matches and their summaries stay as first written."""
+    return _late_chat_runs(spark, d, refresh=False)
+
+
+@register("chat_late_refresh", duck(SUMMARY_SQL, "match_t", "chat_t", "region_t"))
+def q_chat_late_refresh(spark, d):
+    """The same two loads with refresh=True: late lines are loaded and the summary
+    partitions of the dates they touch are rebuilt, so the result is the full summary."""
+    return _late_chat_runs(spark, d, refresh=True)

@@ -151,6 +151,19 @@ def q_time_dim_warehouse(spark, d):
     return ST.time_dim(fact, convention="warehouse")
 
 
+@register("time_text", duck("""
+    SELECT epoch_ms(ts) AS start_time,
+           strftime(epoch_ms(ts), '%Y-%m-%d %H:%M:%S') AS text_24h,
+           strftime(epoch_ms(ts), '%Y-%m-%d %I:%M:%S') AS text_12h
+    FROM plays""", "plays"))
+def q_time_text(spark, d):
+    """Start time as text -- 24-hour, and the reference's 'hh' (12-hour, no marker)."""
+    from ..functions.timeparts import start_time_text
+    ev = ST.plays(_events(spark, d)).select(F.timestamp_millis("ts").alias("start_time"))
+    return ev.select("start_time", start_time_text("start_time").alias("text_24h"),
+                     start_time_text("start_time", twelve_hour=True).alias("text_12h"))
+
+
 # ---- fact -----------------------------------------------------------------
 
 @register("songplays_md5", duck("SELECT * FROM songplays_wh", "songplays_wh"))
