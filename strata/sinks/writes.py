@@ -6,7 +6,7 @@ import uuid
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -73,8 +73,7 @@ def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Seq
     overwrite) -- for late rows of an already-loaded key.
     ``prune_by`` names partition columns that the key determines (a match's
     date, say): the existing keys are then read only from the partitions the
-    new rows fall in (a semi join on those values, which Spark turns into
-    dynamic partition pruning of the target scan) instead of the whole table.
+    new rows fall in (a partition filter on the scan) instead of the whole table.
     Single writer per target: append + anti join is not atomic across writers.
     """
     if refresh:
@@ -82,17 +81,57 @@ def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Seq
             raise ValueError("refresh needs partition columns")
         return write_parquet(new, target, "overwrite", partition_by)
     if path_exists(spark, target):
-        r = spark.read.schema(schema) if schema is not None else spark.read
-        existing = r.parquet(target)
-        if prune_by:
-            touched = new.select(*prune_by).distinct()
-            existing = existing.join(touched, list(prune_by), "left_semi")
-        existing = existing.select(*keys).distinct()
-        todo = new.join(existing, _key_match(new, existing, keys, null_safe), "left_anti")
+        todo = rows_not_in_target(spark, new, target, keys, schema=schema, null_safe=null_safe,
+                                  prune_by=prune_by)
         return write_parquet(todo, target, "append", partition_by)
     return write_parquet(new, target, "overwrite", partition_by)
 
 
+# Most partition values whose directories a pruned key read lists by value.
+PRUNE_VALUES_MAX = 10_000
+
+
+def touched_partitions(new: DataFrame, partition_cols: Sequence[str],
+                       max_values: int = PRUNE_VALUES_MAX) -> Column | None:
+    """A predicate on partition columns that every row of ``new`` satisfies --
+    each column IN the values ``new`` holds -- or None beyond ``max_values``.
+
+    The distinct values are partition metadata (one per directory), fetched
+    with a bounded collect; as a filter on a partitioned scan they become
+    ``PartitionFilters``, so only those directories are listed and read.  None
+    means "read every partition", which is never wrong, only slower."""
+    cols = list(partition_cols)
+    rows = new.select(*cols).distinct().limit(max_values + 1).collect()
+    if len(rows) > max_values:
+        return None
+    pred = None
+    for i, c in enumerate(cols):
+        vals = {r[i] for r in rows}
+        known = [v for v in vals if v is not None]
+        cond = F.col(c).isin(known) if known else F.lit(False)
+        if None in vals:
+            cond = cond | F.col(c).isNull()
+        pred = cond if pred is None else pred & cond
+    return pred if pred is not None else F.lit(True)
+
+
+def rows_not_in_target(spark: SparkSession, new: DataFrame, target: str, keys: Sequence[str], *,
+                       schema: StructType | None = None, null_safe: bool = True,
+                       prune_by: Sequence[str] | None = None) -> DataFrame:
+    """Rows of ``new`` whose key the existing table at ``target`` lacks (the
+    plan an incremental load appends).  Only the key columns of the target are
+    read; with ``prune_by`` (partition columns the key determines) only the
+    partitions holding the new rows' values."""
+    r = spark.read.schema(schema) if schema is not None else spark.read
+    existing = r.parquet(target)
+    if prune_by:
+        pred = touched_partitions(new, prune_by)
+        if pred is not None:
+            existing = existing.where(pred)
+    existing = existing.select(*keys).distinct()
+    return new.join(existing, _key_match(new, existing, keys, null_safe), "left_anti")
+
+
 def append_if_absent(spark: SparkSession, new: DataFrame, target: str, keys: Sequence[str],
                      order_by: Sequence[str], partition_by: Sequence[str] | None = None,
                      schema: StructType | None = None, drop_order: bool = True) -> int:

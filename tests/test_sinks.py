@@ -101,3 +101,30 @@ def test_bucketed_join_has_no_exchange(spark, tmp_path):
         assert j.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_prune_by_reads_only_touched_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "t")
+    old = spark.range(10000).select(F.col("id").alias("k"), (F.col("id") % 10).alias("p"))
+    K.write_parquet(old, path, "overwrite", ["p"])
+    new = spark.range(10000, 10100).select(F.col("id").alias("k"), F.lit(3).cast("long").alias("p")) \
+        .unionByName(spark.range(5).select((F.col("id") * 10).alias("k"), F.lit(0).cast("long").alias("p")))
+    todo = K.rows_not_in_target(spark, new, path, ["k"], prune_by=["p"])
+    assert sorted(r.k for r in todo.collect()) == list(range(10000, 10100))
+    # the target scan read 2 of the 10 partition directories
+    def part_counts(p):
+        out = []
+        kind = p.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return part_counts(p.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return part_counts(p.plan())
+        if "Scan" in p.nodeName() and p.metrics().contains("numPartitions"):
+            out.append(p.metrics().apply("numPartitions").value())
+        ch = p.children()
+        for i in range(ch.size()):
+            out += part_counts(ch.apply(i))
+        return out
+    counts = part_counts(todo._jdf.queryExecution().executedPlan())
+    assert counts and max(counts) == 2
