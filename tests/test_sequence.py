@@ -49,3 +49,16 @@ def test_start_offset(spark):
     df = spark.createDataFrame([(1, 5), (1, 3), (2, 1)], "g int, o int")
     got = sorted(tuple(r) for r in number_within_groups(df, ["g"], ["o"], "i", start=0).collect())
     assert got == [(1, 3, 0), (1, 5, 1), (2, 1, 0)]
+
+
+def test_separate_range_exchanges_agree_on_bounds(spark):
+    """The numbering reads its range-partitioned input through separate exchanges
+    (per-partition summary and numbering); it relies on Spark sampling the same
+    range bounds for the same input in each, even when sampling is partial."""
+    df = spark.range(0, 400_000, 1, 8).select((F.col("id") % 500).alias("g"),
+                                               (F.col("id") * 7919 % 400_009).alias("o"), F.col("id").alias("uid"))
+
+    def pids(alias):
+        return df.repartitionByRange(16, "g", "o", "uid").withColumn(alias, F.spark_partition_id()) \
+            .select("uid", alias)
+    assert pids("p1").join(pids("p2"), "uid").filter("p1 <> p2").count() == 0
