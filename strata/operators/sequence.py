@@ -9,12 +9,14 @@ batches).  A group can only continue from earlier partitions into the *first*
 run of a partition, so the carry-over offsets form a table with at most one
 row per partition: its size is bounded by the partition count, not the data.
 
-The per-partition summary and the numbering read the range-partitioned rows
-through separate exchanges; they agree because Spark samples the same range
-bounds for the same input in every exchange (``tests/test_sequence.py``
-checks this with partial sampling).  A recomputed partition after an executor
-loss reuses its exchange's bounds, and the sort key is a total order, so each
-task's numbering is deterministic.
+The per-partition summary (read twice, by the offset self-join) and the
+numbering all read the one range-partitioned input: at run time AQE reuses
+that exchange, so the rows are shuffled once.  Were it ever planned as
+separate exchanges, they would still agree, because Spark samples the same
+range bounds for the same input (``tests/test_sequence.py`` checks this with
+partial sampling).  A recomputed partition after an executor loss reuses its
+exchange's bounds, and the sort key is a total order, so each task's numbering
+is deterministic.
 """
 
 from __future__ import annotations
