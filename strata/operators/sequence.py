@@ -9,9 +9,9 @@ batches).  A group can only continue from earlier partitions into the *first*
 run of a partition, so the carry-over offsets form a table with at most one
 row per partition: its size is bounded by the partition count, not the data.
 
-The per-partition summary (read twice, by the offset self-join) and the
-numbering all read the one range-partitioned input: at run time AQE reuses
-that exchange, so the rows are shuffled once.  Were it ever planned as
+The partition-end rows (two per partition, for the offsets) and the numbering
+both read the one range-partitioned input: at run time AQE reuses that
+exchange, so the rows are shuffled once.  Were it ever planned as
 separate exchanges, they would still agree, because Spark samples the same
 range bounds for the same input (``tests/test_sequence.py`` checks this with
 partial sampling).  A recomputed partition after an executor loss reuses its
@@ -75,12 +75,12 @@ def number_within_groups(df: DataFrame, group: Sequence[str], order: Sequence[st
         .withColumn("__pid", F.spark_partition_id())
 
     gfields = [df.schema[g] for g in group]
-    summary_schema = StructType(
+    # Two rows per non-empty partition: kind 0 "needs" the count of its first
+    # group in earlier partitions; kind 1 "gives" the length of its last run.
+    ends_schema = StructType(
         [StructField("__pid", IntegerType(), False)]
-        + [StructField(f"__f_{f.name}", f.dataType, True) for f in gfields]
-        + [StructField("__n_first", LongType(), False)]
-        + [StructField(f"__l_{f.name}", f.dataType, True) for f in gfields]
-        + [StructField("__n_last", LongType(), False)])
+        + [StructField(f.name, f.dataType, True) for f in gfields]
+        + [StructField("__kind", IntegerType(), False), StructField("__amt", LongType(), False)])
 
     def scan(batches: Iterator[pd.DataFrame]):
         """Yield (batch, position in its run, in-first-run flag) over one sorted partition."""
@@ -103,26 +103,23 @@ def number_within_groups(df: DataFrame, group: Sequence[str], order: Sequence[st
             prev = _row_key(pdf, group, len(pdf) - 1)
             yield pdf, local, g_run == 0
 
-    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partition_ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = last = None
-        n_first = n_last = 0
+        n_last = 0
         pid = None
-        for pdf, local, first_run in scan(batches):
+        for pdf, local, _ in scan(batches):
             if first is None:
                 first = _row_key(pdf, group, 0)
                 pid = int(pdf["__pid"].iloc[0])
-            n_first += int(first_run.sum())
             last, n_last = _row_key(pdf, group, len(pdf) - 1), int(local[-1])
         if first is None:
             return
-        row = {"__pid": [pid]}
-        for f, v in zip(gfields, first):
-            row[f"__f_{f.name}"] = [v]
-        row["__n_first"] = [n_first]
-        for f, v in zip(gfields, last):
-            row[f"__l_{f.name}"] = [v]
-        row["__n_last"] = [n_last]
-        yield pd.DataFrame(row)
+        rows = {"__pid": [pid, pid]}
+        for i, f in enumerate(gfields):
+            rows[f.name] = [first[i], last[i]]
+        rows["__kind"] = [0, 1]
+        rows["__amt"] = [0, n_last]
+        yield pd.DataFrame(rows)
 
     numbered_schema = StructType(df.schema.fields + [StructField("__pid", IntegerType(), False),
                                                      StructField("__local", LongType(), False),
@@ -135,16 +132,17 @@ def number_within_groups(df: DataFrame, group: Sequence[str], order: Sequence[st
             res["__first_run"] = first_run
             yield res
 
-    summary = ranged.mapInPandas(summarise, summary_schema)
-    # Offset of each partition's first run = rows of that group in earlier partitions;
-    # such partitions end with that group (ranges are sorted), so sum their tails.
-    p = summary.select("__pid", *[F.col(f"__f_{g}").alias(g) for g in group])
-    q = summary.select(F.col("__pid").alias("__qpid"), *[F.col(f"__l_{g}").alias(g) for g in group],
-                       "__n_last")
-    cond = F.col("__qpid") < F.col("__pid")
-    for g in group:
-        cond = cond & p[g].eqNullSafe(q[g])
-    offsets = p.join(q, cond).groupBy("__pid").agg(F.sum("__n_last").alias("__off"))
+    # Offset of each partition's first run = rows of that group in earlier
+    # partitions; such partitions end with that group (ranges are sorted), so
+    # it is the running sum of the "gives" rows of the same group before the
+    # partition's "needs" row.  A window per group over <= 2 rows per
+    # partition: linear in the partition count even when one group spans
+    # thousands of partitions (no pairs of partitions are formed).
+    ends = ranged.mapInPandas(partition_ends, ends_schema)
+    w = Window.partitionBy(*group).orderBy("__pid", "__kind") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = ends.withColumn("__off", F.sum("__amt").over(w)).filter(F.col("__kind") == 0) \
+        .select("__pid", "__off")
     offsets = broadcast_if_bounded(offsets, max(n, 1) * 4)
     numbered = ranged.mapInPandas(number, numbered_schema).join(offsets, "__pid", "left")
     rn = F.col("__local") + F.when(F.col("__first_run"), F.coalesce(F.col("__off"), F.lit(0))).otherwise(0) \
