@@ -115,9 +115,11 @@ def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame,
         done = spark.read.schema(SC.MATCH_SUMMARY).parquet(p["summary"]).select("match_id").distinct()
         todo_chat = chat_t.join(done, "match_id", "left_anti")
     summary = T.match_summary(todo_chat, match_t, region_t)
+    # No prune_by here: finding the touched dates would compute the summary a
+    # second time, while the summary's key column (one row per match) is cheap
+    # to read whole.
     rep.loaded["match_summary_data"] = incremental_load(spark, summary, p["summary"], ["match_id"],
-                                                        ["match_date"], schema=SC.MATCH_SUMMARY,
-                                                        prune_by=["match_date"])
+                                                        ["match_date"], schema=SC.MATCH_SUMMARY)
     if raise_on_fail and not rep.ok:
         raise DataQualityError(rep.checks)
     return rep

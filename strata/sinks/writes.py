@@ -74,6 +74,9 @@ def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Seq
     ``prune_by`` names partition columns that the key determines (a match's
     date, say): the existing keys are then read only from the partitions the
     new rows fall in (a partition filter on the scan) instead of the whole table.
+    Those values are fetched by a small job over ``new`` before the write, so
+    ``new`` is evaluated twice: use it when ``new`` is cheap to re-read (a
+    batch of files) and the target is large.
     Single writer per target: append + anti join is not atomic across writers.
     """
     if refresh:
