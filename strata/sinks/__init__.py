@@ -5,9 +5,9 @@ and catalog tables.  Every write reports its row count through an
 
 from .writes import (append_if_absent, bucketed_table, create_table, drop_table, export_csv_quoted,
                      rows_not_in_target,
-                     for_partitioned_write, incremental_load, load_table, replace_table, single_file_overwrite, upsert_columns,
+                     for_partitioned_write, incremental_load, key_ranges, load_table, replace_table, single_file_overwrite, upsert_columns,
                      write_parquet)
 
 __all__ = ["append_if_absent", "bucketed_table", "create_table", "drop_table", "export_csv_quoted",
-           "for_partitioned_write", "incremental_load", "rows_not_in_target", "load_table", "replace_table", "single_file_overwrite", "upsert_columns",
+           "for_partitioned_write", "incremental_load", "key_ranges", "rows_not_in_target", "load_table", "replace_table", "single_file_overwrite", "upsert_columns",
            "write_parquet"]

@@ -31,10 +31,17 @@ def for_partitioned_write(df: DataFrame, partition_by: Sequence[str]) -> DataFra
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] | None = None) -> int:
-    """Parquet write (overwrite / append), optionally partitioned; returns rows written."""
+                  partition_by: Sequence[str] | None = None,
+                  sort_within: Sequence[str] | None = None) -> int:
+    """Parquet write (overwrite / append), optionally partitioned; returns rows written.
+
+    ``sort_within`` sorts each task's rows before writing, so every file's
+    row groups cover narrow ranges of those columns and a range filter on a
+    later read skips them by their min/max statistics."""
     if partition_by:
         df = for_partitioned_write(df, partition_by)
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
     d, obs = _observed(df, "write")
     w = d.write.mode(mode)
     if partition_by:
@@ -62,7 +69,8 @@ def _key_match(new: DataFrame, old: DataFrame, keys: Sequence[str], null_safe: b
 def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Sequence[str],
                      partition_by: Sequence[str] | None = None, *, schema: StructType | None = None,
                      null_safe: bool = True, refresh: bool = False,
-                     prune_by: Sequence[str] | None = None) -> int:
+                     prune_by: Sequence[str] | None = None, range_by: Sequence[str] | None = None,
+                     sort_within: Sequence[str] | None = None) -> int:
     """Idempotent incremental load: append only rows whose key is not in the
     target yet; create the target when absent.  Loading the same data twice
     equals loading it once.
@@ -77,17 +85,21 @@ def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Seq
     Those values are fetched by a small job over ``new`` before the write, so
     ``new`` is evaluated twice: use it when ``new`` is cheap to re-read (a
     batch of files) and the target is large.
+    ``range_by`` names key columns whose [min, max] over ``new`` bounds the
+    existing keys read (exact: rows outside cannot match); with the target
+    written ``sort_within`` those columns, the filter skips row groups of
+    older data by their statistics instead of reading them.
     Single writer per target: append + anti join is not atomic across writers.
     """
     if refresh:
         if not partition_by:
             raise ValueError("refresh needs partition columns")
-        return write_parquet(new, target, "overwrite", partition_by)
+        return write_parquet(new, target, "overwrite", partition_by, sort_within)
     if path_exists(spark, target):
         todo = rows_not_in_target(spark, new, target, keys, schema=schema, null_safe=null_safe,
-                                  prune_by=prune_by)
-        return write_parquet(todo, target, "append", partition_by)
-    return write_parquet(new, target, "overwrite", partition_by)
+                                  prune_by=prune_by, range_by=range_by)
+        return write_parquet(todo, target, "append", partition_by, sort_within)
+    return write_parquet(new, target, "overwrite", partition_by, sort_within)
 
 
 # Most partition values whose directories a pruned key read lists by value.
@@ -118,19 +130,40 @@ def touched_partitions(new: DataFrame, partition_cols: Sequence[str],
     return pred if pred is not None else F.lit(True)
 
 
+def key_ranges(new: DataFrame, cols: Sequence[str], keep_nulls: bool) -> Column:
+    """Each column within its [min, max] over ``new`` (one small aggregate job);
+    ``keep_nulls`` also keeps null values (null-safe key matching)."""
+    cols = list(cols)
+    bounds = new.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+                     *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    pred = F.lit(True)
+    for i, c in enumerate(cols):
+        lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
+        cond = F.col(c).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
+        if keep_nulls:
+            cond = cond | F.col(c).isNull()
+        pred = pred & cond
+    return pred
+
+
 def rows_not_in_target(spark: SparkSession, new: DataFrame, target: str, keys: Sequence[str], *,
                        schema: StructType | None = None, null_safe: bool = True,
-                       prune_by: Sequence[str] | None = None) -> DataFrame:
+                       prune_by: Sequence[str] | None = None,
+                       range_by: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``new`` whose key the existing table at ``target`` lacks (the
     plan an incremental load appends).  Only the key columns of the target are
     read; with ``prune_by`` (partition columns the key determines) only the
-    partitions holding the new rows' values."""
+    partitions holding the new rows' values; with ``range_by`` (key columns)
+    only rows within the new rows' key range, a filter parquet applies to row
+    group statistics."""
     r = spark.read.schema(schema) if schema is not None else spark.read
     existing = r.parquet(target)
     if prune_by:
         pred = touched_partitions(new, prune_by)
         if pred is not None:
             existing = existing.where(pred)
+    if range_by:
+        existing = existing.where(key_ranges(new, range_by, null_safe))
     existing = existing.select(*keys).distinct()
     return new.join(existing, _key_match(new, existing, keys, null_safe), "left_anti")
 

@@ -128,3 +128,25 @@ def test_prune_by_reads_only_touched_partitions(spark, tmp_path):
         return out
     counts = part_counts(todo._jdf.queryExecution().executedPlan())
     assert counts and max(counts) == 2
+
+
+def test_range_by_skips_older_row_groups(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "t")
+    old = spark.range(0, 20000, 1, 4).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    K.write_parquet(old, path, "overwrite", sort_within=["k"])
+    new = spark.range(30000, 30100).select(F.col("id").alias("k"), F.lit("y").alias("v")) \
+        .unionByName(spark.range(5).select((F.col("id") * 1000).alias("k"), F.lit("x").alias("v")))
+    todo = K.rows_not_in_target(spark, new, path, ["k", "v"], range_by=["k"])
+    assert sorted(r.k for r in todo.collect()) == list(range(30000, 30100))
+    # A batch of only new keys: the stored rows are read through the range
+    # filter, which parquet applies to row-group statistics -- nothing is read.
+    only_new = new.filter("k >= 30000")
+    assert K.rows_not_in_target(spark, only_new, path, ["k", "v"], range_by=["k"]).count() == 100
+    stored = spark.read.parquet(path).where(K.key_ranges(only_new, ["k"], keep_nulls=True)).select("k")
+    assert stored.collect() == []
+    scan = stored._jdf.queryExecution().executedPlan()
+    while "Scan" not in scan.nodeName():
+        kind = scan.getClass().getSimpleName()
+        scan = scan.executedPlan() if kind == "AdaptiveSparkPlanExec" else scan.children().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() == 0
