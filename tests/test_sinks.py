@@ -150,3 +150,20 @@ def test_range_by_skips_older_row_groups(spark, tmp_path):
         kind = scan.getClass().getSimpleName()
         scan = scan.executedPlan() if kind == "AdaptiveSparkPlanExec" else scan.children().apply(0)
     assert scan.metrics().apply("numOutputRows").value() == 0
+
+
+def test_pruned_load_is_exact_with_null_partitions_and_past_the_bound(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from strata.sinks import writes as W
+    path = str(tmp_path / "t")
+    old = spark.range(100).select(F.col("id").alias("k"),
+                                  F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") % 3).alias("p"))
+    K.write_parquet(old, path, "overwrite", ["p"])
+    # new: every old row again (same key -> same partition) plus 10 new keys in a null partition
+    new = old.unionByName(spark.range(100, 110).select(F.col("id").alias("k"), F.lit(None).cast("long").alias("p")))
+    want = list(range(100, 110))
+    assert sorted(r.k for r in K.rows_not_in_target(spark, new, path, ["k"], prune_by=["p"]).collect()) == want
+    # past the bound (4 values > 1) no partition filter is used, and the result is the same
+    assert W.touched_partitions(new, ["p"], max_values=1) is None
+    monkeypatch.setattr(W, "touched_partitions", lambda df, cols: None)
+    assert sorted(r.k for r in K.rows_not_in_target(spark, new, path, ["k"], prune_by=["p"]).collect()) == want
