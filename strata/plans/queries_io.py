@@ -153,7 +153,8 @@ def q_insert_if_absent_batches(spark, d):
     fact = ST.songplays_lookup(V.staging_events(spark, d, item_in_session=False), ST.songs_dim(songs, "first"),
                                ST.artists_dim(songs, "first"), dedup_key=("start_time",))
     for batch in _split(fact.withColumn("ts", F.unix_millis("start_time")), "ts"):
-        K.append_if_absent(spark, batch, path, ["start_time"], ["ts"])
+        K.append_if_absent(spark, batch, path, ["start_time"], ["ts"], range_by=["start_time"],
+                           sort_within=["start_time"])
     return spark.read.parquet(path)
 
 

@@ -170,13 +170,18 @@ def rows_not_in_target(spark: SparkSession, new: DataFrame, target: str, keys: S
 
 def append_if_absent(spark: SparkSession, new: DataFrame, target: str, keys: Sequence[str],
                      order_by: Sequence[str], partition_by: Sequence[str] | None = None,
-                     schema: StructType | None = None, drop_order: bool = True) -> int:
+                     schema: StructType | None = None, drop_order: bool = True,
+                     range_by: Sequence[str] | None = None,
+                     sort_within: Sequence[str] | None = None) -> int:
     """INSERT ... ON CONFLICT (keys) DO NOTHING: the first new row per key is
-    added unless the key is already in the target."""
+    added unless the key is already in the target.  ``range_by`` /
+    ``sort_within`` as in ``incremental_load`` (a fact keyed by time: a batch
+    of later plays skips the row groups of earlier ones)."""
     firsts = first_by_key(new, keys, order_by)
     if drop_order:
         firsts = firsts.drop(*[c for c in order_by if c not in keys])
-    return incremental_load(spark, firsts, target, keys, partition_by, schema=schema)
+    return incremental_load(spark, firsts, target, keys, partition_by, schema=schema,
+                            range_by=range_by, sort_within=sort_within)
 
 
 def replace_table(spark: SparkSession, df: DataFrame, target: str,
