@@ -80,7 +80,7 @@ class Codec:
 
     def run(self, piece: bytes) -> list[int]:
         """BPE of one unsplit run of bytes."""
-        return self.enc.encode_single_piece(piece)
+        return self.enc._encode_single_piece(piece)
 
     def token(self, i: int) -> bytes:
         return self.enc.decode_single_token_bytes(int(i))

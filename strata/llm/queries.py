@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, exact_dedup, quality_rules, token_counts
-from strata.llm.common import documents
+from strata.llm import (bpe, exact_dedup, kneser_ney, lang_id, mixing, ngram_join, quality_model, quality_rules,
+                        substring_dedup, token_counts)
+from strata.llm.common import crc_remainder, documents
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -14,6 +15,27 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held = crc_remainder("doc_id", 3) == 1
+    model = lang_id.fit(docs, ~held)
+    return lang_id.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = substring_dedup.remove(documents(spark, sf_dir), carry=["doc_id"])
+    return r.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = mixing.Mixture(documents(spark, sf_dir)).taken()
+    return t.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = exact_dedup.mark(documents(spark, sf_dir), carry=["doc_id"])
     return m.select("row.doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
@@ -32,16 +54,38 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held = crc_remainder("doc_id", 5) == 0
+    model = quality_model.fit(docs, documents(spark, sf_dir, "labels"), ~held)
+    return quality_model.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = token_counts.lengths(documents(spark, sf_dir), tokenizer_path())
     return token_counts.limits(token_counts.histogram(sizes))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held = crc_remainder("doc_id", 7) == 2
+    model = kneser_ney.fit(docs, ~held)
+    return kneser_ney.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_source_mixing": op3_source_mixing,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_token_counts": op9_token_counts,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 _OP5 = """

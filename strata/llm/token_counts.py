@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.bpe import SPLIT_CHARS, codec, encode_text
-from strata.llm.common import column, map_chunks, pick
+from strata.llm.common import column, kept_table, map_chunks, pick
 
 LENGTHS_PER_BLOCK = 4096
 
@@ -40,8 +40,9 @@ def lengths(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
 
 
 def histogram(sizes: DataFrame) -> DataFrame:
-    """(n_tokens, n_docs), one row per distinct length."""
-    return sizes.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    """(n_tokens, n_docs), one row per distinct length; written once, so that
+    every later question reads it and not the texts."""
+    return kept_table(sizes.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
 
 
 def limits(hist: DataFrame) -> DataFrame:
