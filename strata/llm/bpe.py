@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -206,17 +207,18 @@ def _lists(ids: list) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(off), pa.array(flat, pa.int32()))
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
+def encode(docs: DataFrame, path: str, carry: list[str] | None = None, text: str = "text",
            split_chars: int = SPLIT_CHARS, decoded: bool = False) -> DataFrame:
-    """(doc_id, ids array<int>[, decoded string]) of every whole text."""
-    src = pick(docs, doc_id=doc_id, text=F.coalesce(docs[text], F.lit("")))
-    id_type = src.schema["doc_id"].dataType.simpleString()
-    out = f"doc_id {id_type}, ids array<int>" + (", decoded string" if decoded else "")
+    """The carried columns (doc_id), ids array<int>[, decoded string] of every
+    whole text."""
+    src = pick(docs, row=F.struct(*[docs[c] for c in carry or ["doc_id"]]), text=F.coalesce(docs[text], F.lit("")))
+    row_type = src.schema["row"].dataType.simpleString()
+    out = f"row {row_type}, ids array<int>" + (", decoded string" if decoded else "")
 
     def short(rows: pa.RecordBatch, _) -> dict:
         c = codec(path)
         ids = [c.encode(t) for t in column(rows, "text").to_pylist()]
-        res = {"doc_id": column(rows, "doc_id"), "ids": _lists(ids)}
+        res = {"row": column(rows, "row"), "ids": _lists(ids)}
         if decoded:
             res["decoded"] = [c.decode(x) for x in ids]
         return res
@@ -225,34 +227,34 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         c = codec(path)
         got = [(r, seq, k, b) for r, t in enumerate(column(rows, "text").to_pylist())
                for seq, (k, b) in enumerate(pieces(c, t, split_chars))]
-        pick_rows = pa.array([g[0] for g in got], pa.int32())
-        return {"doc_id": column(rows, "doc_id").take(pick_rows), "at": column(rows, "at").take(pick_rows),
-                "seq": [g[1] for g in got], "kind": [g[2] for g in got], "text": pa.array([g[3] for g in got], pa.binary())}
+        at = pa.array([g[0] for g in got], pa.int32())
+        return {"row": column(rows, "row").take(at), "at": column(rows, "at").take(at), "seq": [g[1] for g in got],
+                "kind": [g[2] for g in got], "text": pa.array([g[3] for g in got], pa.binary())}
 
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for b in batches:
             ids = [encode_piece(c, k, x) for k, x in zip(column(b, "kind").to_pylist(), column(b, "text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([column(b, n) for n in ("doc_id", "at", "seq", "kind")] + [_lists(ids)],
-                                             names=["doc_id", "at", "seq", "kind", "ids"])
+            yield pa.RecordBatch.from_arrays([column(b, n) for n in ("row", "at", "seq", "kind")] + [_lists(ids)],
+                                             names=["row", "at", "seq", "kind", "ids"])
 
     def whole(table: pa.Table) -> pa.Table:
         c = codec(path)
-        table = table.sort_by("seq")
-        ids = assemble(c, list(zip(table["kind"].to_pylist(), table["ids"].to_pylist())))
-        cols = [table["doc_id"].slice(0, 1).combine_chunks(), _lists([ids])]
-        names = ["doc_id", "ids"]
+        table = table.combine_chunks()
+        order = pa.compute.sort_indices(table["seq"])
+        ids = assemble(c, list(zip(table["kind"].take(order).to_pylist(), table["ids"].take(order).to_pylist())))
+        cols, names = [table["row"].chunk(0).slice(0, 1), _lists([ids])], ["row", "ids"]
         if decoded:
             cols, names = [*cols, pa.array([c.decode(ids)], pa.string())], [*names, "decoded"]
         return pa.Table.from_arrays(cols, names=names)
 
     long_text = F.length("text") > split_chars
     near = map_chunks(src.filter(~long_text), short, out)
-    key = f"doc_id {id_type}, at long, seq int, kind int"
+    key = f"row {row_type}, at long, seq int, kind int"
     cuts = map_chunks(src.filter(long_text).withColumn("at", F.monotonically_increasing_id()), cut, f"{key}, text binary")
     far = cuts.repartition("at", "seq").mapInArrow(encode_pieces, f"{key}, ids array<int>") \
         .groupBy("at").applyInArrow(whole, out)
-    return near.unionByName(far)
+    return near.unionByName(far).select("row.*", "ids", *(["decoded"] if decoded else []))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

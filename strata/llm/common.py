@@ -84,3 +84,22 @@ def kept_table(df: DataFrame, purpose: str, partition_by: list[str] | None = Non
 def crc_remainder(doc_id: str, modulus: int):
     """crc32 of the id as text, modulo (a null id counts as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def marked_apart(rows: DataFrame, cols: list[str], marks: DataFrame, n: int, max_bits: int = 1 << 28) -> tuple[DataFrame, DataFrame]:
+    """(rows surely without a mark, rows that may have one), by a bit filter.
+
+    ``marks`` holds the marked values of ``cols``.  The filter has 16 bits for
+    each of the n rows, at most ``max_bits`` (32 MB), and is what is broadcast;
+    past that bound more unmarked rows land in the second frame, where the
+    caller's exact join sorts them out.
+    """
+    blocks = max(1, -(-min(16 * n, max_bits) // 32768))
+    slot = F.pmod(F.xxhash64(*cols), F.lit(blocks * 32768))
+    block, bit = F.floor(slot / 32768).cast("long"), F.pmod(slot, F.lit(32768))
+    seen = kept_table(marks.select(block.alias("filter_block"), bit.alias("b")).groupBy("filter_block")
+                      .agg(F.bitmap_construct_agg("b").alias("filter_bits")), "marks")
+    byte = F.substring(F.col("filter_bits"), F.shiftright(bit.cast("int"), 3) + 1, F.lit(1))
+    hit = F.coalesce(F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), bit.cast("int").bitwiseAND(F.lit(7))) == 1, F.lit(False))
+    tested = rows.withColumn("filter_block", block).join(F.broadcast(seen), "filter_block", "left").withColumn("filter_hit", hit)
+    return tested.filter(~F.col("filter_hit")).select(*rows.columns), tested.filter("filter_hit").select(*rows.columns)

@@ -35,7 +35,7 @@ from pyspark.sql.types import LongType
 from strata.llm.common import kept_table
 from strata.llm.textbytes import mix
 
-WORD = r"[^\x20\x09-\x0D]+"
+BLANKS = r"[\x20\x09-\x0D]+"
 BLOCK = 64
 SLOTS = 8192
 BUCKET_ROWS = 20_000
@@ -48,7 +48,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 def n_words(text: Column) -> Column:
     """Words of a text: the runs of bytes outside the six blanks."""
-    return F.coalesce(F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != "")), F.lit(0)).cast("long")
+    return F.coalesce(F.size(F.filter(F.split(text, BLANKS), lambda x: x != "")), F.lit(0)).cast("long")
 
 
 def targets(sizes: list[int], weights: list[int], total: int, most: int = MAX_EPOCHS) -> list[float]:
@@ -205,19 +205,24 @@ def pieces(docs: DataFrame, table: pd.DataFrame, block: int = BLOCK) -> DataFram
                       (F.least("hi", (F.col("index") + 1) * block) - F.greatest("lo", F.col("index") * block)).alias("n"))
 
 
-def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(row_id, doc_id, source, size): a narrow table of all documents, written once."""
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[source].cast("string").alias("source"), n_words(docs[text]).alias("size"),
-                       F.monotonically_increasing_id().alias("row_id"))
-    return kept_table(rows, "mix-sizes")
+def numbered(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The documents with row_id, written once so that the ids hold."""
+    return kept_table(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("text"),
+                                  F.monotonically_increasing_id().alias("row_id")), "mix-documents")
 
 
 class Mixture:
     """The mixture of a corpus: its sources, slots and document parts."""
 
-    def __init__(self, docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED, **columns):
+    def __init__(self, docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED, doc_id: str = "doc_id",
+                 text: str = "text", source: str = "source", texts: bool = False):
         spark = docs.sparkSession
-        self.rows = sized(docs, **columns)
+        self.docs = numbered(docs, text) if texts else None
+        src = self.docs.select("row_id", F.col(f"row.{doc_id}").alias("doc_id"), F.col(f"row.{source}").alias("source"), "text") if texts \
+            else docs.select(F.monotonically_increasing_id().alias("row_id"), docs[doc_id].alias("doc_id"), docs[source].alias("source"),
+                             docs[text].alias("text"))
+        self.rows = kept_table(src.select("row_id", "doc_id", F.col("source").cast("string").alias("source"),
+                                          n_words(F.col("text")).alias("size")), "mix-sizes")
         self.table = source_table(self.rows, block)
         draws = kept_table(shard_counts(spark, self.table, slots, seed), "mix-draws")
         self.slots = slot_table(settled(spark, draws, self.table), self.table, seed)
@@ -235,7 +240,23 @@ class Mixture:
         times = self.slots.groupBy("src", "index").agg(F.count(F.lit(1)).alias("times"))
         used = self.pieces.join(times, ["src", "index"]).groupBy("row_id").agg(F.sum(F.col("n") * F.col("times")).alias("taken"))
         src = spark.createDataFrame([(s, int(a), float(t)) for s, a, t in zip(self.table["source"], self.table["source_size"], self.table["target"])],
-                                    "source string, source_size long, target double")
+                                    "name string, source_size long, target double")
         rows = self.rows.join(used, "row_id", "left")
-        return rows.join(F.broadcast(src), rows["source"].eqNullSafe(src["source"])).select(
-            "row_id", "doc_id", rows["source"], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        return rows.join(F.broadcast(src), rows["source"].eqNullSafe(src["name"])).select(
+            "row_id", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+    def texts(self, text: str = "text", length: str = "n_chars") -> DataFrame:
+        """The mixture as documents (needs ``texts=True``): per document and
+        epoch one row whose text is the words taken, in order.  A document taken
+        whole keeps its text as it is."""
+        per = self.blocks().groupBy("row_id", "epoch").agg(
+            F.sort_array(F.collect_list(F.struct("first", "n"))).alias("parts"), F.sum("n").alias("got"))
+        cut = per.join(self.rows.select("row_id", "size"), "row_id").select(
+            "row_id", F.when(F.col("got") < F.col("size"), F.col("parts")).alias("parts"))
+        j = self.docs.join(cut, "row_id")
+        ws = F.filter(F.split("text", BLANKS), lambda x: x != "")
+        some = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(ws, p["first"].cast("int") + 1, p["n"].cast("int")))), " ")
+        j = j.withColumn("mixed", F.coalesce(some, F.col("text")))
+        names = self.docs.schema["row"].dataType.names
+        return j.select(*[F.col("mixed").alias(c) if c == text else F.length("mixed").cast("long").alias(c) if c == length
+                          else F.col(f"row.{c}").alias(c) for c in names])

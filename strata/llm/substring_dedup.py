@@ -11,8 +11,8 @@
    text hash) with their ranges.
 
 Windows are judged on the input.  The sketch plane is the only broadcast; it is
-bounded by ``sketch.MAX_CELLS`` bits a row, and the document filter by
-``FILTER_BITS``.  Past these bounds more windows and documents take the exact
+bounded by ``sketch.MAX_CELLS`` bits a row, and the filter of affected
+documents by 32 MB.  Past these bounds more windows and documents take the exact
 path; nothing is lost.
 
 Defined results: a null or empty text has no words and keeps the empty text;
@@ -22,7 +22,6 @@ so each one's windows start elsewhere.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbytes as T
-from strata.llm.common import column, kept_table, map_chunks, pick
+from strata.llm.common import column, kept_table, map_chunks, marked_apart, pick
 from strata.llm.sketch import Plane, cells_for, merged, pack, pack_sorted, unpack, unpack_sorted
 
 WINDOW = 35
@@ -40,7 +39,6 @@ SKETCH_ROWS = 2
 CELLS_PER_WORD = 2.5      # per sketch row
 PER_RANGE = 1 << 20       # windows per exact-grouping range, about
 PER_BUCKET = 1 << 13      # documents per bucket of returned ranges, about
-FILTER_BITS = 1 << 28     # most bits of the filter of affected documents
 FLUSH = 1 << 20
 _SEED = np.uint64(0xA24BAED4963EE407)
 
@@ -227,35 +225,8 @@ def remove(docs: DataFrame, carry: list[str] | None = None, n: int = WINDOW, doc
     cuts = kept_table(repeated_ranges(rows, plane, cells, words, stat["n"], n), "passages")
     plane.unpersist()
 
-    # a filter of the affected documents: the others need no join
-    size = min(max(1 << 16, 16 * stat["n"]), FILTER_BITS)
-    slot = F.pmod(F.xxhash64("doc", "th"), F.lit(size))
-    marks = cuts.select(F.floor(slot / 32768).alias("block"), F.pmod(slot, F.lit(32768)).alias("bit")) \
-        .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
-    bits = bytearray(-(-size // 32768) * 4096)
-    for m in marks:
-        bits[m["block"] * 4096:(m["block"] + 1) * 4096] = m["bits"]
-    hit = spark.sparkContext.broadcast(bytes(bits))
     row_type = rows.schema["row"].dataType.simpleString()
     out = f"row {row_type}, n_words long, n_removed long, kept binary"
-    slotted = rows.withColumn("slot", slot)
-
-    def touched(batch: pa.RecordBatch) -> np.ndarray:
-        s = column(batch, "slot").to_numpy(zero_copy_only=False)
-        return (np.frombuffer(hit.value, np.uint8)[s >> 3] >> (s & 7)) & 1 == 1
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(~touched(b)))
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(touched(b)))
-
-    free = map_chunks(slotted.mapInArrow(clean, slotted.schema), _finish, out)
-    rest = slotted.mapInArrow(others, slotted.schema).drop("slot").join(cuts, ["doc", "th"], "left")
-    return free.unionByName(map_chunks(rest.select("row", "text", "cuts"), _finish, out))
-
-
-def digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()
+    clean, others = marked_apart(rows, ["doc", "th"], cuts, stat["n"])
+    rest = others.join(cuts, ["doc", "th"], "left").select("row", "text", "cuts")
+    return map_chunks(clean, _finish, out).unionByName(map_chunks(rest, _finish, out))
