@@ -20,15 +20,6 @@ def epoch_ms_to_ts_seconds(ms: Column | str) -> Column:
     return F.timestamp_seconds(F.floor(_c(ms) / 1000).cast("long"))
 
 
-def epoch_s_to_ts(s: Column | str) -> Column:
-    return F.timestamp_seconds(_c(s))
-
-
-def epoch_ms_of(ts: Column | str) -> Column:
-    """TIMESTAMP or TIMESTAMP_NTZ -> epoch milliseconds (floored, session zone UTC)."""
-    return F.unix_millis(_c(ts).cast("timestamp"))
-
-
 # Weekday numberings used by the three star-schema builds:
 #   "spark":     Sunday=1 .. Saturday=7
 #   "pandas":    Monday=0 .. Sunday=6

@@ -1,10 +1,12 @@
 """Key-based dedup policies (first row wins, last row wins, partial upserts).
 
-All policies are aggregations with ``min_by`` / ``max_by`` over an explicit
-arrival order, never "whatever row the partition happened to see first".  An
-aggregation combines map-side, so a key holding a third of all rows is reduced
-to one row per map partition before the shuffle.  ``top_per_group`` (a
-``row_number`` window) is kept for ranked top-k per group.
+Every policy follows an explicit arrival order, never "whatever row the
+partition happened to see first".  Keeping a whole row per key is a
+``row_number`` of 1, which Spark plans as ``WindowGroupLimit`` on both sides of
+the shuffle: a key holding a third of all rows crosses it as one row per map
+task, and near-unique keys (a fact) cost one sort, not an aggregate over
+structs.  An upsert of some columns is a ``min_by`` / ``max_by`` aggregate, for
+dimensions with few keys.
 """
 
 from __future__ import annotations
@@ -21,13 +23,8 @@ def _order_struct(order_by: Sequence[str | Column]) -> Column:
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], last: bool) -> DataFrame:
-    keys = list(keys)
-    vals = [c for c in df.columns if c not in keys]
-    if not vals:
-        return df.select(*keys).distinct()
-    by = F.max_by if last else F.min_by
-    packed = by(F.struct(*[F.col(c) for c in vals]), _order_struct(order_by)).alias("__row")
-    return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in vals])
+    order = _order_struct(order_by)
+    return top_per_group(df, list(keys), [order.desc() if last else order.asc()])
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
@@ -65,8 +62,3 @@ def top_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     rn = rank_col or "__rn"
     out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= n)
     return out if rank_col else out.drop(rn)
-
-
-def new_rows_only(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not yet in ``existing`` (left anti join)."""
-    return new.join(existing.select(*keys), list(keys), "left_anti")

@@ -1,4 +1,9 @@
-"""Join helpers: size-checked broadcast, single-row lookup, anti / semi joins."""
+"""Join helpers: single-row lookup, anti / semi joins.
+
+No join forces a broadcast.  Spark broadcasts a side whose size in bytes it
+knows to be below ``spark.sql.autoBroadcastJoinThreshold`` (from file sizes, or
+at run time from real shuffle sizes), and no job runs while a plan is built.
+"""
 
 from __future__ import annotations
 
@@ -7,38 +12,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BOUND_CACHE: dict[tuple[int, str, int], bool] = {}
-
-
-def _size_estimate(df: DataFrame) -> str:
-    """The optimizer's size estimate of ``df`` (from file sizes; no job)."""
-    return str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def within_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()`` -- a job that stops reading after
-    max_rows+1 rows -- and memoises the answer per (plan, input size, bound):
-    a table re-written at the same path changes its size estimate, so a
-    stale "small" answer is never reused for a table that has grown.
-    """
-    key = (df.semanticHash(), _size_estimate(df), max_rows)
-    if key not in _BOUND_CACHE:
-        _BOUND_CACHE[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _BOUND_CACHE[key]
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven <= ``max_rows``.
-
-    Otherwise return it unchanged so the planner falls back to a shuffled
-    (sort-merge) join, which AQE can still turn into a broadcast at run time
-    from real shuffle sizes.
-    """
-    return F.broadcast(df) if within_rows(df, max_rows) else df
-
-
 def lookup_join(left: DataFrame, dim: DataFrame, left_keys: Sequence[str | Column],
                 dim_keys: Sequence[str], take: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Left join that never changes the left row count.
@@ -73,5 +46,9 @@ def missing_keys(source: DataFrame, target: DataFrame, source_key: str,
 
 
 def having_match(rows: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``keys`` (left semi join; no fan-out, no distinct)."""
-    return rows.join(keys, on, "left_semi")
+    """Rows whose key occurs in ``keys`` (left semi join).
+
+    The keys are made distinct first: that combines map-side, so a key that a
+    third of the rows hold reaches the join as one row per map task.  AQE
+    cannot split the right side of a semi join."""
+    return rows.join(keys.select(*([on] if isinstance(on, str) else on)).distinct(), on, "left_semi")

@@ -15,7 +15,8 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from .. import schemas as SC
 from ..operators import dq
-from ..sinks import incremental_load, load_table, single_file_overwrite, write_parquet
+from ..operators.joins import having_match
+from ..sinks import incremental_load, load_table, single_file_overwrite, touched_partitions, write_parquet
 from ..sources.files import path_exists, stage_json
 from . import star as ST
 from . import toxicity as T
@@ -51,21 +52,39 @@ CHAT_MATCH_KEY = ("match_id",)
 CHAT_ROW_KEY = ("match_id", "slot", "time_in_seconds", "player_name", "chat")
 
 
+def _gate(rep: RunReport, raise_on_fail: bool) -> None:
+    if raise_on_fail and not rep.ok:
+        raise DataQualityError(rep.checks)
+
+
+def _days(chat: DataFrame, matches: DataFrame) -> list:
+    """The run dates of the stored chat of some matches (one value per partition
+    directory; only the narrow key and partition columns are read)."""
+    return [r[0] for r in chat.select("match_id", "run_date")
+            .join(matches.select("match_id").distinct(), "match_id", "left_semi").select("run_date").distinct().collect()]
+
+
 def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame, region_raw: DataFrame,
                  root: str, run_ts: str, *, raise_on_fail: bool = False, refresh: bool = False,
                  chat_key: Sequence[str] | None = None) -> RunReport:
-    """Typed incremental loads, checks, then the per-match summary.
+    """Typed incremental loads, checks and their gate, then the per-match summary.
 
     Chat is partitioned by the run's date (``run_date``) and keeps the exact
     run stamp as a column; matches and summary are partitioned by match date.
+    With ``raise_on_fail`` a failed check ends the run before the summary.
 
     Default (the reference's behaviour): chat is keyed by match, and only
     matches without a summary are summarised and appended -- a late line of a
     loaded match is dropped and a summary never changes.  ``refresh=True``
     keys chat by row (``chat_key`` overrides either default), so late lines are
-    loaded; every match date that received chat in this run has its summary
-    partition recomputed and overwritten (dynamic partition overwrite), and
-    dates without new chat are not touched.
+    loaded.  The summary partitions of every match date that the run changes
+    are then recomputed and overwritten: dates of matches with chat from this
+    run, of matches loaded in this run, and of matches that have chat and a
+    region but no summary yet (a late match or region).  Other dates are not
+    touched.
+
+    What a run reads of older chat: match ids and run dates of all of it, and
+    the text only in the run dates that hold chat of the matches it summarises.
     """
     p = chat_paths(root)
     rep = RunReport(paths=p)
@@ -86,46 +105,34 @@ def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame,
     match_t = spark.read.schema(SC.MATCH).parquet(p["match"])
     region_t = spark.read.schema(SC.REGION).parquet(p["region"])
     run = F.col("date_processed") == F.to_timestamp(F.lit(run_ts))
-    counts = dq.run_record_counts({"chat_data": chat_t, "match_data": match_t,
+    new_chat = chat_t.filter((F.col("run_date") == F.to_date(F.to_timestamp(F.lit(run_ts)))) & run)
+    counts = dq.run_record_counts({"chat_data": new_chat, "match_data": match_t,
                                    "cluster_regions_data": region_t}, run)
-    orphans = (dq.orphan_check(chat_t, match_t, "match_id", "match_id", "chat_data", "match_data")
+    orphans = (dq.orphan_check(new_chat, match_t, "match_id", "match_id", "chat_data", "match_data")
                .unionByName(dq.orphan_check(match_t, region_t, "cluster_id", "cluster_id",
                                             "match_data", "cluster_regions_data"))
                .unionByName(dq.orphan_check(match_t, chat_t, "match_id", "match_id",
                                             "match_data", "chat_data")))
     # Both results are a handful of rows (one per table / per check).
     rep.checks = [r.asDict() for r in counts.collect()] + [r.asDict() for r in orphans.collect()]
+    _gate(rep, raise_on_fail)
 
-    if refresh:
-        # Dates whose summary may change: those of matches with chat from this run.
-        # The partitions of those dates are rebuilt from all their chat.
-        fresh = chat_t.filter(run).select("match_id").distinct()
-        dates = match_t.join(fresh, "match_id", "left_semi").select("match_date").distinct()
-        in_dates = match_t.join(dates, "match_date", "left_semi")
-        todo_chat = chat_t.join(in_dates.select("match_id"), "match_id", "left_semi")
-        summary = T.match_summary(todo_chat, in_dates, region_t)
-        rep.loaded["match_summary_data"] = incremental_load(spark, summary, p["summary"], ["match_id"],
-                                                            ["match_date"], schema=SC.MATCH_SUMMARY,
-                                                            refresh=True)
-        if raise_on_fail and not rep.ok:
-            raise DataQualityError(rep.checks)
-        return rep
-
-    # Matches already summarised keep their row (their chat cannot change: chat
-    # loads skip known matches), so only chat of not-yet-summarised matches is
-    # aggregated -- the work of a run grows with the new data, not the history.
-    todo_chat = chat_t
+    ready = match_t.join(region_t.select("cluster_id").distinct(), "cluster_id", "left_semi")
+    todo = ready
     if path_exists(spark, p["summary"]):
         done = spark.read.schema(SC.MATCH_SUMMARY).parquet(p["summary"]).select("match_id").distinct()
-        todo_chat = chat_t.join(done, "match_id", "left_anti")
-    summary = T.match_summary(todo_chat, match_t, region_t)
-    # No prune_by here: finding the touched dates would compute the summary a
-    # second time, while the summary's key column (one row per match) is cheap
-    # to read whole.
-    rep.loaded["match_summary_data"] = incremental_load(spark, summary, p["summary"], ["match_id"],
-                                                        ["match_date"], schema=SC.MATCH_SUMMARY)
-    if raise_on_fail and not rep.ok:
-        raise DataQualityError(rep.checks)
+        todo = ready.join(done, "match_id", "left_anti")
+    if refresh:
+        waiting = having_match(todo, chat_t, "match_id").select("match_date")
+        touched = having_match(match_t, new_chat, "match_id").select("match_date") \
+            .unionByName(match_t.filter(run).select("match_date")).unionByName(waiting).distinct()
+        todo = match_t.where(touched_partitions(touched, ["match_date"]))
+    lines = chat_t.filter(F.col("run_date").isin(_days(chat_t, todo)))
+    # Reduced to one row per match before it meets the matches: no text is shuffled.
+    per_match = T.chat_by_match(lines)
+    summary = T.summary_of(per_match, todo, region_t)
+    rep.loaded["match_summary_data"] = incremental_load(spark, summary, p["summary"], ["match_id"], ["match_date"],
+                                                        schema=SC.MATCH_SUMMARY, refresh=refresh)
     return rep
 
 
@@ -135,17 +142,26 @@ def star_paths(root: str) -> dict[str, str]:
 
 
 def run_star_etl(spark: SparkSession, log_template: str, songs: DataFrame, root: str, *,
-                 raise_on_fail: bool = True, **params) -> RunReport:
-    """Stage the run's event JSON, append the fact, refresh the dimensions, gate.
-
-    Dimensions are overwritten (re-appending them every run would duplicate
-    them); the fact is appended.  The gate fails on an empty table."""
+                 raise_on_fail: bool = True, append_fact: bool = False, **params) -> RunReport:
+    """Stage the run's event JSON, load the fact, refresh the dimensions, gate.
+
+    The stage holds this run's files only, so what is built from it is added:
+    the fact by its whole row (a repeated run adds nothing; ``append_fact=True``
+    is the plain append) and users by theirs.  Songs and artists come from the
+    complete song table and time from the whole fact, so these are overwritten.
+    The gate fails on an empty table."""
     p = star_paths(root)
     rep = RunReport(paths=p)
     rep.loaded["staging_events"] = stage_json(spark, log_template, SC.EVENT_JSON, p["staging_events"], **params)
     events = spark.read.schema(SC.EVENT_JSON).parquet(p["staging_events"])
-    rep.loaded["songplays"] = load_table(ST.songplays_warehouse(events, songs), p["songplays"], append=True)
-    rep.loaded["users"] = load_table(ST.users_dim(events, "distinct"), p["users"], append=False)
+    plays = ST.songplays_warehouse(events, songs)
+    if append_fact:
+        rep.loaded["songplays"] = load_table(plays, p["songplays"], append=True)
+    else:
+        rep.loaded["songplays"] = incremental_load(spark, plays, p["songplays"], SC.SONGPLAYS.fieldNames(), schema=SC.SONGPLAYS,
+                                                   range_by=["start_time"], sort_within=["start_time"])
+    rep.loaded["users"] = incremental_load(spark, ST.users_dim(events, "distinct"), p["users"], SC.USERS.fieldNames(),
+                                           schema=SC.USERS)
     rep.loaded["songs"] = write_parquet(ST.songs_dim(songs, "distinct"), p["songs"], "overwrite",
                                         ["year", "artist_id"])
     rep.loaded["artists"] = load_table(ST.artists_dim(songs, "distinct"), p["artists"], append=False)
@@ -155,8 +171,7 @@ def run_star_etl(spark: SparkSession, log_template: str, songs: DataFrame, root:
     tables = {t: spark.read.schema(SC.TABLES[t]).parquet(p[t])
               for t in ("songplays", "users", "songs", "artists", "time")}
     rep.checks = [r.asDict() for r in dq.nonempty_tables(tables).collect()]
-    if raise_on_fail and not rep.ok:
-        raise DataQualityError(rep.checks)
+    _gate(rep, raise_on_fail)
     return rep
 
 

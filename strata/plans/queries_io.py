@@ -7,8 +7,6 @@ the round trip itself is what the oracle checks.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from .. import schemas as SC
@@ -22,7 +20,7 @@ from . import etl_run as R
 from . import lookups as L
 from . import star as ST
 from . import toxicity as T
-from .queries_music import MUSIC_CTES, USER_COLS, _lookup_sql
+from .queries_music import MUSIC_CTES, SESSION_ITEM_KEY_SQL, USER_COLS, _lookup_sql, top_key
 from .registry import DUCK_TYPED, SUMMARY_SQL, register
 from ..sources.views import duckdb_with
 
@@ -84,7 +82,7 @@ def q_incremental_matches(spark, d):
     them -- each match ends up in the table exactly once."""
     path = S.shared_dir(spark, "match")
     m = T.match_typed(V.match_raw(spark, d))
-    K.incremental_load(spark, m.filter(F.col("match_date") < F.lit("2016-01-01").cast("date")), path,
+    K.incremental_load(spark, m.filter(F.col("match_date") < F.lit("2015-11-10").cast("date")), path,
                        ["match_id"], ["match_date"], schema=SC.MATCH)
     K.incremental_load(spark, m, path, ["match_id"], ["match_date"], schema=SC.MATCH)
     return spark.read.schema(SC.MATCH).parquet(path).select(*SC.MATCH.fieldNames())
@@ -107,7 +105,7 @@ def q_incremental_twice(spark, d):
 def q_append_twice(spark, d):
     """INSERT INTO ... SELECT run twice appends the dimension twice."""
     path = S.shared_dir(spark, "users")
-    u = ST.users_dim(V.staging_events(spark, d, item_in_session=False), "distinct")
+    u = ST.users_dim(V.staging_events(spark, d), "distinct")
     K.load_table(u, path, append=True)
     K.load_table(u, path, append=True)
     return spark.read.schema(SC.USERS).parquet(path)
@@ -117,7 +115,7 @@ def q_append_twice(spark, d):
 def q_truncate_insert(spark, d):
     """Truncate-then-insert after an append leaves one copy."""
     path = S.shared_dir(spark, "users")
-    u = ST.users_dim(V.staging_events(spark, d, item_in_session=False), "distinct")
+    u = ST.users_dim(V.staging_events(spark, d), "distinct")
     K.load_table(u, path, append=True)
     K.load_table(u, path, append=False)
     return spark.read.schema(SC.USERS).parquet(path)
@@ -136,7 +134,7 @@ def q_upsert_users_batches(spark, d):
     """B10 against a stored table: two time batches upserted (level updated only)
     equal one upsert of everything."""
     path = S.shared_dir(spark, "users")
-    p = ST.plays(V.staging_events(spark, d, item_in_session=False)).filter(F.col("userId").isNotNull())
+    p = ST.plays(V.staging_events(spark, d)).filter(F.col("userId").isNotNull())
     rows = p.select(F.col("userId").alias("user_id"), F.col("firstName").alias("first_name"),
                     F.col("lastName").alias("last_name"), "gender", "level", "ts", "event_id")
     for batch in _split(rows):
@@ -150,7 +148,7 @@ def q_insert_if_absent_batches(spark, d):
     ON CONFLICT (start_time) DO NOTHING."""
     path = S.shared_dir(spark, "songplays")
     songs = V.staging_songs_ordered(spark, d)
-    fact = ST.songplays_lookup(V.staging_events(spark, d, item_in_session=False), ST.songs_dim(songs, "first"),
+    fact = ST.songplays_lookup(V.staging_events(spark, d), ST.songs_dim(songs, "first"),
                                ST.artists_dim(songs, "first"), dedup_key=("start_time",))
     for batch in _split(fact.withColumn("ts", F.unix_millis("start_time")), "ts"):
         K.append_if_absent(spark, batch, path, ["start_time"], ["ts"], range_by=["start_time"],
@@ -165,13 +163,13 @@ def q_insert_if_absent_batches(spark, d):
 def q_bucketed_join(spark, d):
     """Fact and artist tables bucketed on artist_id (fact sorted by start_time);
     their join and the (location, artist_id) pre-aggregate need no exchange."""
-    tag = uuid.uuid4().hex[:8]
+    plays, names = S.scratch_table(spark, "songplays"), S.scratch_table(spark, "artists")
     root = S.shared_dir(spark, "bucketed")
-    fact = ST.songplays_warehouse(V.staging_events(spark, d, item_in_session=False), V.staging_songs(spark, d))
+    fact = ST.songplays_warehouse(V.staging_events(spark, d), V.staging_songs(spark, d))
     artists = ST.artists_dim(V.staging_songs_ordered(spark, d), "distinct")
-    K.bucketed_table(fact, f"songplays_{tag}", f"{root}/songplays", 8, ["artist_id"], ["start_time"])
-    K.bucketed_table(artists, f"artists_{tag}", f"{root}/artists", 8, ["artist_id"])
-    f, a = spark.table(f"songplays_{tag}"), spark.table(f"artists_{tag}")
+    K.bucketed_table(fact, plays, f"{root}/songplays", 8, ["artist_id"], ["start_time"])
+    K.bucketed_table(artists, names, f"{root}/artists", 8, ["artist_id"])
+    f, a = spark.table(plays), spark.table(names)
     per = f.groupBy("location", "artist_id").agg(F.count(F.lit(1)).alias("n"))
     return per.join(a.select("artist_id", "name"), "artist_id") \
         .groupBy("location", "name").agg(F.sum("n").alias("streams"))
@@ -180,10 +178,10 @@ def q_bucketed_join(spark, d):
 @register("created_table_insert", duck(f"SELECT DISTINCT {USER_COLS} FROM plays WHERE userId IS NOT NULL", "plays"))
 def q_created_table_insert(spark, d):
     """CREATE TABLE IF NOT EXISTS with a declared schema, positional INSERT."""
-    name = f"users_{uuid.uuid4().hex[:8]}"
+    name = S.scratch_table(spark, "users")
     K.create_table(spark, name, SC.USERS, S.shared_dir(spark, "users"))
     K.create_table(spark, name, SC.USERS)  # second create is a no-op
-    ST.users_dim(V.staging_events(spark, d, item_in_session=False), "distinct").write.insertInto(name)
+    ST.users_dim(V.staging_events(spark, d), "distinct").write.insertInto(name)
     return spark.table(name)
 
 
@@ -228,16 +226,17 @@ def q_etl_star_run(spark, d):
 
 @register("stream_chat_load", duck("SELECT * FROM chat_t", "chat_t"))
 def q_stream_chat_load(spark, d):
-    """A1/B4 as a file stream: chat CSV files loaded with availableNow; a second
-    run finds no new file and appends nothing."""
+    """A1/B4 as a file stream: chat CSV files loaded with availableNow, one file per
+    batch and keyed by row, so the result does not depend on how lines fall into
+    files; a second run finds no new file and appends nothing."""
     root = S.shared_dir(spark, "stream")
     # Chat lines contain newlines: quoted multi-line CSV fields on both sides.
     V.chat_raw(spark, d).write.mode("overwrite").option("header", "true").csv(f"{root}/source")
     for _ in range(2):
         stream_incremental_load(spark, f"{root}/source", "csv", SC.CHAT_CSV, f"{root}/chat_data",
-                                ["match_id"], f"{root}/_checkpoint",
+                                list(R.CHAT_ROW_KEY), f"{root}/_checkpoint",
                                 transform=lambda b: T.chat_typed(b), target_schema=SC.CHAT,
-                                options={"header": "true", "multiLine": "true"})
+                                options={"header": "true", "multiLine": "true", "maxFilesPerTrigger": "4"})
     return spark.read.schema(SC.CHAT).parquet(f"{root}/chat_data")
 
 
@@ -254,7 +253,7 @@ def q_stream_chat_load(spark, d):
 def q_nonempty_tables(spark, d):
     """Row count per table and whether it is non-empty."""
     songs = V.staging_songs_ordered(spark, d)
-    ev = V.staging_events(spark, d, item_in_session=False)
+    ev = V.staging_events(spark, d)
     return dq.nonempty_tables({
         "songs": ST.songs_dim(songs), "artists": ST.artists_dim(songs),
         "users": ST.users_dim(ev, "distinct"),
@@ -280,7 +279,7 @@ def _kv_sql(src: str, keys: str, name: str) -> str:
 def q_key_violations(spark, d):
     """Declared keys -- duplicates and nulls (the warehouse md5 key collides
     for two plays in one session-second; users keyed by id repeat per level)."""
-    ev = V.staging_events(spark, d, item_in_session=False)
+    ev = V.staging_events(spark, d)
     parts = [
         dq.key_violations(T.match_typed(V.match_raw(spark, d)), ["match_id"], "match_data"),
         dq.key_violations(T.region_typed(V.region_raw(spark, d)), ["cluster_id"], "cluster_regions_data"),
@@ -302,7 +301,7 @@ def q_key_violations(spark, d):
     "songplays_wh"))
 def q_null_violations(spark, d):
     """NOT NULL columns of the fact (unmatched plays have null song and artist)."""
-    fact = ST.songplays_warehouse(V.staging_events(spark, d, item_in_session=False), V.staging_songs(spark, d))
+    fact = ST.songplays_warehouse(V.staging_events(spark, d), V.staging_songs(spark, d))
     return dq.null_violations(fact, ["start_time", "user_id", "song_id", "artist_id"], "songplays")
 
 
@@ -332,7 +331,8 @@ def q_song_json_glob(spark, d):
     SELECT epoch_ms(e.ts) AS start_time, e.userId AS user_id, e.level, s.song_id, s.artist_id,
            e.sessionId AS session_id, e.location, e.userAgent AS user_agent,
            year(epoch_ms(e.ts)) AS year, month(epoch_ms(e.ts)) AS month
-    FROM plays e LEFT JOIN staging_songs s ON s.title = e.song AND s.duration = e.length""",
+    FROM plays e LEFT JOIN staging_songs s ON s.title = e.song
+      AND CAST(s.duration AS DECIMAL(23,5)) = CAST(e.length AS DECIMAL(23,5))""",
     "plays", "staging_songs"))
 def q_etl_lake_run(spark, d):
     """M1-M4 as the data-lake job (N5: fact partitioned by year, month); returns the stored fact."""
@@ -348,19 +348,19 @@ def q_etl_lake_run(spark, d):
     return spark.read.parquet(rep.paths["songplays"]).select(*cols)
 
 
-@register("session_item_bucketed", duck("""
+@register("session_item_bucketed", duck(f"""
     SELECT artist, song, length FROM (
       SELECT artist, song, CAST(length AS FLOAT) AS length,
              row_number() OVER (PARTITION BY sessionId, itemInSession ORDER BY ts DESC, event_id DESC) AS rn
-      FROM csv_rows WHERE sessionId = 9213 AND itemInSession = 4)
+      FROM csv_rows WHERE (sessionId, itemInSession) IN ({SESSION_ITEM_KEY_SQL}))
     WHERE rn = 1""", "csv_rows"))
 def q_session_item_bucketed(spark, d):
     """The (session, item) table stored bucketed by session and sorted by
     item; a point lookup reads one bucket (bucket pruning), like a partition-key read."""
-    name = f"session_items_{uuid.uuid4().hex[:8]}"
-    K.bucketed_table(L.session_items(V.staging_events(spark, d)), name, S.shared_dir(spark, "si"),
-                     16, ["session_id"], ["item_in_session"])
-    return L.session_item_lookup(spark.table(name), 9213, 4)
+    name = S.scratch_table(spark, "session_items")
+    ev = V.staging_events(spark, d)
+    K.bucketed_table(L.session_items(ev), name, S.shared_dir(spark, "si"), 16, ["session_id"], ["item_in_session"])
+    return L.session_item_lookup(spark.table(name), *top_key(ev, "sessionId", "itemInSession"))
 
 
 @register("songplays_whole_seconds", duck("""
@@ -374,7 +374,7 @@ def q_session_item_bucketed(spark, d):
     WHERE e.sessionId IS NOT NULL""", "plays", "staging_songs"))
 def q_songplays_whole_seconds(spark, d):
     """Warehouse fact with durations compared as numeric(18,0) (whole seconds)."""
-    return ST.songplays_warehouse(V.staging_events(spark, d, item_in_session=False), V.staging_songs(spark, d), match_precision=0)
+    return ST.songplays_warehouse(V.staging_events(spark, d), V.staging_songs(spark, d), match_precision=0)
 
 
 # ---- late chat: the reference's stale summary vs. refresh (N12) -------------
@@ -417,3 +417,119 @@ def q_chat_late_refresh(spark, d):
     """The same two loads with refresh=True: late lines are loaded and the summary
     partitions of the dates they touch are rebuilt, so the result is the full summary."""
     return _late_chat_runs(spark, d, refresh=True)
+
+
+@register("chat_late_match_refresh", duck(SUMMARY_SQL, "match_t", "chat_t", "region_t"))
+def q_chat_late_match_refresh(spark, d):
+    """All chat first, with half of the matches and of the regions; then the
+    other matches and regions without any new chat.  With refresh=True the second
+    run summarises the matches that were waiting."""
+    root = S.shared_dir(spark, "latematch")
+    chat, match, region = V.chat_raw(spark, d), V.match_raw(spark, d), V.region_raw(spark, d)
+    first = R.run_chat_etl(spark, chat, match.filter(F.col("radiant_win")), region.filter(F.col("cluster") < 12), root,
+                           T.QUERY_RUN_TS, refresh=True)
+    R.run_chat_etl(spark, chat.limit(0), match, region, root, LATE_RUN_TS, refresh=True)
+    return spark.read.schema(SC.MATCH_SUMMARY).parquet(first.paths["summary"]).select(*SC.MATCH_SUMMARY.fieldNames())
+
+
+# ---- second runs of the sinks ----------------------------------------------
+
+LATER_SONGS_SQL = """
+    SELECT DISTINCT song_id, title, artist_id, CAST(year AS INTEGER) AS year, duration
+    FROM staging_songs WHERE song_id IS NOT NULL AND year >= 2005"""
+
+
+@register("partitioned_overwrite_twice", duck(LATER_SONGS_SQL, "staging_songs"))
+def q_partitioned_overwrite_twice(spark, d):
+    """B2: a partitioned table overwritten by songs of later years only holds no
+    partition of the first write."""
+    path = S.shared_dir(spark, "songs")
+    songs = ST.songs_dim(V.staging_songs_ordered(spark, d))
+    K.write_parquet(songs, path, "overwrite", ["year", "artist_id"])
+    K.write_parquet(songs.filter("year >= 2005"), path, "overwrite", ["year", "artist_id"])
+    return spark.read.schema(SC.SONGS).parquet(path).select(*SC.SONGS.fieldNames())
+
+
+@register("truncate_insert_partitioned", duck(LATER_SONGS_SQL, "staging_songs"))
+def q_truncate_insert_partitioned(spark, d):
+    """Truncate-then-insert of a partitioned table, the second load with fewer years."""
+    path = S.shared_dir(spark, "songs")
+    songs = ST.songs_dim(V.staging_songs_ordered(spark, d))
+    K.load_table(songs, path, append=True, partition_by=["year"])
+    K.load_table(songs.filter("year >= 2005"), path, append=False, partition_by=["year"])
+    return spark.read.schema(SC.SONGS).parquet(path).select(*SC.SONGS.fieldNames())
+
+
+@register("etl_star_two_months", duck(f"""
+    SELECT 'songplays' AS table_name, user_id, level, songplay_id, start_time, song_id, artist_id, session_id,
+           CAST(NULL AS VARCHAR) AS first_name FROM songplays_wh
+    UNION ALL
+    SELECT 'users', user_id, level, NULL, NULL, NULL, NULL, NULL, first_name
+    FROM (SELECT DISTINCT {USER_COLS} FROM plays WHERE userId IS NOT NULL)""", "songplays_wh", "plays"))
+def q_etl_star_two_months(spark, d):
+    """The star job over two stages of the log and once more over the second;
+    fact and users equal one run over everything."""
+    root = S.shared_dir(spark, "startwo")
+    songs = V.staging_songs(spark, d)
+    for month, part in zip(("01", "02"), _split(V.staging_events(spark, d))):
+        part.write.mode("overwrite").json(f"{root}/log_data/2024/{month}")
+    for month in ("01", "02", "02"):
+        R.run_star_etl(spark, "{base}/log_data/{year}/{month}", songs, root, base=root, year="2024", month=month)
+    p = R.star_paths(root)
+    fact = spark.read.schema(SC.SONGPLAYS).parquet(p["songplays"]).drop("location", "user_agent")
+    users = spark.read.schema(SC.USERS).parquet(p["users"]).select("user_id", "level", "first_name")
+    return fact.withColumn("table_name", F.lit("songplays")).unionByName(
+        users.withColumn("table_name", F.lit("users")), allowMissingColumns=True) \
+        .select("table_name", "user_id", "level", "songplay_id", "start_time", "song_id", "artist_id", "session_id", "first_name")
+
+
+# ---- CSV inputs by header name ---------------------------------------------
+
+def _write_csv(df, root: str, **options) -> str:
+    df.write.mode("overwrite").options(header="true", **options).csv(f"{root}/csv")
+    return f"{root}/csv"
+
+
+@register("match_csv_load", duck("SELECT * FROM match_t", "match_t"))
+def q_match_csv_load(spark, d):
+    """Match.csv with its columns in another order, read by header name,
+    typed and loaded."""
+    root = S.shared_dir(spark, "matchcsv")
+    src = _write_csv(V.match_raw(spark, d).select(*sorted(SC.MATCH_CSV.fieldNames())), root)
+    K.incremental_load(spark, T.match_typed(FL.read_csv(spark, src, SC.MATCH_CSV)), f"{root}/match", ["match_id"],
+                       ["match_date"], schema=SC.MATCH)
+    return spark.read.schema(SC.MATCH).parquet(f"{root}/match").select(*SC.MATCH.fieldNames())
+
+
+@register("region_csv_load", duck("SELECT * FROM region_t", "region_t"))
+def q_region_csv_load(spark, d):
+    """cluster_regions.csv (region first) read by header name and refreshed."""
+    root = S.shared_dir(spark, "regioncsv")
+    src = _write_csv(V.region_raw(spark, d).select("region", "cluster"), root)
+    K.single_file_overwrite(T.region_typed(FL.read_csv(spark, src, SC.REGION_CSV)), f"{root}/region")
+    return spark.read.schema(SC.REGION).parquet(f"{root}/region")
+
+
+@register("event_csv_17_columns", duck(f"""
+    SELECT {", ".join(SC.EVENT_CSV_USED)} FROM csv_rows""", "csv_rows"))
+def q_event_csv_17_columns(spark, d):
+    """The event CSV with all its 17 columns; the 11 used ones are picked and
+    rows with an empty artist dropped."""
+    root = S.shared_dir(spark, "eventcsv")
+    src = _write_csv(V.staging_events(spark, d).select(*SC.EVENT_CSV_ALL.fieldNames()), root)
+    rows = FL.read_csv(spark, src, SC.EVENT_CSV_ALL).select(*SC.EVENT_CSV_USED)
+    return rows.filter(F.col("artist").isNotNull() & (F.col("artist") != ""))
+
+
+@register("csv_reject_count", duck("""
+    SELECT count(*) AS rows, count(*) FILTER (WHERE cluster >= 25 OR radiant_win) AS bad_rows,
+           count(*) FILTER (WHERE cluster >= 25) + count(*) FILTER (WHERE radiant_win) AS bad_fields
+    FROM match_raw""", "match_raw"))
+def q_csv_reject_count(spark, d):
+    """Rows of a match CSV with fields of the wrong type, counted: the duration of
+    matches without a region is 'n/a' and the first blood of won matches is '12s'."""
+    m = V.match_raw(spark, d)
+    text = m.withColumn("duration", F.when(F.col("cluster") >= 25, F.lit("n/a")).otherwise(F.col("duration").cast("string"))) \
+        .withColumn("first_blood_time", F.when(F.col("radiant_win"), F.lit("12s")).otherwise(F.col("first_blood_time").cast("string")))
+    src = _write_csv(text, S.shared_dir(spark, "rejectcsv"))
+    return FL.csv_rejects(FL.csv_text(spark, src, SC.MATCH_CSV), SC.MATCH_CSV)

@@ -13,10 +13,8 @@ from ..sources.views import duckdb_with
 
 MONTH = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
 MONTH_SQL = "start_time >= TIMESTAMP '2024-01-01 00:00:00' AND start_time < TIMESTAMP '2024-02-01 00:00:00'"
-# Point-lookup keys (present in the sf0.01 tables).
-SESSION_ITEM = (9213, 4)
-USER_SESSION = (10, 1013)
-SONG = "red anvil"
+# Durations are compared as the targets store them.
+DURATION_SQL = "DECIMAL(23,5)"
 
 MUSIC_CTES = {
     "plays": ("SELECT * FROM staging_events WHERE page = 'NextSong'", ("staging_events",)),
@@ -34,13 +32,14 @@ MUSIC_CTES = {
                  artist_latitude AS latitude, artist_longitude AS longitude,
                  row_number() OVER (PARTITION BY artist_id ORDER BY song_key) AS rn
           FROM staging_songs_k WHERE artist_id IS NOT NULL) WHERE rn = 1""", ("staging_songs_k",)),
-    "songplays_wh": ("""
+    "songplays_wh": (f"""
         SELECT md5(CAST(e.sessionId AS VARCHAR) || strftime(e.start_time, '%Y-%m-%d %H:%M:%S')) AS songplay_id,
                e.start_time, e.userId AS user_id, e.level, s.song_id, s.artist_id,
                e.sessionId AS session_id, e.location, e.userAgent AS user_agent
         FROM (SELECT epoch_ms((ts // 1000) * 1000) AS start_time, * FROM plays) e
         LEFT JOIN staging_songs s
-          ON e.song = s.title AND e.artist = s.artist_name AND e.length = s.duration
+          ON e.song = s.title AND e.artist = s.artist_name
+         AND CAST(e.length AS {DURATION_SQL}) = CAST(s.duration AS {DURATION_SQL})
         WHERE e.sessionId IS NOT NULL""", ("plays", "staging_songs")),
     "csv_rows": ("""
         SELECT * FROM staging_events WHERE artist IS NOT NULL AND artist <> ''""", ("staging_events",)),
@@ -56,11 +55,6 @@ def _songs(spark, d):
 
 
 def _events(spark, d):
-    """Events without the per-session item number (star schema and analytics never read it)."""
-    return V.staging_events(spark, d, item_in_session=False)
-
-
-def _session_events(spark, d):
     return V.staging_events(spark, d)
 
 
@@ -172,11 +166,12 @@ def q_songplays_md5(spark, d):
     return ST.songplays_warehouse(_events(spark, d), V.staging_songs(spark, d))
 
 
-@register("songplays_two_key", duck("""
+@register("songplays_two_key", duck(f"""
     SELECT epoch_ms(e.ts) AS start_time, e.userId AS user_id, e.level, s.song_id, s.artist_id,
            e.sessionId AS session_id, e.location, e.userAgent AS user_agent,
            year(epoch_ms(e.ts)) AS year, month(epoch_ms(e.ts)) AS month
-    FROM plays e LEFT JOIN staging_songs s ON s.title = e.song AND s.duration = e.length""",
+    FROM plays e LEFT JOIN staging_songs s ON s.title = e.song
+      AND CAST(s.duration AS {DURATION_SQL}) = CAST(e.length AS {DURATION_SQL})""",
     "plays", "staging_songs"))
 def q_songplays_two_key(spark, d):
     """M4/D3: data-lake fact, left join on title and duration (fan-out kept)."""
@@ -189,6 +184,31 @@ def q_songplays_with_id(spark, d):
     return ST.songplays_lake(_events(spark, d), V.staging_songs(spark, d), with_id=True)
 
 
+@register("songplays_id_unique", duck(f"""
+    SELECT count(*) AS rows, count(*) AS distinct_ids
+    FROM plays e LEFT JOIN staging_songs s ON s.title = e.song
+      AND CAST(s.duration AS {DURATION_SQL}) = CAST(e.length AS {DURATION_SQL})""", "plays", "staging_songs"))
+def q_songplays_id_unique(spark, d):
+    """The row ids of the data-lake fact are unique (their values are not fixed)."""
+    fact = ST.songplays_lake(_events(spark, d), V.staging_songs(spark, d), with_id=True)
+    return fact.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("songplay_id").alias("distinct_ids"))
+
+
+@register("plays_by_user_level", duck("""
+    SELECT u.level AS user_level, f.level AS play_level, count(*) AS plays
+    FROM songplays_wh f JOIN (
+      SELECT userId, level, row_number() OVER (PARTITION BY userId ORDER BY ts DESC, event_id DESC) AS rn
+      FROM plays WHERE userId IS NOT NULL) u ON u.userId = f.user_id AND u.rn = 1
+    GROUP BY u.level, f.level""", "songplays_wh", "plays"))
+def q_plays_by_user_level(spark, d):
+    """The fact joined with the users dimension, which every node holds in the
+    reference; Spark sends it to every task when its size in bytes allows."""
+    ev = _events(spark, d)
+    users = ST.users_dim(ev, "first_last_level").select("user_id", F.col("level").alias("user_level"))
+    fact = ST.songplays_warehouse(ev, V.staging_songs(spark, d)).select("user_id", F.col("level").alias("play_level"))
+    return fact.join(users, "user_id").groupBy("user_level", "play_level").agg(F.count(F.lit(1)).alias("plays"))
+
+
 def _lookup_sql(key: str) -> str:
     return f"""
     SELECT start_time, user_id, level, song_id, artist_id, session_id, location, user_agent FROM (
@@ -198,11 +218,11 @@ def _lookup_sql(key: str) -> str:
                    sessionId AS session_id, location, userAgent AS user_agent, ts, event_id
             FROM plays) e
       LEFT JOIN (SELECT title, name, duration, song_id, artist_id FROM (
-                   SELECT s.title, a.name, s.duration, s.song_id, s.artist_id,
-                          row_number() OVER (PARTITION BY s.title, a.name, s.duration
+                   SELECT s.title, a.name, CAST(s.duration AS {DURATION_SQL}) AS duration, s.song_id, s.artist_id,
+                          row_number() OVER (PARTITION BY s.title, a.name, CAST(s.duration AS {DURATION_SQL})
                                              ORDER BY s.song_id, s.artist_id) AS rk
                    FROM songs_first s JOIN artists_first a ON s.artist_id = a.artist_id) WHERE rk = 1) d
-        ON e.song = d.title AND e.artist = d.name AND e.length = d.duration)
+        ON e.song = d.title AND e.artist = d.name AND CAST(e.length AS {DURATION_SQL}) = d.duration)
     WHERE rn = 1"""
 
 
@@ -233,18 +253,32 @@ def q_songplays_unique_start(spark, d):
       FROM csv_rows) WHERE rn = 1""", "csv_rows"))
 def q_session_item_table(spark, d):
     """(session, item) -> artist, song, length; last write wins."""
-    return L.session_items(_session_events(spark, d))
+    return L.session_items(_events(spark, d))
+
+
+# Point-lookup keys come from the data: the key with most events, ties to the smallest.
+
+SESSION_ITEM_KEY_SQL = """SELECT sessionId, itemInSession FROM csv_rows GROUP BY sessionId, itemInSession
+    ORDER BY count(*) DESC, sessionId, itemInSession LIMIT 1"""
+
+
+def top_key(events, *keys):
+    """The key values that most event rows hold, as plain values (one row)."""
+    n = L.event_rows(events).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    row = n.orderBy(F.col("n").desc(), *keys).limit(1).first()
+    return tuple(row[k] for k in keys) if row else (None,) * len(keys)
 
 
 @register("session_item", duck(f"""
     SELECT artist, song, length FROM (
       SELECT artist, song, CAST(length AS FLOAT) AS length,
              row_number() OVER (PARTITION BY sessionId, itemInSession ORDER BY ts DESC, event_id DESC) AS rn
-      FROM csv_rows WHERE sessionId = {SESSION_ITEM[0]} AND itemInSession = {SESSION_ITEM[1]})
+      FROM csv_rows WHERE (sessionId, itemInSession) IN ({SESSION_ITEM_KEY_SQL}))
     WHERE rn = 1""", "csv_rows"))
 def q_session_item(spark, d):
     """What was played at one (session, item)."""
-    return L.session_item_lookup(L.session_items(_session_events(spark, d)), *SESSION_ITEM)
+    ev = _events(spark, d)
+    return L.session_item_lookup(L.session_items(ev), *top_key(ev, "sessionId", "itemInSession"))
 
 
 USER_SESSION_SQL = """
@@ -260,16 +294,18 @@ USER_SESSION_SQL = """
 @register("user_session_table", duck(USER_SESSION_SQL, "csv_rows"))
 def q_user_session_table(spark, d):
     """(user, session, item) -> artist, song, user name; last write wins."""
-    return L.user_sessions(_session_events(spark, d))
+    return L.user_sessions(_events(spark, d))
 
 
 @register("user_session", duck(f"""
     SELECT item_in_session, artist, song, "user" FROM ({USER_SESSION_SQL})
-    WHERE user_id = {USER_SESSION[0]} AND session_id = {USER_SESSION[1]}
+    WHERE (user_id, session_id) IN (SELECT userId, sessionId FROM csv_rows GROUP BY userId, sessionId
+                                    ORDER BY count(*) DESC, userId, sessionId LIMIT 1)
     ORDER BY item_in_session""", "csv_rows"))
 def q_user_session(spark, d):
     """One user's session in item order."""
-    return L.user_session_lookup(L.user_sessions(_session_events(spark, d)), *USER_SESSION)
+    ev = _events(spark, d)
+    return L.user_session_lookup(L.user_sessions(ev), *top_key(ev, "userId", "sessionId"))
 
 
 @register("song_listeners_table", duck("""
@@ -280,11 +316,12 @@ def q_song_listeners_table(spark, d):
 
 
 @register("song_listeners", duck(f"""
-    SELECT DISTINCT firstName || ' ' || lastName AS "user" FROM csv_rows WHERE song = '{SONG}'""",
-    "csv_rows"))
+    SELECT DISTINCT firstName || ' ' || lastName AS "user" FROM csv_rows
+    WHERE song IN (SELECT song FROM csv_rows GROUP BY song ORDER BY count(*) DESC, song LIMIT 1)""", "csv_rows"))
 def q_song_listeners(spark, d):
     """Everyone who played one song."""
-    return L.song_listener_lookup(L.song_listeners(_events(spark, d)), SONG)
+    ev = _events(spark, d)
+    return L.song_listener_lookup(L.song_listeners(ev), *top_key(ev, "song"))
 
 
 # ---- warehouse questions ---------------------------------------------------

@@ -177,9 +177,8 @@ KPI_BASE = f"""
           FROM ({KPI_BASE}))""", "match_t", "chat_t", "region_t"))
 def q_toxic_kpis(spark, d):
     """M9: share of toxic matches and toxic players (one aggregate pass)."""
-    chat = _chat(spark, d)
-    summary = T.match_summary(chat, _matches(spark, d), _regions(spark, d))
-    return T.toxic_kpis(T.summary_with_chat(summary, chat))
+    summary = T.match_summary(_chat(spark, d), _matches(spark, d), _regions(spark, d))
+    return T.toxic_kpis(T.summary_with_chat(summary, V.chat_raw(spark, d)))
 
 
 @register("most_toxic_region", duck(f"""
@@ -190,9 +189,8 @@ def q_toxic_kpis(spark, d):
     ORDER BY toxic_matches DESC, region ASC LIMIT 1""", "match_t", "chat_t", "region_t"))
 def q_most_toxic_region(spark, d):
     """Region with the most toxic matches, as a share of all matches."""
-    chat = _chat(spark, d)
-    summary = T.match_summary(chat, _matches(spark, d), _regions(spark, d))
-    return T.most_toxic_region(T.summary_with_chat(summary, chat))
+    summary = T.match_summary(_chat(spark, d), _matches(spark, d), _regions(spark, d))
+    return T.most_toxic_region(T.summary_with_chat(summary, V.chat_raw(spark, d)))
 
 
 @register("toxic_word_hits", f"""

@@ -83,13 +83,16 @@ def time_dim(start_times: DataFrame, ts_col: str = "start_time", convention: str
     return out.distinct() if dedup else out
 
 
-def _scaled(c: str, precision: int | None):
-    """Duration as compared: exact double, or a decimal of ``precision`` places
-    (precision 0 reproduces a numeric(18,0) column, i.e. whole seconds)."""
-    return F.col(c) if precision is None else F.col(c).cast(f"decimal({18 + precision},{precision})")
+DURATION_PLACES = 5
 
 
-def songplays_warehouse(events: DataFrame, songs: DataFrame, match_precision: int | None = None) -> DataFrame:
+def _scaled(c: str, precision: int):
+    """Duration as compared: a decimal of ``precision`` places, as the targets
+    store it (precision 0 reproduces a numeric(18,0) column, whole seconds)."""
+    return F.col(c).cast(f"decimal({18 + precision},{precision})")
+
+
+def songplays_warehouse(events: DataFrame, songs: DataFrame, match_precision: int = DURATION_PLACES) -> DataFrame:
     """Warehouse build: seconds-precision start time, md5(session || time) key,
     left join on (title, artist name, duration), plays with a session id only.
     ``match_precision=0`` compares durations rounded to whole seconds (fan-out
@@ -113,7 +116,8 @@ def songplays_lake(events: DataFrame, songs: DataFrame, with_id: bool = False) -
     (a title+duration shared by two artists fans out), year/month for layout."""
     ev = plays(events).withColumn("start_time", epoch_ms_to_ts("ts"))
     s = songs.select(F.col("title").alias("__t"), F.col("duration").alias("__d"), "song_id", "artist_id")
-    j = ev.join(s, (F.col("song") == F.col("__t")) & (F.col("length") == F.col("__d")), "left")
+    j = ev.join(s, (F.col("song") == F.col("__t"))
+                & (_scaled("length", DURATION_PLACES) == _scaled("__d", DURATION_PLACES)), "left")
     cols = [
         "start_time", F.col("userId").alias("user_id"), "level", "song_id", "artist_id",
         F.col("sessionId").alias("session_id"), "location", F.col("userAgent").alias("user_agent"),
@@ -134,9 +138,9 @@ def songplays_lookup(events: DataFrame, songs: DataFrame, artists: DataFrame,
     """
     ev = plays(events).select(
         epoch_ms_to_ts("ts").alias("start_time"), F.col("userId").alias("user_id"), "level",
-        "song", "artist", "length", F.col("sessionId").alias("session_id"), "location",
+        "song", "artist", _scaled("length", DURATION_PLACES).alias("length"), F.col("sessionId").alias("session_id"), "location",
         F.col("userAgent").alias("user_agent"), F.col("ts").alias("__ts"), F.col("event_id").alias("__eid"))
-    dim = songs.select("song_id", "title", "artist_id", "duration") \
+    dim = songs.select("song_id", "title", "artist_id", _scaled("duration", DURATION_PLACES).alias("duration")) \
         .join(artists.select("artist_id", "name"), "artist_id")
     j = lookup_join(ev, dim, ["song", "artist", "length"], ["title", "name", "duration"],
                     ["song_id", "artist_id"], ["song_id", "artist_id"])

@@ -18,12 +18,11 @@ from pyspark.sql import functions as F
 from ..functions.keys import percent2
 from ..functions.text import TOXIC_WORDS, is_flagged
 from ..operators.dedup import top_per_group
-from ..operators.joins import broadcast_if_bounded, having_match
+from ..operators.joins import having_match
 
 # Fixed run stamp used by the registered queries so results are reproducible.
 QUERY_RUN_TS = "2024-02-01 00:00:00"
 PLAYERS_PER_MATCH = 10
-REGION_BROADCAST_ROWS = 100_000
 
 
 def _stamp(run_ts: str) -> F.Column:
@@ -81,6 +80,12 @@ def match_summary(chat: DataFrame, matches: DataFrame, regions: DataFrame,
     toxic, else of its (harmless) messages -- the reference's meaning.
     ``strict=True`` adds ``toxic_messages`` (0 for a harmless match).
     """
+    return summary_of(chat_by_match(chat, words, mode=mode, ignore_case=ignore_case), matches, regions, strict=strict)
+
+
+def chat_by_match(chat: DataFrame, words: Iterable[str] = TOXIC_WORDS, *, mode: str = "substring",
+                  ignore_case: bool = False) -> DataFrame:
+    """Chat flagged and reduced to one row per match (no text crosses a shuffle)."""
     flagged = chat.select("match_id", "player_name",
                           is_flagged("chat", words, mode=mode, ignore_case=ignore_case).alias("toxic"))
     # (match, player, toxic) first: each distinct player of a side is one row,
@@ -95,7 +100,7 @@ def match_summary(chat: DataFrame, matches: DataFrame, regions: DataFrame,
         F.count(F.when(~F.col("toxic") & named, 1)).alias("calm_players"),
     )
     hot = F.col("has_toxic") == 1
-    per_match = per_match.select(
+    return per_match.select(
         "match_id",
         hot.alias("toxic"),
         F.when(hot, F.col("toxic_msgs")).otherwise(F.col("calm_msgs")).cast("int").alias("toxic_count"),
@@ -103,9 +108,13 @@ def match_summary(chat: DataFrame, matches: DataFrame, regions: DataFrame,
          .alias("toxic_player_count"),
         F.col("toxic_msgs").cast("int").alias("toxic_messages"),
     )
+
+
+def summary_of(per_match: DataFrame, matches: DataFrame, regions: DataFrame, *, strict: bool = False) -> DataFrame:
+    """Match rows of ``chat_by_match`` with their date and region."""
     m = matches.select("match_id", "match_date", "cluster_id")
     r = regions.select("cluster_id", "region")
-    out = per_match.join(m, "match_id").join(broadcast_if_bounded(r, REGION_BROADCAST_ROWS), "cluster_id")
+    out = per_match.join(m, "match_id").join(r, "cluster_id")
     cols = SUMMARY_COLUMNS + (["toxic_messages"] if strict else [])
     return out.select(
         F.col("match_id").cast("long"), F.col("match_date").cast("date"), F.col("toxic").cast("boolean"),
@@ -120,7 +129,7 @@ def match_summary_direct(chat: DataFrame, matches: DataFrame, regions: DataFrame
     c = chat.select("match_id", "player_name", is_flagged("chat", words).cast("int").alias("toxic"))
     m = matches.select("match_id", "match_date", "cluster_id")
     r = regions.select("cluster_id", "region")
-    joined = m.join(c, "match_id").join(broadcast_if_bounded(r, REGION_BROADCAST_ROWS), "cluster_id")
+    joined = m.join(c, "match_id").join(r, "cluster_id")
     groups = joined.groupBy("match_id", "match_date", "toxic", "region").agg(
         F.count("match_id").alias("toxic_count"),
         F.count_distinct("player_name").alias("toxic_player_count"))
@@ -132,8 +141,9 @@ def match_summary_direct(chat: DataFrame, matches: DataFrame, regions: DataFrame
 
 
 def summary_with_chat(summary: DataFrame, chat: DataFrame) -> DataFrame:
-    """Summary rows whose match has chat (semi join, as the analysis step reads it)."""
-    return having_match(summary, chat.select("match_id"), "match_id")
+    """Summary rows whose match has chat (semi join, as the analysis step reads it).
+    Give raw chat where there is a choice: only its match ids are read."""
+    return having_match(summary, chat.select(F.col("match_id").cast("long").alias("match_id")), "match_id")
 
 
 def toxic_kpis(summary: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, FloatType, IntegerType, LongType,
+from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType,
                                ShortType, StringType, StructField, StructType, TimestampType)
 
 
@@ -29,6 +29,15 @@ EVENT_CSV = _s(("artist", StringType()), ("firstName", StringType()), ("gender",
                ("level", StringType()), ("location", StringType()), ("sessionId", LongType()),
                ("song", StringType()), ("userId", LongType()), ("ts", LongType()), ("event_id", LongType()))
 
+# The event CSV as it arrives: 17 columns, of which 11 are used.
+EVENT_CSV_ALL = _s(("artist", StringType()), ("auth", StringType()), ("firstName", StringType()), ("gender", StringType()),
+                   ("itemInSession", IntegerType()), ("lastName", StringType()), ("length", DoubleType()), ("level", StringType()),
+                   ("location", StringType()), ("method", StringType()), ("page", StringType()), ("registration", LongType()),
+                   ("sessionId", LongType()), ("song", StringType()), ("status", IntegerType()), ("ts", LongType()),
+                   ("userId", LongType()))
+EVENT_CSV_USED = ["artist", "firstName", "gender", "itemInSession", "lastName", "length", "level", "location", "sessionId",
+                  "song", "userId"]
+
 CHAT_CSV = _s(("match_id", LongType()), ("key", StringType()), ("slot", IntegerType()),
               ("time", LongType()), ("unit", StringType()))
 
@@ -75,9 +84,6 @@ SONGPLAYS = _s(("songplay_id", StringType()), ("start_time", TimestampType()), (
                ("level", StringType()), ("song_id", StringType()), ("artist_id", StringType()),
                ("session_id", LongType()), ("location", StringType()), ("user_agent", StringType()))
 
-SESSION_ITEMS = _s(("session_id", LongType()), ("item_in_session", IntegerType()), ("artist", StringType()),
-                   ("song", StringType()), ("length", FloatType()))
-
 TABLES = {"songs": SONGS, "artists": ARTISTS, "users": USERS, "time": TIME, "songplays": SONGPLAYS,
           "chat_data": CHAT, "match_data": MATCH, "cluster_regions_data": REGION,
-          "match_summary_data": MATCH_SUMMARY, "session_items": SESSION_ITEMS}
+          "match_summary_data": MATCH_SUMMARY}

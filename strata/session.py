@@ -16,7 +16,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # An overwrite replaces the table; a refresh of single partitions asks for
+    # dynamic mode on its own write.
+    "spark.sql.sources.partitionOverwriteMode": "static",
     # AQE merges shuffle partitions smaller than this.  The 1 MB default folds a
     # small rebalanced write (hundreds of partition directories) into one task
     # that writes every directory in turn; a lower floor keeps such writes
@@ -26,6 +28,10 @@ SESSION_CONF = {
 }
 
 
+_SCRATCH: list[str] = []
+_TABLES: list[str] = []
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "strata") -> SparkSession:
     """A session for tests, the bench and local runs (UI off, UTC, AQE)."""
@@ -53,10 +59,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_base(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when none is configured."""
+    """The shared checkpoint folder.  Only a local master may go without: its one
+    machine is driver and executor, so a temporary folder serves."""
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
         base = tempfile.mkdtemp(prefix="strata-ckpt-")
     if not sc.getCheckpointDir():
@@ -72,4 +81,23 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     machine-local temp dir on a cluster.
     """
     base = checkpoint_base(spark)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def scratch_table(spark: SparkSession, purpose: str) -> str:
+    """A fresh catalog table name, dropped with the scratch directories."""
+    _TABLES.append(f"{purpose}_{uuid.uuid4().hex[:8]}")
+    return _TABLES[-1]
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Drop the tables and delete the directories handed out so far; results that
+    still read them must have been consumed.  Returns the directories deleted."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+    done = 0
+    while _SCRATCH:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        done += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return done

@@ -4,10 +4,9 @@ and catalog tables.  Every write reports its row count through an
 ``Observation`` collected during the write job (no second pass)."""
 
 from .writes import (append_if_absent, bucketed_table, create_table, drop_table, export_csv_quoted,
-                     rows_not_in_target,
-                     for_partitioned_write, incremental_load, key_ranges, load_table, replace_table, single_file_overwrite, upsert_columns,
-                     write_parquet)
+                     for_partitioned_write, incremental_load, key_ranges, load_table, replace_table,
+                     rows_not_in_target, single_file_overwrite, touched_partitions, upsert_columns, write_parquet)
 
 __all__ = ["append_if_absent", "bucketed_table", "create_table", "drop_table", "export_csv_quoted",
-           "for_partitioned_write", "incremental_load", "key_ranges", "rows_not_in_target", "load_table", "replace_table", "single_file_overwrite", "upsert_columns",
-           "write_parquet"]
+           "for_partitioned_write", "incremental_load", "key_ranges", "load_table", "replace_table",
+           "rows_not_in_target", "single_file_overwrite", "touched_partitions", "upsert_columns", "write_parquet"]

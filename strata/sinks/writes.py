@@ -8,7 +8,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampType
 
 from ..operators.dedup import first_by_key, first_row_last_columns
 from ..sources.files import _fs, path_exists
@@ -32,9 +32,11 @@ def for_partitioned_write(df: DataFrame, partition_by: Sequence[str]) -> DataFra
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None,
-                  sort_within: Sequence[str] | None = None) -> int:
+                  sort_within: Sequence[str] | None = None, replace: str = "table") -> int:
     """Parquet write (overwrite / append), optionally partitioned; returns rows written.
 
+    An overwrite replaces the whole table; with ``replace="partitions"`` only
+    the partitions that the rows touch (dynamic mode, for this write alone).
     ``sort_within`` sorts each task's rows before writing, so every file's
     row groups cover narrow ranges of those columns and a range filter on a
     later read skips them by their min/max statistics."""
@@ -45,14 +47,21 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     d, obs = _observed(df, "write")
     w = d.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     w.parquet(path)
     return int(obs.get["rows"])
 
 
-def single_file_overwrite(df: DataFrame, path: str) -> int:
-    """Full refresh of a small table as one file (coalesce, no shuffle)."""
-    return write_parquet(df.coalesce(1), path, "overwrite")
+SINGLE_FILE_ROWS = 1_000_000
+
+
+def single_file_overwrite(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> int:
+    """Full refresh of a small table as one file.
+
+    One task writes one file, so the row count is checked first: beyond
+    ``max_rows`` the write is an ordinary one, of as many files as it has tasks."""
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return write_parquet(df.coalesce(1) if small else df, path, "overwrite")
 
 
 def load_table(df: DataFrame, path: str, append: bool = True,
@@ -94,7 +103,7 @@ def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Seq
     if refresh:
         if not partition_by:
             raise ValueError("refresh needs partition columns")
-        return write_parquet(new, target, "overwrite", partition_by, sort_within)
+        return write_parquet(new, target, "overwrite", partition_by, sort_within, replace="partitions")
     if path_exists(spark, target):
         todo = rows_not_in_target(spark, new, target, keys, schema=schema, null_safe=null_safe,
                                   prune_by=prune_by, range_by=range_by)
@@ -102,44 +111,45 @@ def incremental_load(spark: SparkSession, new: DataFrame, target: str, keys: Seq
     return write_parquet(new, target, "overwrite", partition_by, sort_within)
 
 
-# Most partition values whose directories a pruned key read lists by value.
-PRUNE_VALUES_MAX = 10_000
+def _plain(df: DataFrame, c: str) -> Column:
+    """A column as it can pass through the driver: an instant as microseconds.
+    (A Python datetime is local time, which is ambiguous in the hour that a
+    clock change repeats.)"""
+    return F.unix_micros(c) if isinstance(df.schema[c].dataType, TimestampType) else F.col(c)
+
 
+def _literal(df: DataFrame, c: str, value) -> Column:
+    return F.timestamp_micros(F.lit(value)) if isinstance(df.schema[c].dataType, TimestampType) else F.lit(value)
 
-def touched_partitions(new: DataFrame, partition_cols: Sequence[str],
-                       max_values: int = PRUNE_VALUES_MAX) -> Column | None:
-    """A predicate on partition columns that every row of ``new`` satisfies --
-    each column IN the values ``new`` holds -- or None beyond ``max_values``.
 
-    The distinct values are partition metadata (one per directory), fetched
-    with a bounded collect; as a filter on a partitioned scan they become
-    ``PartitionFilters``, so only those directories are listed and read.  None
-    means "read every partition", which is never wrong, only slower."""
+def touched_partitions(new: DataFrame, partition_cols: Sequence[str]) -> Column:
+    """A predicate on partition columns that every row of ``new`` satisfies:
+    each column is one of the values ``new`` holds.
+
+    The distinct values are partition metadata, one per directory that the load
+    writes; as a filter on a partitioned scan they become ``PartitionFilters``,
+    so only those directories are listed and read."""
     cols = list(partition_cols)
-    rows = new.select(*cols).distinct().limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        return None
-    pred = None
+    rows = new.select(*[_plain(new, c).alias(c) for c in cols]).distinct().collect()
+    pred = F.lit(True)
     for i, c in enumerate(cols):
         vals = {r[i] for r in rows}
-        known = [v for v in vals if v is not None]
+        known = [_literal(new, c, v) for v in sorted(vals - {None})]
         cond = F.col(c).isin(known) if known else F.lit(False)
-        if None in vals:
-            cond = cond | F.col(c).isNull()
-        pred = cond if pred is None else pred & cond
-    return pred if pred is not None else F.lit(True)
+        pred = pred & ((cond | F.col(c).isNull()) if None in vals else cond)
+    return pred
 
 
 def key_ranges(new: DataFrame, cols: Sequence[str], keep_nulls: bool) -> Column:
     """Each column within its [min, max] over ``new`` (one small aggregate job);
     ``keep_nulls`` also keeps null values (null-safe key matching)."""
     cols = list(cols)
-    bounds = new.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-                     *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    bounds = new.agg(*[F.min(_plain(new, c)).alias(f"lo{i}") for i, c in enumerate(cols)],
+                     *[F.max(_plain(new, c)).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
     pred = F.lit(True)
     for i, c in enumerate(cols):
         lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
-        cond = F.col(c).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
+        cond = F.col(c).between(_literal(new, c, lo), _literal(new, c, hi)) if lo is not None else F.lit(False)
         if keep_nulls:
             cond = cond | F.col(c).isNull()
         pred = pred & cond
@@ -159,9 +169,7 @@ def rows_not_in_target(spark: SparkSession, new: DataFrame, target: str, keys: S
     r = spark.read.schema(schema) if schema is not None else spark.read
     existing = r.parquet(target)
     if prune_by:
-        pred = touched_partitions(new, prune_by)
-        if pred is not None:
-            existing = existing.where(pred)
+        existing = existing.where(touched_partitions(new, prune_by))
     if range_by:
         existing = existing.where(key_ranges(new, range_by, null_safe))
     existing = existing.select(*keys).distinct()

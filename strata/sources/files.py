@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def _fs(spark: SparkSession, path: str):
@@ -13,24 +13,85 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """When a path was last modified (epoch milliseconds, any scheme)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence through the Hadoop FileSystem of the path (any scheme)."""
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, *, header: bool = True,
-             recursive: bool = False, glob: str | None = None, **options) -> DataFrame:
-    """CSV with a header line per file; every file of a directory (optionally
-    recursively) is read and concatenated -- one scan, not a per-file loop."""
-    r = spark.read.schema(schema).option("header", str(header).lower())
+def _csv_reader(spark: SparkSession, header: bool, recursive: bool, glob: str | None, options: dict):
+    r = spark.read.option("header", str(header).lower())
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     for k, v in options.items():
         r = r.option(k, v)
-    return r.csv(path)
+    return r
+
+
+def csv_text(spark: SparkSession, path: str | list[str], schema: StructType, *, recursive: bool = False,
+             glob: str | None = None, **options) -> DataFrame:
+    """The schema's columns of headed CSV files, by header name, as text.
+
+    The names come from a header line (no pass over the data).  A column the
+    header lacks raises, and so does a further file whose header differs."""
+    r = _csv_reader(spark, True, recursive, glob, options)
+    names = r.csv(path).columns
+    missing = [f.name for f in schema if f.name not in names]
+    if missing:
+        raise ValueError(f"CSV header of {path} lacks {missing}; it has {names}")
+    text = StructType([StructField(n, StringType(), True) for n in names])
+    return r.schema(text).option("enforceSchema", "false").csv(path).select(*schema.fieldNames())
+
+
+def _typed(f: StructField) -> Column:
+    c = F.col(f.name)
+    return c if isinstance(f.dataType, StringType) else F.when(F.trim(c) != "", F.trim(c)).try_cast(f.dataType)
+
+
+def csv_bad_fields(text: DataFrame, schema: StructType) -> DataFrame:
+    """The text rows with ``bad_fields``: the columns whose text is not of the
+    schema's type (a blank is a null, not a bad field)."""
+    bad = [F.when((F.trim(F.col(f.name)) != "") & _typed(f).isNull(), F.lit(f.name))
+           for f in schema if not isinstance(f.dataType, StringType)]
+    fields = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+    return text.withColumn("bad_fields", fields)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, *, header: bool = True,
+             recursive: bool = False, glob: str | None = None, on_bad: str = "null", **options) -> DataFrame:
+    """CSV under a schema; every file of a directory (optionally recursively) is
+    read and concatenated -- one scan, not a per-file loop.
+
+    With a header, columns are taken by name and checked (``csv_text``); without
+    one, by position.  ``on_bad`` says what becomes of a row with a field of the
+    wrong type: "null" keeps it with a null there, "drop" leaves the row out
+    (count such rows with ``csv_rejects``)."""
+    if on_bad not in ("null", "drop"):
+        raise ValueError(f"unknown policy {on_bad!r}")
+    if header:
+        text = csv_text(spark, path, schema, recursive=recursive, glob=glob, **options)
+    else:
+        plain = StructType([StructField(f.name, StringType(), True) for f in schema])
+        text = _csv_reader(spark, False, recursive, glob, options).schema(plain).csv(path)
+    if on_bad == "drop":
+        text = csv_bad_fields(text, schema).filter(F.size("bad_fields") == 0)
+    return text.select(*[_typed(f).alias(f.name) for f in schema])
+
+
+def csv_rejects(text: DataFrame, schema: StructType) -> DataFrame:
+    """One row: rows read, rows with a bad field, bad fields in all."""
+    n = F.size("bad_fields")
+    return csv_bad_fields(text, schema).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(n > 0, 1)).alias("bad_rows"),
+        F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("bad_fields"))
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: StructType, *, recursive: bool = False,
@@ -46,21 +107,6 @@ def read_json(spark: SparkSession, path: str | list[str], schema: StructType, *,
     return r.json(path)
 
 
-def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    r = spark.read.schema(schema) if schema is not None else spark.read
-    return r.parquet(path)
-
-
-def read_parquet_if_exists(spark: SparkSession, path: str,
-                           schema: StructType | None = None) -> DataFrame | None:
-    """The table at ``path``, or None when nothing has been written there yet.
-
-    Only a missing path yields None; any other read error is raised."""
-    if not path_exists(spark, path):
-        return None
-    return read_parquet(spark, path, schema)
-
-
 def stage_json(spark: SparkSession, path_template: str, schema: StructType, target: str,
                **params) -> int:
     """Bulk stage: truncate ``target`` and load every JSON file under the path

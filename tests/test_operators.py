@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import first_by_key, first_row_last_columns, last_by_key, top_per_group
-from strata.operators.joins import broadcast_if_bounded, having_match, lookup_join, missing_keys, within_rows
+from strata.operators.joins import having_match, lookup_join, missing_keys
 from conftest import rows
 
 DATA = [(1, "a", 10), (1, "b", 5), (1, "c", 7), (2, "x", 1), (None, "n1", 3), (None, "n2", 2), (3, None, 9)]
@@ -57,11 +57,11 @@ def test_anti_and_semi_partition_rows(spark):
     assert semi.count() + anti.count() == src.count()
 
 
-def test_broadcast_if_bounded(spark):
-    small = spark.range(5)
-    big = spark.range(1000)
-    assert within_rows(small, 10) and not within_rows(big, 10)
-    plan_small = spark.range(100).join(broadcast_if_bounded(small, 10), "id")._jdf.queryExecution() \
-        .analyzed().toString()
-    assert "broadcast" in plan_small.lower()
-    assert broadcast_if_bounded(big, 10) is big
+def test_semi_join_makes_its_keys_distinct_before_the_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"))
+        plan = having_match(spark.range(5).toDF("k"), hot, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("HashAggregate(keys=[k") == 2 and "LeftSemi" in plan

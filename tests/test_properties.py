@@ -3,7 +3,6 @@ with brute-force pandas/Python definitions, and do not depend on partitioning.""
 
 import tempfile
 
-import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 from strata import sinks as K
 from strata.operators.dedup import first_by_key, last_by_key
 from strata.operators.joins import lookup_join
-from strata.operators.sequence import number_within_groups
 from strata.plans import toxicity as T
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -68,21 +66,6 @@ def test_incremental_load_is_idempotent(spark, a, b):
     assert got == want
 
 
-@SETTINGS
-@given(data=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2), st.just(7)), st.integers(0, 50)),
-                     max_size=60),
-       parts=st.integers(1, 5))
-def test_numbering_matches_cumcount(spark, data, parts):
-    df = spark.createDataFrame([(g, o, i) for i, (g, o) in enumerate(data)], "g int, o int, uid int")
-    got = {r.uid: r.rn for r in number_within_groups(df, ["g"], ["o", "uid"], "rn", partitions=parts).collect()}
-    pdf = pd.DataFrame(data, columns=["g", "o"]) if data else pd.DataFrame(columns=["g", "o"])
-    pdf["uid"] = range(len(pdf))
-    pdf["gk"] = pdf["g"].astype("object").where(pdf["g"].notna(), "null")
-    pdf = pdf.sort_values(["gk", "o", "uid"], key=lambda s: s.astype(str) if s.name == "gk" else s)
-    pdf["rn"] = pdf.groupby("gk").cumcount() + 1
-    assert got == dict(zip(pdf["uid"], pdf["rn"]))
-
-
 words = st.sampled_from(["gg", "ez", "noob", "hello", "wp", None, "idiot x", "nice"])
 
 

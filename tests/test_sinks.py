@@ -1,8 +1,11 @@
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata import schemas as SC
+from strata import session as S
 from strata import sinks as K
 from strata.sources import files as FL
 from strata.streaming import stream_incremental_load
@@ -49,10 +52,116 @@ def test_upsert_columns_batches_equal_whole(spark, tmp_path):
     assert rows(spark.read.parquet(p2)) == want
 
 
-def test_parquet_if_exists(spark, tmp_path):
-    assert FL.read_parquet_if_exists(spark, str(tmp_path / "missing")) is None
-    spark.range(3).write.parquet(str(tmp_path / "p"))
-    assert FL.read_parquet_if_exists(spark, str(tmp_path / "p")).count() == 3
+def test_overwrite_replaces_the_partitions_of_the_first_write(spark, tmp_path):
+    path = str(tmp_path / "t")
+    songs = spark.createDataFrame([("S1", 2000), ("S2", 2001)], "song string, year int")
+    K.load_table(songs, path, append=False, partition_by=["year"])
+    K.load_table(spark.createDataFrame([("S1", 1999)], "song string, year int"), path, append=False, partition_by=["year"])
+    assert rows(spark.read.parquet(path)) == [("S1", 1999)]
+    K.write_parquet(songs, path, "overwrite", ["year"], replace="partitions")
+    assert rows(spark.read.parquet(path)) == [("S1", 1999), ("S1", 2000), ("S2", 2001)]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Australia/Lord_Howe", "UTC"])
+def test_bounds_hold_in_the_hour_that_a_clock_change_repeats(spark, tmp_path, monkeypatch, zone):
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        path = str(tmp_path / "t")
+        for us in (1730611800000000, 1730615400000000):  # 05:30Z and 06:30Z: both 01:30 in New York
+            one = spark.range(1).select(F.timestamp_micros(F.lit(us)).alias("start_time"), F.lit(1).alias("o"))
+            for _ in range(2):
+                K.append_if_absent(spark, one, path, ["start_time"], ["o"], range_by=["start_time"])
+        assert spark.read.parquet(path).count() == 2
+        part = spark.read.parquet(path)
+        assert part.where(K.touched_partitions(part, ["start_time"])).count() == 2
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_create_insert_and_drop_table(spark, tmp_path):
+    name = S.scratch_table(spark, "t")
+    K.create_table(spark, name, SC.REGION, str(tmp_path / "t"))
+    K.create_table(spark, name, SC.REGION)
+    assert spark.catalog.tableExists(name) and spark.table(name).schema == SC.REGION
+    K.drop_table(spark, name)
+    K.drop_table(spark, name)  # a second drop is a no-op
+    assert not spark.catalog.tableExists(name)
+
+
+def test_single_file_only_within_its_bound(spark, tmp_path):
+    files = lambda p: [f for f in os.listdir(p) if f.endswith(".parquet")]
+    df = spark.range(0, 100, 1, 5)
+    assert K.single_file_overwrite(df, str(tmp_path / "a")) == 100 and len(files(tmp_path / "a")) == 1
+    assert K.single_file_overwrite(df, str(tmp_path / "b"), max_rows=99) == 100 and len(files(tmp_path / "b")) == 5
+
+
+def test_scratch_is_dropped_and_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    path = S.shared_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert FL.path_exists(spark, path)
+    S.drop_scratch(spark)
+    assert not FL.path_exists(spark, path)
+
+    class Cluster:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: type("C", (), {"get": staticmethod(lambda k, d=None: None)}))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.checkpoint_base(type("Session", (), {"sparkContext": Cluster}))
+
+
+def test_a_rewritten_table_is_read_under_its_own_schema(spark, tmp_path):
+    from strata.sources import views as V
+    p = str(tmp_path / "part.parquet")
+    spark.range(2).write.parquet(p)
+    assert V.read_table(spark, str(tmp_path), "part").columns == ["id"]
+    time.sleep(1.1)
+    spark.range(2).select(F.col("id").alias("other")).write.mode("overwrite").parquet(p)
+    assert V.read_table(spark, str(tmp_path), "part").columns == ["other"]
+
+
+# ---- CSV by header name ------------------------------------------------------
+
+REGION_CSV = SC.REGION_CSV
+
+
+def _csv(tmp_path, name, *lines):
+    d = tmp_path / "csv"
+    d.mkdir(exist_ok=True)
+    (d / name).write_text("\n".join(lines) + "\n")
+    return str(d)
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    src = _csv(tmp_path, "a.csv", "region,extra,cluster", "EU,x,1", "US,y,2")
+    assert rows(FL.read_csv(spark, src, REGION_CSV)) == [(1, "EU"), (2, "US")]
+
+
+def test_csv_without_a_needed_column_or_with_two_headers_raises(spark, tmp_path):
+    with pytest.raises(ValueError, match="cluster"):
+        FL.read_csv(spark, _csv(tmp_path, "a.csv", "region,number", "EU,1"), REGION_CSV)
+    src = _csv(tmp_path, "a.csv", "region,cluster", "EU,1")
+    _csv(tmp_path, "b.csv", "cluster,region", "2,US")
+    with pytest.raises(Exception, match="(?i)header"):
+        FL.read_csv(spark, src, REGION_CSV).collect()
+
+
+def test_csv_bad_fields_are_counted_and_follow_the_policy(spark, tmp_path):
+    src = _csv(tmp_path, "a.csv", "cluster,region", "1,EU", "x,US", ",AS", "99999999999,SA", " 7 ,AF")
+    assert rows(FL.read_csv(spark, src, REGION_CSV)) == sorted(
+        [(1, "EU"), (None, "US"), (None, "AS"), (None, "SA"), (7, "AF")], key=repr)
+    assert rows(FL.read_csv(spark, src, REGION_CSV, on_bad="drop")) == sorted([(1, "EU"), (None, "AS"), (7, "AF")], key=repr)
+    text = FL.csv_text(spark, src, REGION_CSV)
+    assert rows(FL.csv_rejects(text, REGION_CSV)) == [(5, 2, 2)]
+    with pytest.raises(ValueError):
+        FL.read_csv(spark, src, REGION_CSV, on_bad="ignore")
+
+
+def test_csv_without_header_is_read_by_position(spark, tmp_path):
+    src = _csv(tmp_path, "a.csv", "1,EU", "2,US")
+    assert rows(FL.read_csv(spark, src, REGION_CSV, header=False)) == [(1, "EU"), (2, "US")]
 
 
 def test_quoted_csv_export(spark, tmp_path):
@@ -152,9 +261,7 @@ def test_range_by_skips_older_row_groups(spark, tmp_path):
     assert scan.metrics().apply("numOutputRows").value() == 0
 
 
-def test_pruned_load_is_exact_with_null_partitions_and_past_the_bound(spark, tmp_path, monkeypatch):
-    from pyspark.sql import functions as F
-    from strata.sinks import writes as W
+def test_pruned_load_is_exact_with_null_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     old = spark.range(100).select(F.col("id").alias("k"),
                                   F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") % 3).alias("p"))
@@ -163,7 +270,3 @@ def test_pruned_load_is_exact_with_null_partitions_and_past_the_bound(spark, tmp
     new = old.unionByName(spark.range(100, 110).select(F.col("id").alias("k"), F.lit(None).cast("long").alias("p")))
     want = list(range(100, 110))
     assert sorted(r.k for r in K.rows_not_in_target(spark, new, path, ["k"], prune_by=["p"]).collect()) == want
-    # past the bound (4 values > 1) no partition filter is used, and the result is the same
-    assert W.touched_partitions(new, ["p"], max_values=1) is None
-    monkeypatch.setattr(W, "touched_partitions", lambda df, cols: None)
-    assert sorted(r.k for r in K.rows_not_in_target(spark, new, path, ["k"], prune_by=["p"]).collect()) == want
