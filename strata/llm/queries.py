@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from strata.llm import (bpe, exact_dedup, kneser_ney, lang_id, mixing, ngram_join, quality_model, quality_rules,
                         substring_dedup, token_counts)
 from strata.llm.common import crc_remainder, documents
+from strata.llm.oracles import ORACLE
+
+__all__ = ["ORACLE", "QUERIES", "tokenizer_path"]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -87,34 +90,3 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_lm_scoring": op10_lm_scoring,
 }
-
-_OP5 = """
-WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS body FROM documents)
-SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-       doc_id = max(doc_id) OVER w AS kept, text_sha256
-FROM d WINDOW w AS (PARTITION BY body)
-"""
-
-_OP6 = r"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-tri AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
-        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
-hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
-rep AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, i + k AS p FROM hit, (SELECT unnest([0, 1, 2]) AS k)) GROUP BY doc_id),
-ln AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
-       WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup FROM ln GROUP BY doc_id),
-m AS (SELECT d.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
-             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(lines.n, 0) AS n_lines,
-             coalesce(lines.dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
-             len([x for x in ws if NOT regexp_matches(x, '[#*$%&|<>]')]) AS plain
-      FROM d LEFT JOIN rep ON d.doc_id = rep.doc_id LEFT JOIN lines ON d.doc_id = lines.doc_id),
-b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-      (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
-       + CASE WHEN 100 * n_symbols > 25 * n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
-       + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END
-       + CASE WHEN 100 * plain < 70 * n_words THEN 64 ELSE 0 END)::BIGINT AS failed_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed_bits = 0 AS kept, failed_bits FROM b
-"""
-
-ORACLE = {"op5_exact_dedup": _OP5, "op6_quality_rules": _OP6}
