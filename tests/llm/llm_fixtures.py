@@ -1,3 +1,5 @@
+"""Fixtures of the operator tests: a documents table and its odd rows."""
+
 import random
 
 import pytest

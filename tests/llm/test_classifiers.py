@@ -8,6 +8,7 @@ import pytest
 from conftest import SF01
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs_of, extra_columns, odd_rows  # noqa: F401
 from strata.llm import lang_id as L
 from strata.llm import quality_model as Q
 from strata.llm import textbytes as T

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 
+from llm_fixtures import docs_of, extra_columns, odd_rows  # noqa: F401
 from strata.llm import exact_dedup as X
 
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs_of, extra_columns, odd_rows  # noqa: F401
 from strata.llm import kneser_ney as K
 from strata.llm.common import crc_remainder
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from llm_fixtures import docs_of, extra_columns, odd_rows  # noqa: F401
 from strata.llm import mixing as M
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -6,6 +6,7 @@ import re
 
 from conftest import SF001
 
+from llm_fixtures import docs_of, extra_columns, odd_rows  # noqa: F401
 import corpus_pipeline as P
 from strata.llm import bpe, quality_rules
 from strata.llm.queries import tokenizer_path

@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+from llm_fixtures import docs_of, extra_columns, odd_rows  # noqa: F401
 from strata.llm import quality_rules as Q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_fixtures import docs_of  # noqa: F401
 from strata.llm import sketch as K
 from strata.llm import textbytes as T
 

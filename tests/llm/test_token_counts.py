@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from llm_fixtures import docs_of, extra_columns, odd_rows  # noqa: F401
 from strata.llm import bpe
 from strata.llm import token_counts as C
 from strata.llm.queries import tokenizer_path
