@@ -3,8 +3,8 @@
 Texts up to ``split_chars`` are encoded where they lie.  A longer one is cut
 into pieces that other tasks encode, in two steps:
 
-* at places where the tokenizer always splits (before a space between two
-  letters) the pieces are independent and their ids are simply concatenated;
+* at places where the tokenizer always splits (before a single space inside
+  other text) the pieces are independent and their ids are simply concatenated;
 * a single pre-token longer than the bound (an unsplit run: no place to cut) is
   halved by bytes until the halves fit.  Neighbouring halves are then joined
   level by level: the tokens around the join are re-encoded in a window that
@@ -37,7 +37,7 @@ from strata.llm.common import column, map_chunks, pick
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPLIT_CHARS = 1 << 16
-_CUT = regex.compile(r"(?<=\p{L}) (?=\p{L})")
+_CUT = regex.compile(r"(?<=\S) (?=\S)")
 _CODECS: dict[str, "Codec"] = {}
 
 
@@ -56,6 +56,7 @@ class Codec:
 
     def __init__(self, path: str):
         import tiktoken
+        from tokenizers import pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -71,7 +72,7 @@ class Codec:
         self.special_re = regex.compile("|".join(map(regex.escape, self.special))) if special else None
         self.special_ids = special
         self.enc = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.pattern = regex.compile(PATTERN)
+        self._splitter = pre_tokenizers.ByteLevel(add_prefix_space=False)
 
     def encode(self, text: str) -> list[int]:
         return self.enc.encode(text, allowed_special="all")
@@ -83,6 +84,11 @@ class Codec:
         """BPE of one unsplit run of bytes."""
         return self.enc._encode_single_piece(piece)
 
+    def pretokens(self, text: str) -> Iterator[str]:
+        """The pieces in which the tokenizer splits a text before merging."""
+        for _, (lo, hi) in self._splitter.pre_tokenize_str(text):
+            yield text[lo:hi]
+
     def token(self, i: int) -> bytes:
         return self.enc.decode_single_token_bytes(int(i))
 
@@ -147,8 +153,7 @@ def pieces(c: Codec, text: str, limit: int) -> Iterator[tuple[int, bytes]]:
             end = cut.start() if cut else lo
             batch: list[str] = []
             size = 0
-            for m in c.pattern.finditer(text, at, end):
-                tok = m.group()
+            for tok in c.pretokens(text[at:end]):
                 if len(tok) > limit // 2:
                     if batch:
                         yield -1, json.dumps(batch).encode()
