@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules
-from strata.llm.common import documents, kept_table, small_batches
+from strata.llm.common import documents, kept_table
 from strata.llm.queries import tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the current quality policy keeps."""
-    small_batches(spark)
     return quality_rules.keep_clean(docs)
 
 
@@ -30,7 +29,6 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts."""
-    small_batches(spark)
     return ngram_join.keep_one(docs)
 
 
@@ -42,7 +40,6 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and ids of every text."""
-    small_batches(spark)
     return bpe.encode(docs, tokenizer_path(), carry=["doc_id", "lang", "source"]) \
         .withColumn("n_tokens", F.size("ids").cast("long"))
 

@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import column, map_chunks, pick
+from strata.llm.common import column, map_chunks, pick, python_ready
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPLIT_CHARS = 1 << 16
@@ -270,6 +270,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             text = [c.decode(x or []) for x in column(b, ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())], names=[*b.schema.names, "decoded"])
 
+    python_ready(encoded.sparkSession)
     base = encoded.drop("decoded")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema)
     return base.mapInArrow(run, f"{schema}, decoded string")

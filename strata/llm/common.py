@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -16,16 +17,24 @@ from strata.session import shared_dir
 #: Rows per Arrow batch.  A batch holds whole texts, so the default of 10,000
 #: rows could reach gigabytes when texts are long.
 BATCH_ROWS = 512
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    """A table of the given folder, read with small Arrow batches."""
-    small_batches(spark)
+    """A table of the given folder."""
+    python_ready(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
+def python_ready(spark: SparkSession) -> None:
+    """Settings of the Python workers: small Arrow batches, and the folder of this
+    package on their path (workers on this machine, or where it is mounted alike;
+    a cluster may ship the package with --py-files as well)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
 
 
 def pick(docs: DataFrame, **cols) -> DataFrame:
@@ -40,6 +49,7 @@ def map_chunks(df: DataFrame, fn: Callable[[pa.RecordBatch, Chunk], dict], schem
     ``fn(rows, chunk)`` gets the rows of one piece and returns the output
     columns (name -> array) or None for no rows.
     """
+    python_ready(df.sparkSession)
     struct: StructType = _parse_datatype_string(schema)
     arrow = to_arrow_schema(struct)
 
@@ -81,6 +91,25 @@ def kept_table(df: DataFrame, purpose: str, partition_by: list[str] | None = Non
     return spark.read.schema(df.schema).parquet(path)
 
 
+def smallest(rows: DataFrame, group: str, h: str, per_group: int) -> DataFrame:
+    """At most ``per_group`` rows of each group: those with the smallest hash.
+
+    Rows are first counted by group and by the top 18 bits of the hash, which
+    combines map-side; only rows up to the bucket where a group has enough are
+    then ranked.  So little more than the sample itself is shuffled, however
+    large a group is.  One row per group is broadcast: groups are classes or
+    languages, a small domain.
+    """
+    part = F.shiftrightunsigned(F.col(h), 46)
+    before = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    last = rows.groupBy(group, part.alias("part")).agg(F.count(F.lit(1)).alias("c")) \
+        .withColumn("had", F.coalesce(F.sum("c").over(before), F.lit(0))).filter(F.col("had") < per_group) \
+        .groupBy(group).agg(F.max("part").alias("last_part"))
+    few = rows.join(F.broadcast(last), group).filter(part <= F.col("last_part")).drop("last_part")
+    order = Window.partitionBy(group).orderBy(*[c for c in [h, *few.columns] if c != group])
+    return few.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_group).drop("nth")
+
+
 def crc_remainder(doc_id: str, modulus: int):
     """crc32 of the id as text, modulo (a null id counts as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

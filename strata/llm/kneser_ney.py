@@ -19,8 +19,9 @@ Storage: each range becomes a file of sorted arrays in the cluster's shared
 folder: word hashes with their statistics, and pairs packed as (rank of first
 word, rank of second word), ascending.  Workers memory-map the files and look
 words and pairs up by binary search over sorted needles.  Where the folder is a
-remote store, a worker copies a file once and maps the copy, whose name it
-drops at once.  The driver only sees one row of totals per range.
+store that is not mounted, a worker reads the files it needs into memory
+instead; no machine-local copy is made.  The driver only sees one row of totals
+per range.
 
 Defined results: a null or empty text is one token, the end.  Without training
 texts every probability is uniform over one unknown word (log 0).
@@ -29,7 +30,6 @@ texts every probability is uniform over one unknown word (log 0).
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbytes as T
-from strata.llm.common import column, map_chunks, pick
+from strata.llm.common import column, map_chunks, pick, python_ready
 from strata.llm.sketch import pack, pack_sorted, unpack, unpack_sorted
 from strata.session import shared_dir
 
@@ -106,18 +106,13 @@ def _put(base: str, name: str, *arrays: np.ndarray) -> None:
 
 
 def _map(base: str, name: str) -> np.ndarray:
-    """The bytes of a file, memory-mapped."""
+    """The bytes of a file: memory-mapped, or read where it cannot be mapped."""
     fs, path = pafs.FileSystem.from_uri(base)
     path = f"{path}/{name}"
     if isinstance(fs, pafs.LocalFileSystem):
         return np.memmap(path, np.uint8, "r") if os.path.getsize(path) else np.zeros(0, np.uint8)
-    fd, local = tempfile.mkstemp()
-    with os.fdopen(fd, "wb") as out, fs.open_input_stream(path) as f:
-        while block := f.read(1 << 22):
-            out.write(block)
-    got = np.memmap(local, np.uint8, "r") if os.path.getsize(local) else np.zeros(0, np.uint8)
-    os.unlink(local)  # the mapping keeps the bytes; no file stays behind
-    return got
+    with fs.open_input_stream(path) as f:
+        return np.frombuffer(f.read(), np.uint8)
 
 
 class Store:
@@ -356,6 +351,7 @@ def _pair_keys(rank: np.ndarray, first: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, learn: Column, text: str = "text") -> Model:
     """Count the texts of all rows where ``learn`` holds and store the model."""
     spark = docs.sparkSession
+    python_ready(spark)
     train = docs.filter(learn).select(F.coalesce(docs[text], F.lit("")).alias("text"))
     base = shared_dir(spark, "language-model")
     fs, path = pafs.FileSystem.from_uri(base if "://" in base or base.startswith("file:") else f"file://{base}")

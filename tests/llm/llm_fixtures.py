@@ -4,16 +4,12 @@ import random
 
 import pytest
 
-from strata.llm.common import small_batches
-
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 @pytest.fixture(scope="session")
 def docs_of(spark):
     """A documents-shaped frame from (doc_id, text[, lang, source]) rows."""
-    small_batches(spark)
-
     def make(rows, parts=3):
         full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s0",
                  None if r[1] is None else len(r[1])) for r in rows]
