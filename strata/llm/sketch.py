@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strata.llm import textbytes as T
+from strata.llm.common import kept_table, python_ready
 
 RANGE = 1 << 20
-MAX_CELLS = 1 << 30
-FLUSH = 1 << 22
+MAX_CELLS = 1 << 29
+FLUSH = 1 << 21
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -75,13 +76,14 @@ def cell_of(h: np.ndarray, cells: int, row: int = 0) -> np.ndarray:
 
 
 def merged(docs: DataFrame, values: Callable[[T.Chunk], np.ndarray], cells: int, rows: int = 1, cap: int = 255,
-           lower: bool = False, levels: tuple[int, ...] = (2,)) -> bytes:
+           lower: bool = False, levels: tuple[int, ...] = (2,)) -> bytearray:
     """Count the values of all texts (column ``text``) and return the plane.
 
     ``levels``: ascending count thresholds; a cell's entry is how many it
     reaches (1 bit for one threshold, 2 bits for up to three).  ``rows``:
     independent sketch rows of ``cells`` cells each.
     """
+    python_ready(docs.sparkSession)
     bits = 1 if len(levels) == 1 else 2
     per_row = cells // RANGE
 
@@ -136,19 +138,19 @@ def merged(docs: DataFrame, values: Callable[[T.Chunk], np.ndarray], cells: int,
             (level[0::4] | (level[1::4] << 2) | (level[2::4] << 4) | (level[3::4] << 6))
         return pa.table({"part": table["part"].slice(0, 1).combine_chunks(), "plane": pa.array([plane.tobytes()], pa.binary())})
 
-    got = docs.select("text").mapInArrow(partials, "part int, cells binary, more binary") \
-        .groupBy("part").applyInArrow(add, "part int, plane binary").collect()
+    parts = kept_table(docs.select("text").mapInArrow(partials, "part int, cells binary, more binary")
+                       .groupBy("part").applyInArrow(add, "part int, plane binary"), "sketch")
     size = RANGE * bits // 8
     plane = bytearray(size * per_row * rows)
-    for r in got:
+    for r in parts.toLocalIterator():  # one file's parts at a time beside the plane itself
         plane[r["part"] * size:(r["part"] + 1) * size] = r["plane"]
-    return bytes(plane)
+    return plane
 
 
 class Plane:
     """Lookups in a merged plane (inside a task)."""
 
-    def __init__(self, raw: bytes, cells: int, rows: int = 1, bits: int = 1):
+    def __init__(self, raw: bytes | bytearray, cells: int, rows: int = 1, bits: int = 1):
         self.raw, self.cells, self.rows, self.bits = np.frombuffer(raw, np.uint8), cells, rows, bits
 
     def level(self, h: np.ndarray) -> np.ndarray:

@@ -23,7 +23,7 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
 _GAP_A, _GAP_B = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
