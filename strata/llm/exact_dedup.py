@@ -71,8 +71,10 @@ def mark(docs: DataFrame, carry: list[str] | None = None, doc_id: str = "doc_id"
         "row", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha")
     again = kept_table(tested.filter("possible").select("row", "id", "sha")
                        .withColumn("at", F.monotonically_increasing_id()), "repeats")
-    groups = again.groupBy("sha").agg(F.max(F.struct("id", "at")).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    settled = again.join(groups.hint("merge"), "sha").select(
+    # written, so that both sides of the join below are plain exchanges and AQE can split a large group
+    groups = kept_table(again.groupBy("sha").agg(F.max(F.struct("id", "at")).alias("best"), F.count(F.lit(1)).alias("group_size")),
+                        "groups")
+    settled = again.join(groups, "sha").select(
         "row", F.col("best.id").alias("keep_id"), "group_size", (F.col("at") == F.col("best.at")).alias("kept"), "sha")
     return alone.unionByName(settled)
 
