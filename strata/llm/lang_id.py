@@ -25,11 +25,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbytes as T
-from strata.llm.common import column, map_chunks, pick
+from strata.llm.common import column, map_chunks, pick, smallest
 
 WINDOW = 256          # bytes per window
 WIDTHS = (2, 3, 4)    # filter widths
@@ -117,8 +117,7 @@ def sample(docs: DataFrame, learn: Column, per_lang: int, text: str = "text", la
     rows = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id), F.lit(-1)).alias("h"),
         F.array_distinct(F.array(*[F.substring(F.col(text), s, F.lit(WINDOW)) for s in start])).alias("windows"))
-    order = Window.partitionBy("lang").orderBy("h", "windows")
-    return rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_lang).select("lang", "windows")
+    return smallest(rows, "lang", "h", per_lang).select("lang", "windows")
 
 
 def train(texts: list[str], labels: list[str], epochs: int = 4, batch: int = 64, rate: float = 4e-3,

@@ -27,11 +27,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbytes as T
-from strata.llm.common import column, map_chunks, pick
+from strata.llm.common import column, map_chunks, pick, smallest
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -122,10 +122,9 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int) ->
     The sample is drawn from the narrow label table; its at most 2 * per_class
     rows are broadcast to the scan of the documents.
     """
-    lab = labels.select("doc_id", F.col("quality").cast("int").alias("quality")) \
+    lab = labels.select("doc_id", F.col("quality").cast("int").alias("quality"), F.xxhash64("doc_id", F.lit(11)).alias("h")) \
         .filter(learn & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id")
-    chosen = lab.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).select("doc_id", "quality")
+    chosen = smallest(lab, "quality", "h", per_class).select("doc_id", "quality")
     rows = pick(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
 
     def run(batch: pa.RecordBatch, c: T.Chunk) -> dict:
