@@ -32,12 +32,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from strata.llm.common import kept_table
+from strata.llm.common import kept_table, python_ready
 from strata.llm.textbytes import mix
 
 BLANKS = r"[\x20\x09-\x0D]+"
 BLOCK = 64
 SLOTS = 8192
+SLOTS_PER_TASK = 1 << 19
 BUCKET_ROWS = 20_000
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -176,7 +177,9 @@ def slot_table(runs: DataFrame, table: pd.DataFrame, seed: int = SEED) -> DataFr
     """(shard, src, slot, epoch, index): every slot of the mixture and its block."""
     spark = runs.sparkSession
     size = spark.createDataFrame([(int(s), int(b)) for s, b in zip(table["src"], table["blocks"])], "src int, blocks long")
-    slots = runs.join(F.broadcast(size), "src").select(
+    # a run is a few numbers but may be thousands of slots: spread the runs by what they become
+    tasks = max(1, -(-int(table["slots"].sum()) // SLOTS_PER_TASK))
+    slots = runs.repartition(tasks, "src", "shard").join(F.broadcast(size), "src").select(
         "shard", "src", "blocks", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("slot")) \
         .withColumn("epoch", F.floor(F.col("slot") / F.col("blocks")).cast("int")) \
         .withColumn("at", F.pmod(F.col("slot"), F.col("blocks")))
@@ -217,6 +220,7 @@ class Mixture:
     def __init__(self, docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED, doc_id: str = "doc_id",
                  text: str = "text", source: str = "source", texts: bool = False):
         spark = docs.sparkSession
+        python_ready(spark)
         self.docs = numbered(docs, text) if texts else None
         src = self.docs.select("row_id", F.col(f"row.{doc_id}").alias("doc_id"), F.col(f"row.{source}").alias("source"), "text") if texts \
             else docs.select(F.monotonically_increasing_id().alias("row_id"), docs[doc_id].alias("doc_id"), docs[source].alias("source"),
