@@ -13,7 +13,11 @@ Kneser-Ney discounts D(1), D(2), D(3+) estimated from counts of counts.
 Counting: every task reduces its texts to (word, count) and then (pair, count)
 in bounded flushes, cut into ranges of the word hash; Spark shuffles the pieces
 by range and one grouped call per range adds them up.  Pieces are distinct per
-flush, so a word of any frequency reaches its range once per flush.
+flush, so a word of any frequency reaches its range once per flush.  The pairs
+of a first word seen fewer than ``HOT`` times stay in that word's range; those of
+a more frequent one are spread over all ranges by a hash of the pair, so that no
+range grows with the share of one word.  Context totals are added up per word
+in a second, small step, where a word is one entry per range.
 
 Storage: each range becomes a file of sorted arrays in the cluster's shared
 folder: word hashes with their statistics, and pairs packed as (rank of first
@@ -48,7 +52,9 @@ from strata.session import shared_dir
 END = np.uint64(0x2545F4914F6CDD1D)   # stands for the end in hash space
 FLUSH = 1 << 21
 BYTES_PER_RANGE = 16 << 20            # text bytes per range, about
+HOT = 1 << 16                         # a first word's pairs are spread from this count on
 _SHIFT = np.uint64(32)
+TOTAL, CONTEXT, BEFORE = range(3)     # kinds of rows between the two steps of counting pairs
 _OPEN: dict[str, "Store"] = {}
 
 
@@ -118,8 +124,9 @@ def _map(base: str, name: str) -> np.ndarray:
 class Store:
     """The files of one model, as a worker sees them."""
 
-    def __init__(self, base: str, words: list[int], pairs: list[int] | None = None):
+    def __init__(self, base: str, words: list[int], hot: int, pairs: list[int] | None = None):
         self.base = base
+        self.hot = hot
         self.n = np.array(words, np.int64)
         self.offset = np.concatenate([[0], np.cumsum(self.n)])
         self.pair_n = pairs
@@ -128,11 +135,11 @@ class Store:
         self._s: dict[int, tuple] = {}
 
     @classmethod
-    def open(cls, base: str, words: list[int], pairs: list[int] | None = None) -> "Store":
+    def open(cls, base: str, words: list[int], hot: int, pairs: list[int] | None = None) -> "Store":
         key = f"{base}?{pairs is not None}"
         if key not in _OPEN:
             _OPEN.clear()
-            _OPEN[key] = cls(base, words, pairs)
+            _OPEN[key] = cls(base, words, hot, pairs)
         return _OPEN[key]
 
     def words(self, part: int) -> np.ndarray:
@@ -156,14 +163,30 @@ class Store:
                 count[cut[k]:cut[k + 1]] = np.where(hit, _counts(raw[8 * n:], n)[at], 0)
         return rank, count
 
+    def seen(self, rank: np.ndarray) -> np.ndarray:
+        """Training count of ascending ranks."""
+        out = np.zeros(len(rank), np.int64)
+        cut = np.searchsorted(rank, self.offset)
+        for k in np.flatnonzero(np.diff(cut)):
+            n = self.n[k]
+            out[cut[k]:cut[k + 1]] = _counts(self.words(k)[8 * n:], n)[rank[cut[k]:cut[k + 1]] - self.offset[k]]
+        return out
+
     def part_of(self, rank: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offset, rank, side="right") - 1
 
-    def pairs(self, key: np.ndarray) -> np.ndarray:
-        """Training count of ascending pair keys (0 where absent)."""
+    def pair_part(self, key: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """The range of each pair key; ``count`` is that of its first word."""
+        home = self.part_of((key >> _SHIFT).astype(np.int64))
+        return np.where(count >= self.hot, _part(T.mix(key), len(self.n)), home)
+
+    def pairs(self, key: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Training count of ascending pair keys (0 where absent), given the
+        counts of their first words."""
         out = np.zeros(len(key), np.int64)
-        part = self.part_of((key >> _SHIFT).astype(np.int64))
-        cut = np.searchsorted(part, np.arange(len(self.n) + 1))
+        part = self.pair_part(key, count)
+        order = np.argsort(part, kind="stable")
+        cut = np.searchsorted(part[order], np.arange(len(self.n) + 1))
         for k in np.flatnonzero(np.diff(cut)):
             n = self.pair_n[k]
             if n:
@@ -171,9 +194,9 @@ class Store:
                     raw = _map(self.base, f"pairs-{k}")
                     self._p[k] = raw[:8 * n].view(np.uint64), _counts(raw[8 * n:], n)
                 own, counts = self._p[k]
-                need = key[cut[k]:cut[k + 1]]
-                at = np.minimum(np.searchsorted(own, need), n - 1)
-                out[cut[k]:cut[k + 1]] = np.where(own[at] == need, counts[at], 0)
+                i = order[cut[k]:cut[k + 1]]
+                at = np.minimum(np.searchsorted(own, key[i]), n - 1)
+                out[i] = np.where(own[at] == key[i], counts[at], 0)
         return out
 
     def stats(self, rank: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -202,6 +225,7 @@ class Model:
     base: str
     words: list[int]
     pairs: list[int]
+    hot: int                  # count from which a first word's pairs are spread
     tokens: int               # N: tokens of the training texts
     vocab: int                # V: distinct training tokens
     pair_discount: list[float]
@@ -257,7 +281,7 @@ def _count_words(train: DataFrame, base: str, parts: int) -> tuple[list[int], in
     return n, sum(r["total"] for r in got)
 
 
-def _count_pairs(train: DataFrame, base: str, words: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+def _count_pairs(train: DataFrame, base: str, words: list[int], hot: int) -> tuple[list[int], np.ndarray, np.ndarray]:
     """Write pairs-<part>, context-<part> and before-<part>.
 
     Returns the pairs of each part, the pairs seen 1, 2, 3 and 4 times, and of
@@ -268,14 +292,18 @@ def _count_pairs(train: DataFrame, base: str, words: list[int]) -> tuple[list[in
     offset = np.concatenate([[0], np.cumsum(words)]).astype(np.int64)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = Store.open(base, words)
+        store = Store.open(base, words, hot)
         keys, counts, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
             k, c = _summed(keys, counts)
             keys.clear()
             counts.clear()
-            return _pieces(k, c, store.part_of((k >> _SHIFT).astype(np.int64)), parts)
+            first = (k >> _SHIFT).astype(np.int64)
+            head = np.flatnonzero(np.diff(first, prepend=-1))
+            part = store.pair_part(k, np.repeat(store.seen(first[head]), np.diff(np.append(head, len(k)))))
+            order = np.argsort(part, kind="stable")
+            return _pieces(k[order], c[order], part[order], parts)
 
         for b in batches:
             for c in T.chunks(column(b, "text"), lower=True):
@@ -293,47 +321,61 @@ def _count_pairs(train: DataFrame, base: str, words: list[int]) -> tuple[list[in
             yield flush()
 
     def add(key: tuple, t: pa.Table) -> pa.Table:
-        """One range of first words: its pairs file and context statistics; the
-        second words go on as pieces for their own ranges."""
+        """One range of pairs: its file; what it holds of first and of second
+        words goes on as pieces for the ranges of those words."""
         part = key[0].as_py()
         k, c = _summed([unpack_sorted(x) for x in t["a"].to_pylist()], [unpack(x, np.uint32) for x in t["b"].to_pylist()])
         _put(base, f"pairs-{part}", k, _narrow(c))
-        n = words[part]
-        at = (k >> _SHIFT).astype(np.int64) - offset[part]
-        context = np.stack([np.bincount(at, c, n), np.bincount(at[c == 1], minlength=n), np.bincount(at[c == 2], minlength=n),
-                            np.bincount(at[c >= 3], minlength=n)])
-        _put(base, f"context-{part}", _narrow(context.ravel()))
+        first = (k >> _SHIFT).astype(np.int64)
+        head = np.flatnonzero(np.diff(first, prepend=-1))
+        context = np.stack([np.add.reduceat(x.astype(np.int64), head) for x in (c, c == 1, c == 2, c >= 3)])
+        first = first[head]
+        cut = np.searchsorted(first, offset)
+        full = np.flatnonzero(np.diff(cut))
+        contexts = pa.table({"kind": pa.array([CONTEXT] * len(full), pa.int32()), "part": pa.array(full, pa.int32()),
+                             "a": pa.array([pack_sorted(first[cut[i]:cut[i + 1]].astype(np.uint64)) for i in full], pa.binary()),
+                             "b": pa.array([pack(context[:, cut[i]:cut[i + 1]].ravel()) for i in full], pa.binary())})
         second, before = np.unique((k & np.uint64(0xFFFFFFFF)).astype(np.int64), return_counts=True)
         spread = np.searchsorted(offset, second, side="right") - 1
         pieces = _pieces(second.astype(np.uint64), before, spread, parts)
+        befores = pa.table({"kind": pa.array([BEFORE] * len(pieces), pa.int32()), "part": pieces.column(0), "a": pieces.column(1),
+                            "b": pieces.column(2)})
         coc = [int((c == i).sum()) for i in (1, 2, 3, 4)]
-        rows = pa.table({"part": pieces.column(0), "a": pieces.column(1), "b": pieces.column(2)})
-        # part -1 - p carries the counts of part p
-        total = pa.table({"part": pa.array([-1 - part], pa.int32()), "a": pa.array([b""], pa.binary()),
+        total = pa.table({"kind": pa.array([TOTAL], pa.int32()), "part": pa.array([part], pa.int32()), "a": pa.array([b""], pa.binary()),
                           "b": pa.array([np.array([len(k), *coc], np.int64).tobytes()], pa.binary())})
-        return pa.concat_tables([rows, total])
-
-    def before(key: tuple, t: pa.Table) -> pa.Table:
-        part = key[0].as_py()
-        if part < 0:
-            return pa.table({"part": pa.array([part], pa.int32()), "c": t["b"].slice(0, 1).combine_chunks()})
-        k, c = _summed([unpack_sorted(x) for x in t["a"].to_pylist()], [unpack(x, np.uint32) for x in t["b"].to_pylist()])
-        full = np.zeros(words[part], np.int64)
-        full[k.astype(np.int64) - offset[part]] = c
-        _put(base, f"before-{part}", _narrow(full))
-        coc = [int((c == i).sum()) for i in (1, 2, 3, 4)]
-        return pa.table({"part": pa.array([part], pa.int32()),
-                         "c": pa.array([np.array([int(c.sum()), int((c >= 3).sum()), *coc], np.int64).tobytes()], pa.binary())})
-
-    pairs = train.mapInArrow(partial, "part int, a binary, b binary").groupBy("part").applyInArrow(add, "part int, a binary, b binary")
-    got = pairs.groupBy("part").applyInArrow(before, "part int, c binary").collect()
+        return pa.concat_tables([contexts, befores, total])
+
+    def gather(key: tuple, t: pa.Table) -> pa.Table:
+        """One range of words: its context statistics or its continuation counts."""
+        kind, part = key[0].as_py(), key[1].as_py()
+        if kind == TOTAL:
+            return t.select(["kind", "part", "b"]).rename_columns(["kind", "part", "c"])
+        at = [unpack_sorted(x).astype(np.int64) - offset[part] for x in t["a"].to_pylist()]
+        out = b""
+        if kind == CONTEXT:
+            context = np.zeros((4, words[part]), np.int64)
+            for i, x in zip(at, t["b"].to_pylist()):
+                context[:, i] += unpack(x, np.int64).reshape(4, -1)
+            _put(base, f"context-{part}", _narrow(context.ravel()))
+        else:
+            full = np.zeros(words[part], np.int64)
+            for i, x in zip(at, t["b"].to_pylist()):
+                full[i] += unpack(x, np.uint32)
+            _put(base, f"before-{part}", _narrow(full))
+            coc = [int((full == i).sum()) for i in (1, 2, 3, 4)]
+            out = np.array([int(full.sum()), int((full >= 3).sum()), *coc], np.int64).tobytes()
+        return pa.table({"kind": pa.array([kind], pa.int32()), "part": pa.array([part], pa.int32()), "c": pa.array([out], pa.binary())})
+
+    pairs = train.mapInArrow(partial, "part int, a binary, b binary").groupBy("part") \
+        .applyInArrow(add, "kind int, part int, a binary, b binary")
+    got = pairs.groupBy("kind", "part").applyInArrow(gather, "kind int, part int, c binary").collect()
     n, pair_coc, word_coc = [0] * parts, np.zeros(4, np.int64), np.zeros(6, np.int64)
     for r in got:
         v = np.frombuffer(r["c"], np.int64)
-        if r["part"] < 0:
-            n[-1 - r["part"]] = int(v[0])
+        if r["kind"] == TOTAL:
+            n[r["part"]] = int(v[0])
             pair_coc += v[1:]
-        else:
+        elif r["kind"] == BEFORE:
             word_coc += v
     return n, pair_coc, word_coc
 
@@ -363,14 +405,14 @@ def fit(docs: DataFrame, learn: Column, text: str = "text") -> Model:
     for k in range(parts):
         if not words[k]:
             _put(base, f"words-{k}")
-            _put(base, f"pairs-{k}")
             _put(base, f"context-{k}")
             _put(base, f"before-{k}")
-    pairs, pair_coc, word_coc = _count_pairs(train, base, words)
+    hot = HOT
+    pairs, pair_coc, word_coc = _count_pairs(train, base, words, hot)
     pd_, wd = discounts(*map(int, pair_coc)), discounts(*map(int, word_coc[2:]))
     total = int(word_coc[0])
     gamma = (wd[0] * word_coc[2] + wd[1] * word_coc[3] + wd[2] * word_coc[1]) / total if total else 1.0
-    return Model(base, words, pairs, tokens, sum(words), pd_, wd, total, float(gamma))
+    return Model(base, words, pairs, hot, tokens, sum(words), pd_, wd, total, float(gamma))
 
 
 def _discount(c: np.ndarray, d: list[float]) -> np.ndarray:
@@ -383,7 +425,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(rows: pa.RecordBatch, c: T.Chunk) -> dict:
-        store = Store.open(model.base, model.words, model.pairs)
+        store = Store.open(model.base, model.words, model.hot, model.pairs)
         tok, first = _tokens(c)
         u, inv = np.unique(tok, return_inverse=True)
         rank_u, count_u = store.rank(u)
@@ -398,9 +440,10 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         prev[first[:-1]] = inv[first[1:] - 1]
         known = (rank_u[inv] >= 0) & (rank_u[prev] >= 0)
         key = (rank_u[prev].astype(np.uint64) << _SHIFT) | rank_u[inv].astype(np.uint64)
-        seen, back = np.unique(key[known], return_inverse=True)
+        seen, at, back = np.unique(key[known], return_index=True, return_inverse=True)
+        first_count = count_u[prev[known]][at]
         pair = np.zeros(len(tok), np.int64)
-        pair[known] = store.pairs(seen)[back]
+        pair[known] = store.pairs(seen, first_count)[back]
         high = np.maximum(pair - _discount(pair, d), 0) / np.maximum(total_u[prev], 1)
         p = high + gamma_u[prev] * p1_u[inv]
         base = np.log10((count_u + 1) / (model.tokens + 1 * (model.vocab + 1)))

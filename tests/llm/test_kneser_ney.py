@@ -95,6 +95,17 @@ def test_nothing_to_learn_and_empty_table(docs_of):
     assert K.score(empty, K.fit(empty, F.lit(True))).collect() == []
 
 
+def test_pairs_of_a_hot_first_word_are_spread_over_the_ranges(docs_of, monkeypatch):
+    monkeypatch.setattr(K, "BYTES_PER_RANGE", 4000)
+    monkeypatch.setattr(K, "HOT", 100, raising=False)
+    rows = [(i, " ".join(f"the n{40 * i + k}" for k in range(40))) for i in range(100)]
+    model, plain = check(docs_of(rows), rows, lambda _: crc_remainder("doc_id", 7) != 2)
+    after = sum(a == "the" for a, _ in plain.pair)
+    assert len(model.pairs) > 5 and after > 0.4 * len(plain.pair)
+    assert sum(model.pairs) == len(plain.pair)
+    assert max(model.pairs) < 2 * len(plain.pair) / len(model.pairs)
+
+
 def test_discounts_stay_inside_their_counts():
     for n in ((0, 0, 0, 0), (5, 0, 0, 0), (5, 3, 0, 0), (1, 50, 3, 90), (1000, 400, 200, 100)):
         assert all(0 < d < k for k, d in enumerate(K.discounts(*n), 1))
