@@ -62,7 +62,8 @@ def shapes(c: T.Chunk, w: T.Words, h: np.ndarray) -> np.ndarray:
     """A small integer per word: which kinds of byte it has, and repeats."""
     if not len(h):
         return np.zeros(0, np.uint64)
-    kinds = np.bitwise_or.reduceat(_CLASSES[c.buf], np.stack([w.start, np.minimum(w.end, len(c.buf) - 1)], 1).ravel())[::2]
+    padded = np.append(_CLASSES[c.buf], np.uint16(0))  # a word may end with the chunk
+    kinds = np.bitwise_or.reduceat(padded, np.stack([w.start, w.end], 1).ravel())[::2]
     row = w.row
     same = np.zeros(len(h), bool)
     same[1:] = (h[1:] == h[:-1]) & (row[1:] == row[:-1])

@@ -103,3 +103,10 @@ def test_indicators_are_distinct_and_stay_in_their_row():
             alone = Q.indicators(next(T.chunks(T.pa.array([t]))))[1]
             assert sorted(bucket[row == i].tolist()) == sorted(alone.tolist())
     assert set(row.tolist()) == {1, 2, 4}
+
+
+@pytest.mark.parametrize("text", ["the end.", "what!", "x.", "caf\u00e9", "a B9", "."])
+def test_the_last_text_of_a_chunk_has_the_indicators_it_has_elsewhere(text):
+    rows = [text, "between", text]
+    row, bucket = Q.indicators(next(T.chunks(T.pa.array(rows))))
+    assert sorted(bucket[row == 0].tolist()) == sorted(bucket[row == 2].tolist())
