@@ -7,8 +7,9 @@
    entry stands for it in the exchange, so a window that a third of all
    documents share reaches its range once per flush, not once per occurrence.
 3. The repeated windows return to their documents as word ranges.  Documents
-   without any are finished in one pass; only the others are joined (by id and
-   text hash) with their ranges.
+   without any are finished in one pass; only the others are joined (by id and,
+   where an id may be shared, 64-bit text hash) with their ranges.  Equal rows of one id share them, and
+   each flush and range sends a position of theirs once.
 
 Windows are judged on the input.  The sketch plane is the only broadcast; it is
 bounded by ``sketch.MAX_CELLS`` bits a row, and the filter of affected
@@ -99,6 +100,9 @@ def _by_document(doc: np.ndarray, th: np.ndarray, pos: np.ndarray, buckets: int)
     b = _bucket_of(doc, th, buckets)
     order = np.lexsort((pos, th, doc, b))
     b, doc, th, pos = b[order], doc[order], th[order], pos[order]
+    new = np.ones(len(b), bool)  # equal rows of one id give each position once
+    new[1:] = (doc[1:] != doc[:-1]) | (th[1:] != th[:-1]) | (pos[1:] != pos[:-1])
+    b, doc, th, pos = b[new], doc[new], th[new], pos[new]
     cut = np.searchsorted(b, np.arange(buckets + 1))
     return [(1, int(k), pack(doc[cut[k]:cut[k + 1]]), pack(th[cut[k]:cut[k + 1]]), pack(pos[cut[k]:cut[k + 1]]), b"", b"")
             for k in np.flatnonzero(np.diff(cut))]
@@ -111,8 +115,8 @@ def _exact(table: pa.Table, buckets: int) -> list[tuple]:
         x = unpack_sorted(a)
         k = np.unpackbits(np.frombuffer(c, np.uint8), count=len(x)).astype(bool)
         own = len(e) // 4
-        dd, tt, pp = np.zeros(len(x), np.int64), np.zeros(len(x), np.uint32), np.full(len(x), -1, np.int32)
-        dd[~k], tt[~k], pp[~k] = unpack(d[:8 * own], np.int64), unpack(d[8 * own:], np.uint32), unpack(e, np.int32)
+        dd, tt, pp = np.zeros(len(x), np.int64), np.zeros(len(x), np.uint64), np.full(len(x), -1, np.int32)
+        dd[~k], tt[~k], pp[~k] = unpack(d[:8 * own], np.int64), unpack(d[8 * own:], np.uint64), unpack(e, np.int32)
         for lst, v in zip((h1, h2, known, doc, th, pos), (x, unpack(b, np.uint32), k, dd, tt, pp)):
             lst.append(v)
     h1, h2, known, doc, th, pos = (np.concatenate(x) for x in (h1, h2, known, doc, th, pos))
@@ -137,7 +141,7 @@ def _step(key: tuple, table: pa.Table, buckets: int) -> pa.Table:
 def _ranges(table: pa.Table, n: int) -> pa.Table:
     """Word ranges to remove, per document of one bucket."""
     doc = np.concatenate([unpack(x, np.int64) for x in table["a"].to_pylist()])
-    th = np.concatenate([unpack(x, np.uint32) for x in table["b"].to_pylist()])
+    th = np.concatenate([unpack(x, np.uint64) for x in table["b"].to_pylist()])
     pos = np.concatenate([unpack(x, np.int32) for x in table["c"].to_pylist()])
     order = np.lexsort((pos, th, doc))
     doc, th, pos = doc[order], th[order], pos[order]
@@ -150,7 +154,7 @@ def _ranges(table: pa.Table, n: int) -> pa.Table:
     flat = np.stack([pos[first], pos[last] + n], 1).ravel().astype(np.int32)
     head = np.flatnonzero(new_doc)
     off = np.append(np.searchsorted(first, head) * 2, len(flat)).astype(np.int32)
-    return pa.table([pa.array(doc[head]), pa.array(th[head].astype(np.int64)), pa.ListArray.from_arrays(pa.array(off), pa.array(flat))],
+    return pa.table([pa.array(doc[head]), pa.array(th[head].view(np.int64)), pa.ListArray.from_arrays(pa.array(off), pa.array(flat))],
                     names=["doc", "th", "cuts"])
 
 
@@ -166,7 +170,7 @@ def repeated_ranges(rows: DataFrame, plane: Broadcast, cells: int, words: int, d
         size = 0
         for b in batches:
             ids = column(b, "doc").to_numpy(zero_copy_only=False)
-            ths = column(b, "th").to_numpy(zero_copy_only=False).astype(np.uint32)
+            ths = column(b, "th").to_numpy(zero_copy_only=False).view(np.uint64)
             for c in T.chunks(column(b, "text")):
                 w, _, s, h = _windows(c, n)
                 keep = np.flatnonzero(look.level(h)) if len(h) else []
@@ -217,8 +221,12 @@ def remove(docs: DataFrame, carry: list[str] | None = None, n: int = WINDOW, doc
     spark = docs.sparkSession
     carry = docs.columns if carry is None else carry
     rows = pick(docs, row=F.struct(*[docs[c] for c in carry]), doc=F.coalesce(docs[doc_id].cast("long"), F.lit(-1)),
-                text=F.coalesce(docs[text], F.lit(""))).withColumn("th", F.shiftrightunsigned(F.xxhash64("text"), 32))
+                text=F.coalesce(docs[text], F.lit("")))
     stat = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    # only rows that share their id need the text hash beside it; 0 costs no space in the exchanges
+    shared = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc")
+    alone, rest = marked_apart(rows, ["doc"], shared, stat["n"])
+    rows = alone.withColumn("th", F.lit(0).cast("long")).unionByName(rest.withColumn("th", F.xxhash64("text")))
     words = (stat["b"] or 0) // 6
     cells = cells_for(words, CELLS_PER_WORD)
     plane = spark.sparkContext.broadcast(merged(rows, lambda c: _windows(c, n)[3], cells, SKETCH_ROWS))

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from llm_fixtures import docs_of, extra_columns, odd_rows  # noqa: F401
@@ -58,3 +59,15 @@ def test_extra_columns_repeated_ids_and_empty_table(docs_of, odd_rows, extra_col
     got = sorted((r["n_words"], r["n_removed"], r["kept"]) for r in S.remove(docs_of(rows), n=4).collect())
     assert got == sorted([(6, 4, b"e f"), (6, 6, b""), (4, 4, b""), (6, 6, b"")])
     assert S.remove(docs_of([])).collect() == []
+
+
+def test_rows_without_id_whose_text_hashes_share_32_bits(docs_of):
+    rows = [(None, "a b c d e436434"), (None, "p904835 q r904835 s t"), (5, "a b c d z")]
+    got = sorted((r["n_removed"], r["kept"]) for r in S.remove(docs_of(rows), n=4).collect())
+    assert got == [(0, b"p904835 q r904835 s t"), (4, b"e436434"), (4, b"z")]
+
+
+def test_equal_rows_of_one_id_send_a_position_once():
+    doc, th, pos = np.array([7, 7, 7, 8], np.int64), np.array([3, 3, 3, 3], np.uint64), np.array([1, 1, 2, 1], np.int32)
+    rows = S._by_document(doc, th, pos, 1)
+    assert sum(len(S.unpack(r[4], np.int32)) for r in rows) == 3
