@@ -2,7 +2,7 @@
 
 Quality rules, exact dedup, near dedup, source mixing, encoding.  Every stage
 takes all that the one before kept and returns the columns of ``documents``; the
-last returns the ids.  The mixture draws pseudorandom blocks and the last stage
+last returns the ids and whether they decode to the text.  The mixture draws pseudorandom blocks and the last stage
 needs a tokenizer, so no SQL gives the rows; tests hold each stage against a
 brute-force version.
 """
@@ -39,9 +39,12 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and ids of every text."""
-    return bpe.encode(docs, tokenizer_path(), carry=["doc_id", "lang", "source"]) \
-        .withColumn("n_tokens", F.size("ids").cast("long"))
+    """doc_id, lang, source, n_tokens and ids of every text, the digest of the
+    text decoded from the ids, and whether it is that of the text itself."""
+    docs = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    coded = bpe.encode(docs, tokenizer_path(), carry=["doc_id", "lang", "source", "text_sha256"], decoded=True)
+    return coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("decoded_sha256", F.sha2("decoded", 256)) \
+        .withColumn("round_trip", F.col("decoded_sha256") == F.col("text_sha256")).drop("decoded", "text_sha256")
 
 
 STAGES = [

@@ -80,3 +80,8 @@ def test_stages_on_odd_rows_and_an_empty_table(spark, docs_of, odd_rows, extra_c
         for _, stage in P.STAGES:
             docs = P.kept_table(stage(spark, docs, ""), "t")
             docs.count()
+
+
+def test_encoding_stage_decodes_and_compares(spark, docs_of, odd_rows):
+    got = [(r["doc_id"], r["decoded_sha256"], r["round_trip"]) for r in P.encoding_stage(spark, docs_of(odd_rows), "").collect()]
+    assert sorted(got) == sorted((i, hashlib.sha256((t or "").encode()).hexdigest(), True) for i, t in odd_rows)
