@@ -100,10 +100,27 @@ SELECT doc_id, any_value(held_out) AS held_out, count(*) AS n_tokens, count(know
 FROM s GROUP BY doc_id
 """
 
+UNITS = r"regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+')"
+
+OP13 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {UNITS} AS u, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+r AS (SELECT doc_id, t, u, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                       OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+                  WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+x AS (SELECT *, array_to_string(u[1:least(a, b)], '') AS pre, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS mid,
+             array_to_string(u[greatest(a, b) + 1:n], '') AS suf FROM r)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM x
+"""
+
 ORACLE = {
     "op2_substring_dedup": OP2,
     "op4_ngram_jaccard_join": OP4,
     "op5_exact_dedup": OP5,
     "op6_quality_rules": OP6,
     "op10_lm_scoring": OP10,
+    "op13_fill_in_middle": OP13,
 }
