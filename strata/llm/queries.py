@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (bpe, exact_dedup, fim, kneser_ney, lang_id, mixing, ngram_join, quality_model, quality_rules,
+from strata.llm import (align, bpe, exact_dedup, fim, kneser_ney, lang_id, mixing, ngram_join, quality_model, quality_rules,
                         substring_dedup, token_counts)
 from strata.llm.common import crc_remainder, documents
 from strata.llm.oracles import ORACLE
@@ -78,6 +78,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), hashed=True) \
+        .withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fim.transform(documents(spark, sf_dir))
     return t.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -95,5 +100,6 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_token_counts": op9_token_counts,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
