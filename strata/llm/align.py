@@ -3,13 +3,13 @@
 Both token lists of a text spell the same bytes.  The end of every token is a
 key: one dictionary maps the ends of the A tokens to their indexes, one those of
 the B tokens.  The keys that both hold, sorted, slice the two id lists into
-groups; within a group every A token is linked with every B token.
+groups; within a group every A token is linked with every B token.  (Ends are
+small integers, so each dictionary is an array addressed by the end.)
 
 A text is cut before single spaces inside other text.  Neither tokenizer has a
 token across such a place (for B this is checked on its vocabulary; otherwise
 texts stay whole), so what a stretch between two cuts aligns to depends on that
-stretch alone: each worker aligns a stretch once and remembers it in a bounded
-dictionary.
+stretch alone: each worker aligns a stretch once and remembers it, up to a bound.
 
 How often a pair of ids is linked is counted over all documents in three steps:
 
@@ -33,10 +33,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -50,33 +50,37 @@ from strata.llm import bpe
 from strata.llm.common import column, kept_table, pick, python_ready
 
 BLOCK_BYTES = 8 << 20
-CACHE = 1 << 17          # stretches that a worker remembers (about 100 MB)
-SHORT = 64               # characters of a stretch that is worth remembering
+CACHE = 1 << 19          # stretches after which a worker starts anew (some 150 MB)
+WIDE_GROUP = 4096        # links of a group from which they are counted, not listed
+RUN_BYTES = 1 << 22      # text that is aligned at a time
 FLUSH = 1 << 20          # entries that a task gathers before it merges them
 B_BITS = 24              # a pair of ids is a << B_BITS | b
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s|\s\Z")
 _CUT_INSIDE = regex.compile("[^▁]▁")
-_ALIGNERS: dict[tuple[str, str], "Aligner"] = {}
+_ALIGNERS: dict[tuple[str, str, bool], "Aligner"] = {}
 
 
-@dataclass(slots=True)
-class Aligned:
-    """One stretch of text: its counts, groups and linked pairs."""
+class Stretches:
+    """What the stretches seen so far align to, one row each, in columns."""
 
-    n_a: int = 0
-    n_b: int = 0
-    n_groups: int = 0
-    n_links: int = 0
-    groups: str = ""
-    pairs: tuple = ()        # pair, occurrences, pair, occurrences, ...
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.ok = np.zeros(0, bool)                # tokens of both kinds spell it
+        self.totals = np.zeros((0, 4), np.int64)   # n_a, n_b, n_groups, n_links
+        self.groups: list[str] = []
+        self.first = np.zeros(0, np.int64)         # its distinct pairs: the first, how many
+        self.size = np.zeros(0, np.int64)
+        self.pair = np.zeros(0, np.int64)
+        self.times = np.zeros(0, np.int64)         # links of a pair within its stretch
 
 
 class Aligner:
     """Two vocabularies and the stretches seen so far."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, named: bool = True):
         import sentencepiece
+        self.named = named                         # write the groups out
         self.a = bpe.codec(path_a).enc
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         size = self.b.get_piece_size()
@@ -85,8 +89,14 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(size)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.b_len = np.array([len(p) for p in self.b_bytes], np.int64)
         self.splits = not any(_CUT_INSIDE.search(p) for p in pieces)
-        self.seen: dict[str, Aligned | None] = {}
+        self.a_len = np.zeros(self.a.n_vocab, np.int64)
+        for i in self.a._mergeable_ranks.values():
+            self.a_len[i] = len(self.a.decode_single_token_bytes(i))
+        self.name = [str(i) for i in range(max(self.a.n_vocab, size))]
+        self.name_bar = [f"{n}|" for n in self.name]
+        self.seen = Stretches()
 
     def stretches(self, text: str) -> list[str]:
         """Space + text, cut where both tokenizers always split."""
@@ -98,88 +108,148 @@ class Aligner:
         at = [m.start() for m in _CUT.finditer(text)]
         return [text[i:j] for i, j in zip([0, *at], [*at, len(text)])]
 
-    def align(self, stretches: list[str]) -> list[Aligned | None]:
-        """What each stretch aligns to; None where tokens do not spell it."""
-        new = [s for s in stretches if s not in self.seen]
-        if len(self.seen) + len(new) > CACHE:
-            self.seen.clear()
-            new = list(stretches)
-        own = {}
-        for s, b in zip(new, self.b.encode([s[1:] for s in new], num_threads=1) if new else ()):
-            own[s] = self._one(s, b)
-        out = [own[s] if s in own else self.seen[s] for s in stretches]
-        self.seen.update((s, x) for s, x in own.items() if len(s) <= SHORT)
-        return out
-
-    def _one(self, stretch: str, b: list[int]) -> Aligned | None:
-        a = self.a.encode_ordinary(stretch)
-        a_parts, b_parts = [self.a.decode_single_token_bytes(i) for i in a], [self.b_bytes[i] for i in b]
-        if not (b"".join(a_parts) == b"".join(b_parts) == stretch.encode()):
-            return None
-        groups, links = [], Counter()
-        n_links = 0
-        for x, y in slices(a, [len(p) for p in a_parts], b, [len(p) for p in b_parts]):
-            groups.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-            n_links += len(x) * len(y)
-            of_b = Counter(y).items()
-            for i, k in Counter(x).items():
-                for j, m in of_b:
-                    links[i << B_BITS | j] += k * m
-        return Aligned(len(a), len(b), len(groups), n_links, ";".join(groups), tuple(v for p in links.items() for v in p))
-
-
-def slices(a: list[int], a_len: list[int], b: list[int], b_len: list[int]) -> Iterator[tuple[list[int], list[int]]]:
-    """The groups: both id lists, sliced at the ends that they share."""
-    end_a = dict(zip(accumulate(a_len), range(1, len(a) + 1)))
-    end_b = dict(zip(accumulate(b_len), range(1, len(b) + 1)))
-    i = j = 0
-    for end in sorted(end_a.keys() & end_b.keys()):
-        yield a[i:end_a[end]], b[j:end_b[end]]
-        i, j = end_a[end], end_b[end]
-
-
-def aligner(path_a: str, path_b: str) -> Aligner:
-    if (path_a, path_b) not in _ALIGNERS:
-        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-    return _ALIGNERS[path_a, path_b]
+    def learn(self, new: list[str]) -> None:
+        """Align stretches that were not seen yet."""
+        if not new:
+            return
+        plain = [s for s in new if self.splits and not _WIDE.search(s) and s[0] == " " and "▁" not in s]
+        apart = set(new).difference(plain)
+        # stretches that begin and end plainly are split alike when they stand one after the other
+        some = ["".join(plain[i:i + 500])[1:] for i in range(0, len(plain), 500)]
+        self._learn(plain, self.a.encode_ordinary("".join(plain)), [*chain.from_iterable(self.b.encode(some, num_threads=1))] if some else [])
+        for s in new:
+            if s in apart:
+                self._learn([s], self.a.encode_ordinary(s), self.b.encode(s[1:]))
+
+    def _learn(self, new: list[str], a: list[int], b: list[int]) -> None:
+        raw = "".join(new).encode()
+        if b"".join(map(self.b_bytes.__getitem__, b)) != raw or self.a.decode_bytes(a) != raw:
+            if len(new) > 1:  # find those that are not spelled
+                for s in new:
+                    self._learn([s], self.a.encode_ordinary(s), self.b.encode(s[1:]))
+            else:
+                self._add(new, np.zeros(1, bool), np.zeros((1, 4), np.int64), [""], np.zeros(1, np.int64), *[np.zeros(0, np.int64)] * 2)
+            return
+        if not new:
+            return
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        cut = np.cumsum([len(s.encode()) for s in new])
+        ends, a_lo, a_hi, b_lo, b_hi = slices(self.a_len[a], self.b_len[b])
+        of = np.searchsorted(cut, ends)  # the stretch of each group: every cut is a shared end
+        n_a, n_b = a_hi - a_lo, b_hi - b_lo
+        pair, times, owner = self._pairs(a, b, a_lo, b_lo, n_a, n_b, of)
+        per = [np.bincount(of, w, len(new)) for w in (n_a, n_b, np.ones(len(of)), n_a * n_b)]
+        texts = self._names(a, b, a_lo, a_hi, b_lo, b_hi, of, len(new)) if self.named else []
+        self._add(new, np.ones(len(new), bool), np.stack(per, 1).astype(np.int64), texts, np.bincount(owner, minlength=len(new)), pair, times)
+
+    def _names(self, a, b, a_lo, a_hi, b_lo, b_hi, of, n: int) -> list[str]:
+        """The groups of each stretch as text."""
+        name = list(map(add, map(self.name_bar.__getitem__, a[a_lo].tolist()), map(self.name.__getitem__, b[b_lo].tolist())))
+        for g in np.flatnonzero((a_hi - a_lo > 1) | (b_hi - b_lo > 1)).tolist():
+            name[g] = ",".join([self.name[x] for x in a[a_lo[g]:a_hi[g]]]) + "|" + ",".join([self.name[y] for y in b[b_lo[g]:b_hi[g]]])
+        at = np.searchsorted(of, np.arange(n + 1)).tolist()
+        return [";".join(name[i:j]) for i, j in zip(at, at[1:])]
+
+    def _pairs(self, a, b, a_lo, b_lo, n_a, n_b, of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct pairs of each stretch, how often each is linked, the stretch."""
+        n = n_a * n_b
+        small = np.flatnonzero(n <= WIDE_GROUP)
+        m = n[small]
+        step = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+        i, j = np.divmod(step, np.repeat(n_b[small], m))
+        pair = [a[np.repeat(a_lo[small], m) + i] << B_BITS | b[np.repeat(b_lo[small], m) + j]]
+        owner, times = [np.repeat(of[small], m)], [np.ones(len(step), np.int64)]
+        for g in np.flatnonzero(n > WIDE_GROUP):  # few ids, many times: no list of all links
+            x, k = np.unique(a[a_lo[g]:a_lo[g] + n_a[g]], return_counts=True)
+            y, l = np.unique(b[b_lo[g]:b_lo[g] + n_b[g]], return_counts=True)
+            pair.append((x[:, None] << B_BITS | y).ravel())
+            times.append((k[:, None] * l).ravel())
+            owner.append(np.full(len(x) * len(y), of[g]))
+        pair, owner, times = np.concatenate(pair), np.concatenate(owner), np.concatenate(times)
+        order = np.lexsort((pair, owner))
+        pair, owner = pair[order], owner[order]
+        first = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])]) if len(pair) else np.zeros(0, np.int64)
+        return pair[first], np.add.reduceat(times[order], first) if len(pair) else times, owner[first]
+
+    def _add(self, new, ok, totals, groups, size, pair, times) -> None:
+        s = self.seen
+        s.index.update(zip(new, range(len(s.ok), len(s.ok) + len(new))))
+        s.groups += groups
+        first = len(s.pair) + np.cumsum(size) - size
+        s.ok, s.totals, s.first, s.size, s.pair, s.times = (np.concatenate(x) for x in (
+            (s.ok, ok), (s.totals, totals), (s.first, first), (s.size, size), (s.pair, pair), (s.times, times)))
+
+
+def slices(a_len: np.ndarray, b_len: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(ends, a_lo, a_hi, b_lo, b_hi): the shared ends in order, and the ranges of
+    A and B tokens that they cut.
+
+    The two dictionaries from an end to its token's index are addressed by the
+    end itself, so their common keys come out sorted."""
+    size = int(a_len.sum()) + 1
+    index = []
+    for n in (a_len, b_len):
+        d = np.zeros(size, np.int64)
+        d[np.cumsum(n)] = np.arange(1, len(n) + 1)
+        index.append(d)
+    ends = np.flatnonzero((index[0] > 0) & (index[1] > 0))
+    a_hi, b_hi = index[0][ends], index[1][ends]
+    return ends, np.r_[0, a_hi[:-1]], a_hi, np.r_[0, b_hi[:-1]], b_hi
+
+
+def aligner(path_a: str, path_b: str, named: bool) -> Aligner:
+    key = (path_a, path_b, named)
+    if key not in _ALIGNERS:
+        _ALIGNERS[key] = Aligner(*key)
+    return _ALIGNERS[key]
 
 
 @dataclass
 class Texts:
-    """Some aligned texts: totals of each, and their distinct pairs."""
-
-    totals: np.ndarray      # texts x (n_a, n_b, n_groups, n_links)
-    groups: list[str]
-    text: np.ndarray        # a row for each text and distinct pair: text, pair, occurrences
-    pair: np.ndarray
-    links: np.ndarray
-
-
-def align_texts(al: Aligner, texts: list[str | None]) -> Texts:
-    index: dict[str, int] = {}
-    of = [[index.setdefault(s, len(index)) for s in al.stretches(t)] if t else [] for t in texts]
-    found = al.align(list(index))
-    for k, ids in enumerate(of):
-        if any(found[i] is None for i in ids):
-            of[k] = []
-    groups = [";".join([found[i].groups for i in ids]) for ids in of]
-    known = [x or Aligned() for x in found]
-    row = np.repeat(np.arange(len(of)), [len(ids) for ids in of])
-    stretch = np.fromiter((i for ids in of for i in ids), np.int64, len(row))
-    per = np.array([(x.n_a, x.n_b, x.n_groups, x.n_links) for x in known], np.int64).reshape(-1, 4)
-    totals = np.stack([np.bincount(row, per[stretch, k], len(of)) for k in range(4)], 1).astype(np.int64)
-    # each text's distinct stretches, then their pairs, then its distinct pairs
-    key, times = np.unique(row * max(len(known), 1) + stretch, return_counts=True)
-    row, stretch = np.divmod(key, max(len(known), 1))
-    size = np.array([len(x.pairs) // 2 for x in known], np.int64)
-    flat = np.fromiter((v for x in known for v in x.pairs), np.int64, 2 * size.sum())
-    pairs, local = np.unique(flat[::2], return_inverse=True)
-    n = size[stretch]
-    at = np.repeat((np.cumsum(size) - size)[stretch] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    key, back = np.unique(np.repeat(row, n) * max(len(pairs), 1) + local[at], return_inverse=True)
-    links = np.bincount(back, np.repeat(times, n) * flat[1::2][at], len(key)).astype(np.int64)
-    row, local = np.divmod(key, max(len(pairs), 1))
-    return Texts(totals, groups, row, pairs[local] if len(pairs) else local, links)
+    """Some texts as lists of stretches (rows of ``Aligner.seen``)."""
+
+    n: int
+    text: np.ndarray         # the text of each stretch
+    stretch: np.ndarray
+
+    def sums(self, per_stretch: np.ndarray) -> np.ndarray:
+        """The sum of a figure of the stretches over each text."""
+        return np.bincount(self.text, per_stretch[self.stretch], self.n).astype(np.int64)
+
+
+def read_texts(al: Aligner, texts: list[str | None]) -> Texts:
+    """Cut the texts and align what was not seen before; a text with a stretch
+    that its tokens do not spell has no stretches."""
+    if len(al.seen.ok) > CACHE or len(al.seen.pair) > 8 * CACHE:
+        al.seen = Stretches()
+    cut = [al.stretches(t) if t else [] for t in texts]
+    flat = list(chain.from_iterable(cut))
+    al.learn([*set(flat).difference(al.seen.index)])
+    stretch = np.array(list(map(al.seen.index.__getitem__, flat)), np.int64)
+    text = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
+    bad = np.unique(text[~al.seen.ok[stretch]])
+    if len(bad):
+        good = ~np.isin(text, bad)
+        text, stretch = text[good], stretch[good]
+    return Texts(len(cut), text, stretch)
+
+
+def texts_with_pair(al: Aligner, t: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """(pair, number of these texts that hold it)."""
+    seen = al.seen
+    used, stretch = np.unique(t.stretch, return_inverse=True)
+    key = np.unique(t.text * max(len(used), 1) + stretch)   # each text's distinct stretches
+    text, stretch = np.divmod(key, max(len(used), 1))
+    size = seen.size[used]
+    pairs, local = np.unique(seen.pair[_spread(seen.first[used], size)], return_inverse=True)
+    at = _spread((np.cumsum(size) - size)[stretch], size[stretch])
+    key = np.unique(np.repeat(text, size[stretch]) * max(len(pairs), 1) + local[at])
+    return pairs, np.bincount(key % max(len(pairs), 1), minlength=len(pairs)).astype(np.int64)
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (size of them), for all starts in turn."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 def _runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -232,7 +302,7 @@ def block_counts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), block)), pa.array(pair), pa.array(n)], names=["block", "pair", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al = aligner(path_a, path_b)
+        al = aligner(path_a, path_b, False)
         now, found, held = None, [], 0
         for b in batches:
             block = column(b, "block").to_numpy()
@@ -243,10 +313,9 @@ def block_counts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
                         yield rows(now, found)
                     now, found, held = block[lo], [], 0
                 texts = column(b, "text").slice(lo, hi - lo)
-                for i, j in _runs(_lengths(texts), 1 << 20):
-                    pair, n = np.unique(align_texts(al, texts.slice(i, j - i).to_pylist()).pair, return_counts=True)
-                    found.append((pair, n))
-                    held += len(pair)
+                for i, j in _runs(_lengths(texts), RUN_BYTES):
+                    found.append(texts_with_pair(al, read_texts(al, texts.slice(i, j - i).to_pylist())))
+                    held += len(found[-1][0])
                     if held > FLUSH:
                         found = [_merged(found)]
                         held = len(found[0][0])
@@ -279,21 +348,27 @@ def align(docs: DataFrame, path_a: str, path_b: str, carry: list[str] | None = N
     row_type = texts.schema["row"].dataType.simpleString()
 
     def whole(left: pa.Table, right: pa.Table) -> pa.Table:
-        al = aligner(path_a, path_b)
+        al = aligner(path_a, path_b, True)
         pair = right["pair"].to_numpy()
         order = np.argsort(pair)
         pair, count, best = pair[order], right["n_docs"].to_numpy()[order], right["is_best"].to_numpy()[order]
         out = []
-        for i, j in _runs(_lengths(left["text"].combine_chunks()), 1 << 20):
+        for i, j in _runs(_lengths(left["text"].combine_chunks()), RUN_BYTES):
             part = left.slice(i, j - i).combine_chunks()
-            t = align_texts(al, part["text"].to_pylist())
-            at = np.searchsorted(pair, t.pair)
-            sums = [np.bincount(t.text, w, j - i).astype(np.int64) for w in (t.links * best[at], t.links * count[at])] if len(pair) \
-                else [np.zeros(j - i, np.int64)] * 2
+            t, seen = read_texts(al, part["text"].to_pylist()), al.seen
+            used, t.stretch = np.unique(t.stretch, return_inverse=True)
+            size = seen.size[used]
+            links = _spread(seen.first[used], size)
+            at = np.searchsorted(pair, seen.pair[links])
+            owner = np.repeat(np.arange(len(used)), size)
+            cols = [t.sums(seen.totals[used, k]) for k in range(4)]
+            cols += [t.sums(np.bincount(owner, seen.times[links] * w[at], len(used))) for w in (best, count)]
+            names = [seen.groups[k] for k in used.tolist()]
+            ends = np.searchsorted(t.text, np.arange(t.n + 1)).tolist()
+            groups = [";".join([names[k] for k in t.stretch[x:y].tolist()]) for x, y in zip(ends, ends[1:])]
             if hashed:
-                t.groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in t.groups]
-            cols = [*t.totals.T, *sums]
-            out.append(pa.Table.from_arrays([part["row"], *[pa.array(c) for c in cols], pa.array(t.groups, pa.string())],
+                groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+            out.append(pa.Table.from_arrays([part["row"], *[pa.array(c) for c in cols], pa.array(groups, pa.string())],
                                             names=["row", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]))
         return pa.concat_tables(out)
 

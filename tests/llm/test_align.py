@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from llm_fixtures import docs_of, extra_columns, odd_rows  # noqa: F401
@@ -105,10 +106,18 @@ def test_digest_and_empty_table(spark, docs_of):
     assert A.align(docs_of([]), *PATHS).collect() == []
 
 
-def test_memory_of_stretches_is_bounded(libraries, monkeypatch):
+def test_links_of_a_wide_group_are_counted():
+    al = A.Aligner(*PATHS)
+    a, b = np.array([5, 6] * 50 + [7]), np.array([8] * 60 + [9])
+    pair, times, owner = al._pairs(a, b, np.array([0]), np.array([0]), np.array([101]), np.array([61]), np.array([0]))
+    got = {(int(p) >> A.B_BITS, int(p) & ((1 << A.B_BITS) - 1)): int(n) for p, n in zip(pair, times)}
+    assert got == {(x, y): k * m for x, k in ((5, 50), (6, 50), (7, 1)) for y, m in ((8, 60), (9, 1))} and not owner.any()
+
+
+def test_stretches_start_anew_after_the_bound(monkeypatch):
     monkeypatch.setattr(A, "CACHE", 50)
     al = A.Aligner(*PATHS)
-    texts = [" ".join(f"w{i * j}x" for j in range(20)) for i in range(30)]
-    got = A.align_texts(al, texts[:15]).groups + A.align_texts(al, texts[15:]).groups
-    assert len(al.seen) <= 50 or len(al.seen) <= 15 * 20
-    assert got == [r[-1] for r in plainly(libraries, list(enumerate(texts)))]
+    for k in range(5):
+        texts = [" ".join(f"w{i * j + k}x" for j in range(20)) for i in range(15)]
+        A.read_texts(al, texts)
+        assert len(al.seen.ok) <= 50 + 15 * 20  # the bound, then one call's own
