@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (align, bpe, exact_dedup, fim, kneser_ney, lang_id, mixing, ngram_join, quality_model, quality_rules,
-                        substring_dedup, token_counts)
+                        string_kernel, substring_dedup, token_counts)
 from strata.llm.common import crc_remainder, documents
 from strata.llm.oracles import ORACLE
 
@@ -78,6 +78,14 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held = crc_remainder("doc_id", 5) == 0
+    model = string_kernel.fit(docs, documents(spark, sf_dir, "labels"), ~held)
+    return string_kernel.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), hashed=True) \
         .withColumnRenamed("groups", "groups_sha256")
@@ -100,6 +108,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_token_counts": op9_token_counts,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_toxicity": op11_toxicity,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
