@@ -50,7 +50,7 @@ from strata.llm import bpe
 from strata.llm.common import column, kept_table, pick, python_ready
 
 BLOCK_BYTES = 8 << 20
-CACHE = 1 << 19          # stretches after which a worker starts anew (some 150 MB)
+CACHE = 3 << 17          # stretches after which a worker starts anew (some 100 MB)
 WIDE_GROUP = 4096        # links of a group from which they are counted, not listed
 RUN_BYTES = 1 << 22      # text that is aligned at a time
 FLUSH = 1 << 20          # entries that a task gathers before it merges them
@@ -200,6 +200,7 @@ def slices(a_len: np.ndarray, b_len: np.ndarray) -> tuple[np.ndarray, ...]:
 def aligner(path_a: str, path_b: str, named: bool) -> Aligner:
     key = (path_a, path_b, named)
     if key not in _ALIGNERS:
+        _ALIGNERS.clear()  # one set of stretches in a worker
         _ALIGNERS[key] = Aligner(*key)
     return _ALIGNERS[key]
 
