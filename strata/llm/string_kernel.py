@@ -415,7 +415,7 @@ def train(s: Sample, prior: float, landmarks: int = LANDMARKS, rounds: int = 3,
     return Model(weight, b, slope, shift, float(min(top[s.y == 0].min(), -1.0)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = 1500, max_chars: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = 1000, max_chars: int = 20_000) -> Model:
     """Learn from the label rows where ``learn`` (on labels.doc_id) holds."""
     lab = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id", F.lit(17)).alias("h")) \
         .filter(learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
