@@ -1,6 +1,6 @@
 """Mixing sources to target weights by blocks, shards and index permutations.
 
-* Each source's words form one stream (documents in id order), packed into
+* Each source's words form one stream (documents in the order of a hash of their id), packed into
   blocks of ``block`` words; a block is an index, 0 to n - 1.
 * The mixture is a number of output shards of ``slots`` slots.  A seeded
   multinomial draw per shard says how many slots each source gets there.  The
@@ -259,8 +259,11 @@ class Mixture:
             "row_id", F.when(F.col("got") < F.col("size"), F.col("parts")).alias("parts"))
         j = self.docs.join(cut, "row_id")
         ws = F.filter(F.split("text", BLANKS), lambda x: x != "")
-        some = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(ws, p["first"].cast("int") + 1, p["n"].cast("int")))), " ")
-        j = j.withColumn("mixed", F.coalesce(some, F.col("text")))
+        # the words are the element of a one-element array, so the lambda over the parts has them as
+        # a variable; named directly they would be split from the text again for every part
+        some = F.transform(F.array(ws), lambda w: F.array_join(F.flatten(F.transform(
+            "parts", lambda p: F.slice(w, p["first"].cast("int") + 1, p["n"].cast("int")))), " "))[0]
+        j = j.withColumn("mixed", F.when(F.col("parts").isNull(), F.col("text")).otherwise(some))
         names = self.docs.schema["row"].dataType.names
         return j.select(*[F.col("mixed").alias(c) if c == text else F.length("mixed").cast("long").alias(c) if c == length
                           else F.col(f"row.{c}").alias(c) for c in names])

@@ -124,3 +124,20 @@ def test_edge_tables(docs_of, odd_rows, extra_columns):
     assert sorted(r["size"] for r in got) == sorted(len(WORD.findall(t or "")) for _, t in odd_rows)
     out = M.Mixture(extra_columns, texts=True).texts()
     assert out.columns == extra_columns.columns and out.count() > 0
+
+
+def test_long_texts_cost_in_proportion(docs_of):
+    """Twice the words of one document, of which every second block is taken,
+    must not cost four times as much (the text is split once, not per part)."""
+    import time
+    took = []
+    for words in (60_000, 120_000):
+        rows = [(1, " ".join(f"w{i}" for i in range(words)), "en", "a"), (2, " ".join(["x"] * words), "en", "b")]
+        mix = M.Mixture(docs_of(rows, 1), block=50, texts=True)
+        mix.slots = mix.slots.filter("index % 2 = 0").cache()
+        parts = mix.blocks().groupBy("row_id").count().agg({"count": "max"}).first()[0]
+        assert parts > words / 200
+        start = time.perf_counter()
+        mix.texts().write.format("noop").mode("overwrite").save()
+        took.append(time.perf_counter() - start)
+    assert took[1] < 3 * took[0] + 2
