@@ -17,7 +17,12 @@ def orphan_check(source: DataFrame, target: DataFrame, source_key: str, target_k
 
     One row: source, target, orphan_keys, status ('Success' when none).
     """
-    n = missing_keys(source, target, source_key, target_key).agg(F.count(F.lit(1)).alias("orphan_keys"))
+    return orphan_row(missing_keys(source, target, source_key, target_key), source_name, target_name)
+
+
+def orphan_row(missing: DataFrame, source_name: str, target_name: str) -> DataFrame:
+    """The result row of ``orphan_check`` from the distinct missing keys."""
+    n = missing.agg(F.count(F.lit(1)).alias("orphan_keys"))
     return n.select(F.lit(source_name).alias("source"), F.lit(target_name).alias("target"),
                     F.col("orphan_keys"),
                     F.when(F.col("orphan_keys") == 0, F.lit("Success")).otherwise(F.lit("Failed"))

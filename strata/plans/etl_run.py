@@ -7,6 +7,8 @@ star:  stage events -> songplays fact -> dimensions -> non-empty gate
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,8 @@ from pyspark.sql.types import DateType, StructField, StructType
 from .. import schemas as SC
 from ..operators import dq
 from ..operators.joins import having_match
-from ..sinks import incremental_load, load_table, single_file_overwrite, touched_partitions, write_parquet
+from ..session import shared_dir
+from ..sinks import KeyIndex, incremental_load, load_table, single_file_overwrite, touched_partitions, write_parquet
 from ..sources.files import path_exists, stage_json
 from . import star as ST
 from . import toxicity as T
@@ -57,11 +60,17 @@ def _gate(rep: RunReport, raise_on_fail: bool) -> None:
         raise DataQualityError(rep.checks)
 
 
-def _days(chat: DataFrame, matches: DataFrame) -> list:
-    """The run dates of the stored chat of some matches (one value per partition
-    directory; only the narrow key and partition columns are read)."""
-    return [r[0] for r in chat.select("match_id", "run_date")
-            .join(matches.select("match_id").distinct(), "match_id", "left_semi").select("run_date").distinct().collect()]
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """A frame that several jobs of the run read, written once."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _without_chat(index: KeyIndex, matches: DataFrame) -> DataFrame:
+    """Distinct match ids that no chat file holds (a null id never has chat)."""
+    ids = matches.select("match_id").distinct()
+    return index.missing(ids.filter("match_id IS NOT NULL")).unionByName(ids.filter("match_id IS NULL"))
 
 
 def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame, region_raw: DataFrame,
@@ -83,19 +92,28 @@ def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame,
     region but no summary yet (a late match or region).  Other dates are not
     touched.
 
-    What a run reads of older chat: match ids and run dates of all of it, and
-    the text only in the run dates that hold chat of the matches it summarises.
+    What a run reads of older chat and summaries: the bitmaps of their match ids
+    (``KeyIndex``), and of the data files only those that hold a match that the
+    run compares row by row or summarises.
     """
     p = chat_paths(root)
     rep = RunReport(paths=p)
     key = list(chat_key or (CHAT_ROW_KEY if refresh else CHAT_MATCH_KEY))
     chat = T.chat_typed(chat_raw, run_ts).withColumn("run_date", F.to_date("date_processed"))
-    # Chat files are sorted by match within each task, and the stored keys are
-    # read only within the batch's match-id range: row groups of older matches
-    # are skipped by their statistics, so the load does not read the history.
-    rep.loaded["chat_data"] = incremental_load(spark, chat, p["chat"], key, ["run_date"],
-                                               schema=CHAT_STORED, range_by=["match_id"],
-                                               sort_within=["match_id"])
+    # Chat files are sorted by match within each task: few row groups hold a match.
+    index = KeyIndex(spark, p["chat"], "match_id", CHAT_STORED)
+    if path_exists(spark, p["chat"]) and "match_id" in key:
+        index.refresh()
+        if key == ["match_id"]:
+            todo = index.missing(chat)
+        else:
+            known = index.read(chat).select(*key).distinct()
+            todo = chat.join(known, reduce(and_, [chat[k].eqNullSafe(known[k]) for k in key]), "left_anti")
+        rep.loaded["chat_data"] = write_parquet(todo, p["chat"], "append", ["run_date"], ["match_id"])
+    else:
+        rep.loaded["chat_data"] = incremental_load(spark, chat, p["chat"], key, ["run_date"], schema=CHAT_STORED,
+                                                   sort_within=["match_id"])
+    index.refresh()
     rep.loaded["cluster_regions_data"] = single_file_overwrite(T.region_typed(region_raw, run_ts), p["region"])
     rep.loaded["match_data"] = incremental_load(spark, T.match_typed(match_raw, run_ts), p["match"],
                                                 ["match_id"], ["match_date"], schema=SC.MATCH,
@@ -111,28 +129,31 @@ def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame,
     orphans = (dq.orphan_check(new_chat, match_t, "match_id", "match_id", "chat_data", "match_data")
                .unionByName(dq.orphan_check(match_t, region_t, "cluster_id", "cluster_id",
                                             "match_data", "cluster_regions_data"))
-               .unionByName(dq.orphan_check(match_t, chat_t, "match_id", "match_id",
-                                            "match_data", "chat_data")))
+               .unionByName(dq.orphan_row(_without_chat(index, match_t), "match_data", "chat_data")))
     # Both results are a handful of rows (one per table / per check).
     rep.checks = [r.asDict() for r in counts.collect()] + [r.asDict() for r in orphans.collect()]
     _gate(rep, raise_on_fail)
 
-    ready = match_t.join(region_t.select("cluster_id").distinct(), "cluster_id", "left_semi")
-    todo = ready
-    if path_exists(spark, p["summary"]):
-        done = spark.read.schema(SC.MATCH_SUMMARY).parquet(p["summary"]).select("match_id").distinct()
-        todo = ready.join(done, "match_id", "left_anti")
+    ready = match_t.join(region_t.select("cluster_id").distinct(), "cluster_id", "left_semi").select(*match_t.columns)
+    done = KeyIndex(spark, p["summary"], "match_id", SC.MATCH_SUMMARY)
+    done.refresh()
+    todo = done.missing(ready) if path_exists(spark, p["summary"]) else ready
     if refresh:
-        waiting = having_match(todo, chat_t, "match_id").select("match_date")
+        waiting = todo.join(index.hits(todo).select("match_id").distinct(), "match_id", "left_semi").select("match_date")
         touched = having_match(match_t, new_chat, "match_id").select("match_date") \
             .unionByName(match_t.filter(run).select("match_date")).unionByName(waiting).distinct()
         todo = match_t.where(touched_partitions(touched, ["match_date"]))
-    lines = chat_t.filter(F.col("run_date").isin(_days(chat_t, todo)))
+    todo = _stored(todo, "todo")
+    lines = index.read(todo)
     # Reduced to one row per match before it meets the matches: no text is shuffled.
     per_match = T.chat_by_match(lines)
     summary = T.summary_of(per_match, todo, region_t)
-    rep.loaded["match_summary_data"] = incremental_load(spark, summary, p["summary"], ["match_id"], ["match_date"],
-                                                        schema=SC.MATCH_SUMMARY, refresh=refresh)
+    if refresh:
+        n = write_parquet(summary, p["summary"], "overwrite", ["match_date"], replace="partitions")
+    else:
+        n = write_parquet(summary, p["summary"], "append", ["match_date"])
+    rep.loaded["match_summary_data"] = n
+    done.refresh()
     return rep
 
 

@@ -24,16 +24,16 @@ from ..operators.dedup import last_by_key
 ARRIVAL = ("ts", "event_id")
 
 
-def event_rows(events: DataFrame) -> DataFrame:
+def event_rows(events: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
     """The 11 used CSV columns, rows with a non-empty artist (CSV reads '' as null)."""
     keep = events.filter(F.col("artist").isNotNull() & (F.col("artist") != ""))
     cols = ["artist", "firstName", "gender", "itemInSession", "lastName", "length", "level",
-            "location", "sessionId", "song", "userId", *ARRIVAL]
+            "location", "sessionId", "song", "userId", *arrival]
     return keep.select(*[c for c in cols if c in events.columns])
 
 
 def session_items(events: DataFrame, order_by: Sequence[str] = ARRIVAL) -> DataFrame:
-    rows = event_rows(events).select(
+    rows = event_rows(events, order_by).select(
         F.col("sessionId").cast("long").alias("session_id"),
         F.col("itemInSession").cast("int").alias("item_in_session"),
         "artist", "song", F.col("length").cast("float").alias("length"), *order_by)
@@ -41,7 +41,7 @@ def session_items(events: DataFrame, order_by: Sequence[str] = ARRIVAL) -> DataF
 
 
 def user_sessions(events: DataFrame, order_by: Sequence[str] = ARRIVAL) -> DataFrame:
-    rows = event_rows(events).select(
+    rows = event_rows(events, order_by).select(
         F.col("userId").cast("long").alias("user_id"),
         F.col("sessionId").cast("long").alias("session_id"),
         F.col("itemInSession").cast("int").alias("item_in_session"),

@@ -7,13 +7,18 @@ the round trip itself is what the oracle checks.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas as SC
 from .. import session as S
 from .. import sinks as K
 from ..operators import dq
+from ..operators.dedup import first_row_last_columns
 from ..sources import files as FL
+from ..sources import ordered as OR
 from ..sources import views as V
 from ..streaming import stream_incremental_load
 from . import etl_run as R
@@ -21,7 +26,7 @@ from . import lookups as L
 from . import star as ST
 from . import toxicity as T
 from .queries_music import MUSIC_CTES, SESSION_ITEM_KEY_SQL, USER_COLS, _lookup_sql, top_key
-from .registry import DUCK_TYPED, SUMMARY_SQL, register
+from .registry import DUCK_TYPED, ORACLE, SUMMARY_SQL, register
 from ..sources.views import duckdb_with
 
 # Batches split at this instant (both batches together are the whole table).
@@ -534,3 +539,104 @@ def q_csv_reject_count(spark, d):
         .withColumn("first_blood_time", F.when(F.col("radiant_win"), F.lit("12s")).otherwise(F.col("first_blood_time").cast("string")))
     src = _write_csv(text, S.shared_dir(spark, "rejectcsv"))
     return FL.csv_rejects(FL.csv_text(spark, src, SC.MATCH_CSV), SC.MATCH_CSV)
+
+
+# ---- ten runs over a growing history ---------------------------------------
+
+@register("etl_chat_ten_runs", duck(SUMMARY_SQL, "match_t", "chat_t", "region_t"))
+def q_etl_chat_ten_runs(spark, d):
+    """The chat job on ten days, each with a tenth of the matches and the
+    chat of all matches so far; every run finds the loaded matches in the key index
+    and opens no chat file of an older run."""
+    root = S.shared_dir(spark, "chat10")
+    chat, match, region = V.chat_raw(spark, d), V.match_raw(spark, d), V.region_raw(spark, d)
+    tenth = F.pmod("match_id", F.lit(10))
+    for k in range(10):
+        R.run_chat_etl(spark, chat.filter(tenth.isNull() | (tenth <= k)), match.filter(tenth.isNull() | (tenth == k)), region, root,
+                       f"2024-02-{k + 1:02d} 00:00:00")
+    return spark.read.schema(SC.MATCH_SUMMARY).parquet(R.chat_paths(root)["summary"]).select(*SC.MATCH_SUMMARY.fieldNames())
+
+
+# ---- arrival order from files ----------------------------------------------
+
+def _in_order(events):
+    """The events in four files whose order, file then line, is their arrival."""
+    return events.repartitionByRange(4, "ts", "event_id").sortWithinPartitions("ts", "event_id")
+
+
+@register("session_items_file_order", ORACLE["session_item_table"])
+def q_session_items_file_order(spark, d):
+    """Event CSV files read with file and line; the last line of a session
+    item wins."""
+    root = S.shared_dir(spark, "csvorder")
+    cols = [c for c in SC.EVENT_CSV.fieldNames() if c != "event_id"]
+    _in_order(V.staging_events(spark, d)).select(*cols).write.option("header", "true").option("quoteAll", "true").csv(f"{root}/events")
+    schema = StructType([SC.EVENT_CSV[c] for c in cols])
+    return L.session_items(OR.ordered_csv(spark, f"{root}/events", schema, recursive=True, glob="*.csv"), OR.ORDER)
+
+
+@register("users_file_order", ORACLE["upsert_users_batches"])
+def q_users_file_order(spark, d):
+    """Event JSON files read with file and line; a user keeps the names of
+    the first line and the level of the last."""
+    root = S.shared_dir(spark, "jsonorder")
+    _in_order(V.staging_events(spark, d)).drop("event_id").write.json(f"{root}/log_data")
+    schema = StructType([f for f in SC.EVENT_JSON if f.name != "event_id"])
+    events = OR.ordered_json(spark, f"{root}/log_data", schema, recursive=True)
+    rows = ST.plays(events).filter(F.col("userId").isNotNull()).select(
+        F.col("userId").alias("user_id"), F.col("firstName").alias("first_name"), F.col("lastName").alias("last_name"), "gender",
+        "level", *OR.ORDER)
+    return first_row_last_columns(rows, ["user_id"], list(OR.ORDER), ["level"]).drop(*OR.ORDER)
+
+
+# ---- malformed lines, mapped paths -----------------------------------------
+
+BROKEN = "event_id % 97 = 5"      # lines that end in the middle
+NOT_JSON = "event_id % 89 = 7"    # lines that are no JSON at all
+
+
+def _broken_lines(events):
+    lines = events.select("event_id", F.to_json(F.struct(*events.columns)).alias("line"))
+    return lines.select(F.when(F.expr(BROKEN), F.expr("left(line, length(line) - 9)")).when(F.expr(NOT_JSON), F.lit("not json"))
+                        .otherwise(F.col("line")).alias("value"))
+
+
+@register("staged_json_rejects", duck(f"""
+    SELECT count(*) FILTER (WHERE NOT ({BROKEN} OR {NOT_JSON})) AS loaded, count(*) FILTER (WHERE {BROKEN} OR {NOT_JSON}) AS rejected,
+           count(*) FILTER (WHERE {BROKEN} OR {NOT_JSON}) AS kept_lines,
+           count(*) FILTER (WHERE {NOT_JSON} AND NOT {BROKEN}) AS not_json,
+           sum(event_id) FILTER (WHERE NOT ({BROKEN} OR {NOT_JSON})) AS ids FROM staging_events""", "staging_events"))
+def q_staged_json_rejects(spark, d):
+    """A stage of JSON files with cut lines and lines that are no JSON: good
+    lines are loaded, the others kept in the quarantine table with their file."""
+    root = S.shared_dir(spark, "rejects")
+    _broken_lines(V.staging_events(spark, d)).write.text(f"{root}/log_data/2024")
+    rep = FL.stage_json_report(spark, "{root}/log_data/{year}", SC.EVENT_JSON, f"{root}/staging_events", quarantine=f"{root}/bad",
+                               glob="*.txt", root=root, year="2024")
+    bad = spark.read.parquet(f"{root}/bad").agg(
+        F.count(F.when(F.col("file").endswith(".txt") & (F.col("line") >= 1), 1)).alias("kept_lines"),
+        F.count(F.when(F.col(FL.CORRUPT) == "not json", 1)).alias("not_json"))
+    ids = spark.read.schema(SC.EVENT_JSON).parquet(f"{root}/staging_events").agg(F.sum("event_id").alias("ids"))
+    return bad.crossJoin(ids).select(F.lit(rep["loaded"]).cast("long").alias("loaded"), F.lit(rep["rejected"]).cast("long").alias("rejected"),
+                                     "kept_lines", "not_json", "ids")
+
+
+EVENT_PATHS = {"userId": "$.user.id", "firstName": "$.user['first name']", "lastName": "$.user.last", "gender": "$.user.gender",
+               "level": "$.user.level", "sessionId": "$.session[0].id", "itemInSession": "$.session[0].item"}
+
+
+@register("staged_json_mapped", duck(EVENTS_SQL, "staging_events"))
+def q_staged_json_mapped(spark, d):
+    """Nested event JSON staged through a file of paths, one for each column."""
+    root = S.shared_dir(spark, "mapped")
+    ev = V.staging_events(spark, d)
+    nested = ev.select(
+        F.struct(F.col("userId").alias("id"), F.col("firstName").alias("first name"), F.col("lastName").alias("last"), "gender", "level")
+        .alias("user"), F.array(F.struct(F.col("sessionId").alias("id"), F.col("itemInSession").alias("item"))).alias("session"),
+        *[c for c in ev.columns if c not in EVENT_PATHS])
+    nested.write.json(f"{root}/log_data/2024/01")
+    paths = [EVENT_PATHS.get(c, f"$.{c}") for c in SC.EVENT_JSON.fieldNames()]
+    spark.createDataFrame([(json.dumps({"jsonpaths": paths}),)], "value string").coalesce(1).write.text(f"{root}/paths")
+    FL.stage_json(spark, "{root}/log_data/{year}/{month}", SC.EVENT_JSON, f"{root}/staging_events", mapping=f"{root}/paths/*.txt",
+                  root=root, year="2024", month="01")
+    return spark.read.schema(SC.EVENT_JSON).parquet(f"{root}/staging_events")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from .. import session as S
+from ..operators import numbering as N
 from ..sources import views as V
 from . import analytics as A
 from . import lookups as L
@@ -178,10 +181,27 @@ def q_songplays_two_key(spark, d):
     return ST.songplays_lake(_events(spark, d), V.staging_songs(spark, d))
 
 
-@register("songplays_with_id")
+LAKE_FACT_SQL = """
+    SELECT epoch_ms(e.ts) AS start_time, e.userId AS user_id, e.level, s.song_id, s.artist_id,
+           e.sessionId AS session_id, e.location, e.userAgent AS user_agent
+    FROM plays e LEFT JOIN staging_songs s ON s.title = e.song
+      AND CAST(s.duration AS DECIMAL(23,5)) = CAST(e.length AS DECIMAL(23,5))"""
+LAKE_ORDER = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
+
+
+@register("songplays_with_id", duck(f"""
+    SELECT row_number() OVER (ORDER BY {', '.join(c + ' NULLS FIRST' for c in LAKE_ORDER)}) AS songplay_id, *
+    FROM ({LAKE_FACT_SQL})""", "plays", "staging_songs"))
 def q_songplays_with_id(spark, d):
-    """Data-lake fact with a unique (not dense, not stable) row id; rows-only check."""
-    return ST.songplays_lake(_events(spark, d), V.staging_songs(spark, d), with_id=True)
+    """Data-lake fact with dense ids in the declared order, over two loads; the
+    second continues after the largest id of the first."""
+    path = S.shared_dir(spark, "numbered-plays")
+    fact = ST.songplays_lake(_events(spark, d), V.staging_songs(spark, d)).select(*LAKE_ORDER)
+    schema = StructType([StructField("songplay_id", LongType(), True), *fact.schema.fields])
+    cut = F.to_timestamp(F.lit("2024-01-16 00:00:00"))
+    for part in (fact.filter(F.col("start_time") < cut), fact.filter((F.col("start_time") >= cut) | F.col("start_time").isNull())):
+        N.append_numbered(spark, part, path, LAKE_ORDER, "songplay_id", schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 @register("songplays_id_unique", duck(f"""

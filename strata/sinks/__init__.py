@@ -3,10 +3,11 @@ key-based inserts and upserts against an existing table, CSV export, bucketed
 and catalog tables.  Every write reports its row count through an
 ``Observation`` collected during the write job (no second pass)."""
 
+from .key_index import KeyIndex
 from .writes import (append_if_absent, bucketed_table, create_table, drop_table, export_csv_quoted,
                      for_partitioned_write, incremental_load, key_ranges, load_table, replace_table,
                      rows_not_in_target, single_file_overwrite, touched_partitions, upsert_columns, write_parquet)
 
-__all__ = ["append_if_absent", "bucketed_table", "create_table", "drop_table", "export_csv_quoted",
+__all__ = ["KeyIndex", "append_if_absent", "bucketed_table", "create_table", "drop_table", "export_csv_quoted",
            "for_partitioned_write", "incremental_load", "key_ranges", "load_table", "replace_table",
            "rows_not_in_target", "single_file_overwrite", "touched_partitions", "upsert_columns", "write_parquet"]

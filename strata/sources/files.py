@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -94,10 +96,23 @@ def csv_rejects(text: DataFrame, schema: StructType) -> DataFrame:
         F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("bad_fields"))
 
 
+CORRUPT = "corrupt_record"
+
+
 def read_json(spark: SparkSession, path: str | list[str], schema: StructType, *, recursive: bool = False,
-              glob: str | None = "*.json", **options) -> DataFrame:
-    """JSON lines from a path, a glob ("dir/*/*/*.json") or a whole directory tree."""
-    r = spark.read.schema(schema)
+              glob: str | None = "*.json", on_bad: str = "raise", **options) -> DataFrame:
+    """JSON lines from a path, a glob ("dir/*/*/*.json") or a whole directory tree.
+
+    ``on_bad`` says what becomes of a line that is not JSON of the schema's types:
+    "raise" ends the job with an error, "keep" returns it as a row of nulls with
+    its text in a further column ``corrupt_record`` (null for good lines)."""
+    if on_bad not in ("raise", "keep"):
+        raise ValueError(f"unknown policy {on_bad!r}")
+    r = spark.read.option("mode", "FAILFAST")
+    if on_bad == "keep":
+        schema = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+        r = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    r = r.schema(schema)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
         if glob:
@@ -107,18 +122,89 @@ def read_json(spark: SparkSession, path: str | list[str], schema: StructType, *,
     return r.json(path)
 
 
-def stage_json(spark: SparkSession, path_template: str, schema: StructType, target: str,
-               **params) -> int:
+def json_paths(spark: SparkSession, mapping: str) -> list[str]:
+    """The paths of a mapping file: {"jsonpaths": ["$.a", "$['b']['c']", ...]},
+    one for each column of the schema, in order."""
+    [text] = spark.read.text(mapping, wholetext=True).collect()  # one small file
+    paths = json.loads(text["value"])["jsonpaths"]
+    if not all(isinstance(p, str) and p.startswith("$") for p in paths):
+        raise ValueError(f"{mapping}: not a list of JSON paths")
+    return paths
+
+
+def mapped_json(lines: DataFrame, schema: StructType, paths: list[str]) -> DataFrame:
+    """Text lines (column ``value``) as the schema's columns, taken from the given
+    JSON paths (column i is at path i), with ``corrupt_record`` and the frame's
+    other columns.
+
+    A line is parsed once, as a variant; a path that it lacks is a null.  A line
+    that is not JSON, or has a value of another type at a path, is kept as a row
+    of nulls with its text in ``corrupt_record``."""
+    if len(paths) != len(schema.fields):
+        raise ValueError(f"{len(paths)} paths for {len(schema.fields)} columns")
+    other = [c for c in lines.columns if c != "value"]
+    names = [f"c{i}" for i in range(len(paths))]
+    rows = lines.filter(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
+    rows = rows.select(*other, "value", "v", *[F.try_variant_get("v", p, f.dataType.simpleString()).alias(n)
+                                               for p, f, n in zip(paths, schema, names)])
+    # a value is there but is not of the column's type (a JSON null is a null of any type)
+    wrong = F.lit(False)
+    for p, n in zip(paths, names):
+        there = F.try_variant_get("v", p, "variant")
+        wrong = wrong | (F.col(n).isNull() & there.isNotNull() & ~F.coalesce(F.is_variant_null(there), F.lit(False)))
+    bad = F.col("v").isNull() | wrong
+    return rows.select(*[F.when(~bad, F.col(n)).alias(f.name) for n, f in zip(names, schema)],
+                       F.when(bad, F.col("value")).alias(CORRUPT), *other)
+
+
+def stage_json(spark: SparkSession, path_template: str, schema: StructType, target: str, *, mapping: str | None = None,
+               quarantine: str | None = None, glob: str = "*.json", **params) -> int:
     """Bulk stage: truncate ``target`` and load every JSON file under the path
     rendered from ``path_template`` with ``params`` (e.g. the run's date).
-    Columns are matched by name through the schema; epoch-ms times stay longs.
-    Returns the number of rows staged (observed during the write, one job)."""
-    from pyspark.sql import Observation
+    Columns are matched by name through the schema, or by the paths of a
+    ``mapping`` file; epoch-ms times stay longs.  Returns the rows staged
+    (observed during the write, one job).
+
+    A malformed line raises, or with ``quarantine`` is left out and kept there:
+    see ``stage_json_report``."""
+    return stage_json_report(spark, path_template, schema, target, mapping=mapping, quarantine=quarantine, glob=glob,
+                             **params)["loaded"]
+
+
+def stage_json_report(spark: SparkSession, path_template: str, schema: StructType, target: str, *, mapping: str | None = None,
+                      quarantine: str | None = None, glob: str = "*.json", **params) -> dict[str, int]:
+    """``stage_json`` that returns the lines loaded and rejected.
+
+    Both are counted by one Observation while the good lines are written.  The
+    rejected ones go to the table ``quarantine`` (file, line, corrupt_record),
+    which is overwritten; a second scan finds them, run only if there are any."""
+    from .ordered import ordered_lines
     src = path_template.format(**params)
-    df = read_json(spark, src, schema, recursive=True)
+    paths = json_paths(spark, mapping) if mapping else None
+    if paths:
+        text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(src)
+        rows = mapped_json(text, schema, paths)
+        if not quarantine:
+            stop = F.raise_error(F.concat(F.lit("malformed line: "), F.col(CORRUPT))).cast("string")
+            rows = rows.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNotNull(), stop))
+    elif quarantine:
+        rows = read_json(spark, src, schema, recursive=True, glob=glob, on_bad="keep")
+    else:
+        rows = read_json(spark, src, schema, recursive=True, glob=glob).withColumn(CORRUPT, F.lit(None).cast("string"))
     obs = Observation("stage")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-    return int(obs.get["rows"])
+    counted = rows.observe(obs, F.count(F.when(F.col(CORRUPT).isNull(), 1)).alias("loaded"), F.count(CORRUPT).alias("rejected"))
+    counted.filter(F.col(CORRUPT).isNull()).select(*schema.fieldNames()).write.mode("overwrite").parquet(target)
+    report = {k: int(obs.get[k]) for k in ("loaded", "rejected")}
+    if quarantine:
+        bad = spark.createDataFrame([], f"file string, line long, {CORRUPT} string")
+        if report["rejected"]:
+            lines = ordered_lines(spark, src, recursive=True, glob=glob)
+            full = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+            parsed = mapped_json(lines, schema, paths) if paths else lines.filter(F.trim("value") != "").select(
+                "file", "line", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})[CORRUPT].alias(CORRUPT))
+            bad = parsed.filter(F.col(CORRUPT).isNotNull()).select("file", "line", CORRUPT)
+        bad.write.mode("overwrite").parquet(quarantine)
+    return report
 
 
 def preview(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
