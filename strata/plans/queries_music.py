@@ -11,6 +11,7 @@ from ..sources import views as V
 from . import analytics as A
 from . import lookups as L
 from . import star as ST
+from . import user_states as U
 from .registry import register
 from ..sources.views import duckdb_with
 
@@ -361,6 +362,20 @@ def q_monthly_unique_users(spark, d):
     return A.unique_users(_fact(spark, d), *MONTH)
 
 
+@register("monthly_users_from_states", duck(f"""
+    SELECT CAST(date_trunc('month', start_time) AS DATE) AS month, count(DISTINCT user_id) AS unique_users
+    FROM songplays_wh WHERE start_time IS NOT NULL GROUP BY 1 HAVING count(user_id) > 0""", "songplays_wh"))
+def q_monthly_users_from_states(spark, d):
+    """E5/M6: distinct users of every month from daily bitmaps that two loads stored;
+    the fact is not read for the answer."""
+    path = S.shared_dir(spark, "user-states")
+    fact = _fact(spark, d).select("start_time", "user_id")
+    cut = F.to_timestamp(F.lit("2024-01-16 12:00:00"))  # the day of the cut gets states from both loads
+    U.add_days(fact.filter(F.col("start_time") < cut), path)
+    U.add_days(fact.filter(F.col("start_time") >= cut), path)
+    return U.unique_users_by_month(spark, path)
+
+
 @register("top_locations", duck(f"""
     SELECT location, count(*) AS streams FROM songplays_wh WHERE {MONTH_SQL}
     GROUP BY location ORDER BY streams DESC, location ASC NULLS LAST LIMIT 5""", "songplays_wh"))
