@@ -25,6 +25,7 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, Struct
 from ..sources.files import path_exists
 
 _INDEX = "file string, bucket long, bits binary"
+_NO_BUCKET = -1 << 62
 
 
 def bit_at(bits: Column, position: Column) -> Column:
@@ -42,6 +43,8 @@ class KeyIndex:
             raise ValueError(f"{key} is not an integral column")
         self.spark, self.target, self.key, self.schema = spark, target.rstrip("/"), key, schema
         self.path = f"{self.target}/_key_index"
+        self.files: list[str] | None = None   # of the table, as of the last refresh
+        self.stale = False                    # the index names files that are gone
 
     def _files(self) -> list[str]:
         """Data files of the table, relative to it (what any read of it lists)."""
@@ -67,8 +70,10 @@ class KeyIndex:
 
     def refresh(self) -> int:
         """Index the data files that are not indexed yet; returns how many."""
+        self.files = self._files()
         known = {r["file"] for r in self._stored().select("file").distinct().collect()}  # one name per data file
-        new = [f for f in self._files() if f not in known]
+        new = sorted(set(self.files) - known)
+        self.stale = bool(known - set(self.files))
         if not new:
             return 0
         name = self.target.rsplit("/", 1)[-1]
@@ -77,20 +82,22 @@ class KeyIndex:
             F.col(self.key).cast("long").alias("k"))
         index = rows.groupBy("file", F.bitmap_bucket_number("k").alias("bucket")) \
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("k")).alias("bits"))
-        # A file without rows has no bitmap; its name is kept so that it is not looked at again.
-        empty = self.spark.createDataFrame([(f,) for f in new], "file string").join(index, "file", "left_anti") \
-            .select("file", F.lit(-1 << 62).cast("long").alias("bucket"), F.lit(None).cast("binary").alias("bits"))
-        index.unionByName(empty).repartition(1 + len(new) // 64).write.mode("append").parquet(self.path)
+        # Each file also has a row that matches no key, so that one without rows is not looked at again.
+        marks = self.spark.createDataFrame([(f, _NO_BUCKET, None) for f in new], _INDEX)
+        index.unionByName(marks).coalesce(1 + len(new) // 64).write.mode("append").parquet(self.path)
         return len(new)
 
     def hits(self, keys: DataFrame) -> DataFrame:
         """(key, file): the distinct keys that the table holds, and every file
-        that holds them.  Reads no data file."""
+        that holds them, as of the last refresh.  Reads no data file."""
+        if self.files is None:
+            self.refresh()
         k = F.col(self.key).cast("long")
         ids = keys.select(self.key).distinct().select(
             self.key, F.bitmap_bucket_number(k).alias("id_bucket"), F.bitmap_bit_position(k).alias("at"))
-        files = self.spark.createDataFrame([(f,) for f in self._files()], "file string")
-        index = self._stored().join(files, "file", "left_semi")
+        index = self._stored()
+        if self.stale:
+            index = index.join(self.spark.createDataFrame([(f,) for f in self.files], "file string"), "file", "left_semi")
         same = index["bucket"].eqNullSafe(ids["id_bucket"])
         found = ids.join(index, same).filter(F.col("at").isNull() | bit_at(F.col("bits"), F.col("at")))
         return found.select(self.key, "file")
