@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import full_name
 from ..operators.dedup import last_by_key
+from ..sinks import bloom_options, write_parquet
 
 ARRIVAL = ("ts", "event_id")
 
@@ -53,6 +54,15 @@ def song_listeners(events: DataFrame) -> DataFrame:
     return event_rows(events).select("song", full_name("firstName", "lastName").alias("user")).distinct()
 
 
+def store_lookup(table: DataFrame, path: str, by: Sequence[str], values_per_row_group: int = 100_000,
+                 options: dict[str, str] | None = None) -> int:
+    """Store a lookup table with a Bloom filter on each of ``by`` in every row group, so a
+    lookup reads only row groups that may hold its key.  The key may have any number of
+    values: it needs no directories and no sort order.  A filter for 100,000 values takes
+    some 128 KB of a row group; more values only make it let more row groups pass."""
+    return write_parquet(table, path, options={**bloom_options({c: values_per_row_group for c in by}), **(options or {})})
+
+
 def session_item_lookup(table: DataFrame, session_id: int, item_in_session: int) -> DataFrame:
     return table.filter((F.col("session_id") == session_id) & (F.col("item_in_session") == item_in_session)) \
         .select("artist", "song", "length")

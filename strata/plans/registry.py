@@ -264,3 +264,4 @@ def q_run_record_counts(spark, d):
 # Domain A (music plays) and file/sink queries register themselves on import.
 from . import queries_music  # noqa: E402,F401
 from . import queries_io  # noqa: E402,F401
+from . import queries_stored  # noqa: E402,F401

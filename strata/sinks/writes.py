@@ -32,26 +32,40 @@ def for_partitioned_write(df: DataFrame, partition_by: Sequence[str]) -> DataFra
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None,
-                  sort_within: Sequence[str] | None = None, replace: str = "table") -> int:
+                  sort_within: Sequence[str] | None = None, replace: str = "table",
+                  options: dict[str, str] | None = None) -> int:
     """Parquet write (overwrite / append), optionally partitioned; returns rows written.
 
     An overwrite replaces the whole table; with ``replace="partitions"`` only
     the partitions that the rows touch (dynamic mode, for this write alone).
     ``sort_within`` sorts each task's rows before writing, so every file's
     row groups cover narrow ranges of those columns and a range filter on a
-    later read skips them by their min/max statistics."""
+    later read skips them by their min/max statistics.  ``options`` go to the
+    parquet writer (``bloom_options``)."""
     if partition_by:
         df = for_partitioned_write(df, partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     d, obs = _observed(df, "write")
-    w = d.write.mode(mode)
+    w = d.write.mode(mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     w.parquet(path)
     return int(obs.get["rows"])
 
 
+def bloom_options(values_per_row_group: dict[str, int]) -> dict[str, str]:
+    """Writer options for a Bloom filter on each named column, sized for that many
+    distinct values in a row group.  An equality filter on the column then skips row
+    groups (and, of most files, all data) that cannot hold the value, where min/max
+    statistics say nothing because the table is not sorted by it."""
+    out = {}
+    for c, n in values_per_row_group.items():
+        out[f"parquet.bloom.filter.enabled#{c}"] = "true"
+        out[f"parquet.bloom.filter.expected.ndv#{c}"] = str(n)
+    return out
+
+
 SINGLE_FILE_ROWS = 1_000_000
 
 
