@@ -15,6 +15,7 @@ from . import analytics as A
 from . import lookups as L
 from . import star as ST
 from . import stored_fact as SF
+from . import top_states as TS
 from .queries_io import _split
 from .queries_music import MONTH, _artists, _fact, duck, top_key
 from .registry import ORACLE, _hits_sql, register
@@ -126,3 +127,15 @@ def q_benchmark_word_hits(spark, d):
 def q_benchmark_whole_word_hits(spark, d):
     """K1/N15 in whole-word form."""
     return W.listed_word_hits(V.read_table(spark, d, "documents"), ["doc_id"], "text", _benchmark_words(spark, d), "w", mode="word")
+
+
+@register("top_locations_from_states", ORACLE["top_locations"])
+def q_top_locations_from_states(spark, d):
+    """A month's five most played locations from the daily states of two
+    loads; the stored fact is read for those values that the states leave open."""
+    path, schema, _ = _store(spark, d)
+    fact, states = spark.read.schema(schema).parquet(path), S.shared_dir(spark, "top-states")
+    cut = F.to_timestamp(F.lit("2024-01-16 12:00:00"))  # the day of the cut gets states from both loads
+    TS.add_days(fact.filter(F.col("start_time") < cut), states, "location")
+    TS.add_days(fact.filter(F.col("start_time") >= cut), states, "location")
+    return TS.top(spark, states, fact, "location", "day >= DATE '2024-01-01' AND day < DATE '2024-02-01'")
