@@ -69,6 +69,18 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed_bits = 0 AS kept, failed_bits FROM b
 """
 
+ABLATIONS = f"""
+WITH v AS ({OP6}),
+p AS (SELECT * FROM (VALUES ('base', 3), ('v1', 15), ('v2', 127)) AS x(policy, mask)),
+r AS (SELECT * FROM (VALUES ('too_few_words', 1), ('repeated_words', 2), ('many_symbols', 4), ('duplicate_lines', 8),
+      ('short_words', 16), ('long_words', 32), ('few_plain_words', 64)) AS x(rule, one))
+SELECT policy, rule, count(*) FILTER (WHERE failed_bits & one <> 0) AS n_failed,
+       count(*) FILTER (WHERE failed_bits & mask = one) AS n_failed_alone,
+       count(*) FILTER (WHERE failed_bits & mask = 0) AS n_kept,
+       count(*) FILTER (WHERE failed_bits & (mask - one) = 0) AS n_kept_without
+FROM p JOIN r ON mask & one <> 0 LEFT JOIN v ON true GROUP BY policy, rule
+"""
+
 
 def _discounts(table: str, column: str) -> str:
     """(d1, d2, d3) of a table of counts; every count of counts is present here."""
@@ -123,4 +135,5 @@ ORACLE = {
     "op6_quality_rules": OP6,
     "op10_lm_scoring": OP10,
     "op13_fill_in_middle": OP13,
+    "quality_rule_ablations": ABLATIONS,
 }

@@ -3,11 +3,14 @@
 Every rule is evaluated once per document.  The ledger keeps the measurements
 and one integer whose bit ``r`` says that rule ``r`` failed.  A *policy* is a
 versioned set of rules, i.e. a mask: applying one, comparing two, or asking
-what a rule costs never reads a text again; it is bitwise work on the ledger.
+what a rule costs never reads a text again; it is bitwise work on the stored
+ledger.  The pipeline's stage keeps its verdicts and needs the ledger only once,
+so there it is computed beside the rows and not stored.
 
 Defined results: a null or empty text has no words, all measurements 0, and
-fails ``too_few_words``.  Repeated rows give one ledger row each.  Other input
-columns are ignored.
+fails ``too_few_words``.  Repeated rows give one ledger row each, a null id
+stays null, an id that is no whole number raises (it is cast to long).  Other
+input columns are ignored unless carried.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbytes as T
-from strata.llm.common import column, map_chunks, pick
+from strata.llm.common import column, kept_table, map_chunks, pick
 
 LEDGER = ("doc_id long, n_words long, word_chars long, n_symbols long, n_lines long, "
           "n_dup_lines long, n_repeat_words long, n_plain_words long")
@@ -123,13 +126,38 @@ def mask_of(names: list[str]) -> int:
     return sum(1 << RULES.index(n) for n in names)
 
 
-def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: measurements and ``failed_bits``."""
-    m = map_chunks(pick(docs, doc_id=doc_id, text=text), _measure, LEDGER)
+def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """One row per document: measurements and ``failed_bits``.
+
+    ``carry``: columns kept beside the ledger, as the struct ``row``.  They
+    travel with the text (no shuffle), so rows of one id need no join by it.
+    """
+    cols, schema = {"doc_id": docs[doc_id].cast("long"), "text": docs[text]}, LEDGER
+    if carry is not None:
+        cols["row"] = F.struct(*[docs[c] for c in carry])
+    rows = pick(docs, **cols)
+    if carry is not None:
+        schema += f", row {rows.schema['row'].dataType.simpleString()}"
+
+    def measure(b: pa.RecordBatch, c: T.Chunk) -> dict:
+        out = _measure(b, c)
+        return out if carry is None else out | {"row": column(b, "row")}
+
     bits = F.lit(0).cast("long")
     for i, (_, failed) in enumerate(_rules()):
         bits = bits.bitwiseOR(F.when(failed, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
-    return m.withColumn("failed_bits", bits)
+    return map_chunks(rows, measure, schema).withColumn("failed_bits", bits)
+
+
+def stored_ledger(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
+    """The ledger, written once (to ``path``, else a table in the shared folder)
+    and read back: every rule is evaluated in this one pass over the texts, and
+    policies and ablations read the table."""
+    led = ledger(docs, **options)
+    if path is None:
+        return kept_table(led, "quality-ledger")
+    led.write.mode("error").parquet(path)
+    return docs.sparkSession.read.schema(led.schema).parquet(path)
 
 
 def failed_any(policy: str, bits: str = "failed_bits") -> Column:
@@ -163,30 +191,22 @@ def ablation(led: DataFrame, policy: str = CURRENT) -> DataFrame:
     return counts.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
 
 
-def verdicts(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The ledger under a policy, with the base verdict beside it."""
-    led = apply_policy(ledger(docs), policy).withColumn("base_failed", failed_any("base"))
+def verdicts(led: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """A ledger under a policy, with the base verdict beside it."""
+    led = apply_policy(led, policy).withColumn("base_failed", failed_any("base"))
     return led.withColumn("kept", F.col("kept") & ~F.col("base_failed"))
 
 
-def keep_clean(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The documents a policy keeps, with all their columns, in one pass.
-
-    The ledger is computed beside the row (a zero-shuffle map), so no join by id
-    is needed and repeated ids are judged row by row.
-    """
-    cols = docs.columns
-    packed = docs.select(F.struct(*[docs[c] for c in cols]).alias("row"), docs["text"].alias("text"))
-    row_type = packed.schema["row"].dataType.simpleString()
-    m = map_chunks(packed, _measure_rows, f"row {row_type}, " + LEDGER.split(", ", 1)[1])
-    bits = F.lit(0).cast("long")
-    for i, (_, failed) in enumerate(_rules()):
-        bits = bits.bitwiseOR(F.when(failed, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
-    return m.withColumn("failed_bits", bits).filter(~failed_any(policy) & ~failed_any("base")).select("row.*")
+def ablations(led: DataFrame) -> DataFrame:
+    """The ablation of every policy, one row per policy and rule."""
+    out = None
+    for p in POLICIES:
+        one = ablation(led, p).select(F.lit(p).alias("policy"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-def _measure_rows(rows: pa.RecordBatch, c: T.Chunk) -> dict:
-    named = pa.RecordBatch.from_arrays([column(rows, "row")], names=["doc_id"])
-    out = _measure(named, c)
-    out["row"] = out.pop("doc_id")
-    return out
+def keep_clean(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """The documents a policy keeps, with all their columns, in one pass: the
+    ledger is computed beside the row."""
+    return verdicts(ledger(docs, carry=docs.columns), policy).filter("kept").select("row.*")

@@ -45,11 +45,15 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = quality_rules.verdicts(documents(spark, sf_dir))
+    v = quality_rules.verdicts(quality_rules.stored_ledger(documents(spark, sf_dir)))
     return v.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                     "kept", "failed_bits")
 
 
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.ablations(quality_rules.stored_ledger(documents(spark, sf_dir)))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = bpe.encode(documents(spark, sf_dir), tokenizer_path(), decoded=True)
     return e.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -111,4 +115,5 @@ QUERIES = {
     "op11_toxicity": op11_toxicity,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_fill_in_middle": op13_fill_in_middle,
+    "quality_rule_ablations": quality_rule_ablations,
 }

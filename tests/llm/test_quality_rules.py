@@ -29,7 +29,7 @@ def test_measurements_equal_a_per_text_version(docs_of, odd_rows, extra_columns)
 
 def test_bits_verdicts_and_policies(docs_of, odd_rows):
     led = Q.ledger(docs_of(odd_rows)).cache()
-    for r in Q.verdicts(docs_of(odd_rows)).collect():
+    for r in Q.verdicts(led).collect():
         base = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
         assert r["base_failed"] == base
         assert r["kept"] == (r["failed_bits"] == 0)
@@ -49,12 +49,30 @@ def test_bits_verdicts_and_policies(docs_of, odd_rows):
 
 
 def test_keep_clean_returns_the_kept_rows_with_all_columns(extra_columns, odd_rows):
-    kept = sorted(r["doc_id"] for r in Q.verdicts(extra_columns).filter("kept").collect())
+    kept = sorted(r["doc_id"] for r in Q.verdicts(Q.ledger(extra_columns)).filter("kept").collect())
     out = Q.keep_clean(extra_columns)
     assert out.columns == extra_columns.columns
     assert sorted(r["doc_id"] for r in out.collect()) == kept and kept
 
 
+def test_policies_read_the_stored_ledger_and_no_text(docs_of, odd_rows, tmp_path, monkeypatch):
+    led = Q.stored_ledger(docs_of(odd_rows), str(tmp_path / "ledger"))
+    want = sorted((p, *r) for p in Q.POLICIES for r in Q.ablation(Q.ledger(docs_of(odd_rows)), p).collect())
+    monkeypatch.setattr(Q, "_measure", None)  # nothing is measured again
+    for df in (Q.verdicts(led, "v1"), Q.ablations(led)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in plan and "text" not in plan
+    assert sorted(tuple(r) for r in Q.ablations(led).collect()) == want
+
+
+def test_null_ids_are_judged_row_by_row(docs_of):
+    good = " ".join(f"word{i}" for i in range(60))
+    docs = docs_of([(None, good), (None, "too short"), (None, None), (3, good)])
+    got = sorted((r["doc_id"] or 0, r["n_words"], r["kept"]) for r in Q.verdicts(Q.ledger(docs)).collect())
+    assert got == [(0, 0, False), (0, 2, False), (0, 60, True), (3, 60, True)]
+    assert sorted(r["doc_id"] or 0 for r in Q.keep_clean(docs).collect()) == [0, 3]
+
+
 def test_empty_table(docs_of):
     empty = docs_of([])
     assert Q.ledger(empty).collect() == [] and Q.keep_clean(empty).collect() == []
