@@ -541,6 +541,53 @@ def q_csv_reject_count(spark, d):
     return FL.csv_rejects(FL.csv_text(spark, src, SC.MATCH_CSV), SC.MATCH_CSV)
 
 
+_DRIFTED = """
+    SELECT * EXCLUDE (duration, first_blood_time, negative_votes), negative_votes AS neg_votes,
+           CASE WHEN cluster >= 25 THEN 'n/a' ELSE CAST(duration AS VARCHAR) END AS duration,
+           CASE WHEN radiant_win THEN CAST(first_blood_time AS VARCHAR) || '.5' ELSE CAST(first_blood_time AS VARCHAR) END AS first_blood_time
+    FROM match_raw"""
+
+
+def _drifted(spark, d) -> str:
+    """The match CSV as a later export might be: the duration of matches without a
+    region is 'n/a', the first blood of won matches a fraction, one column renamed."""
+    m = V.match_raw(spark, d).withColumnRenamed("negative_votes", "neg_votes")
+    first = F.col("first_blood_time").cast("string")
+    return _write_csv(m.withColumn("duration", F.when(F.col("cluster") >= 25, "n/a").otherwise(F.col("duration").cast("string")))
+                      .withColumn("first_blood_time", F.when(F.col("radiant_win"), F.concat(first, F.lit(".5"))).otherwise(first)),
+                      S.shared_dir(spark, "driftcsv"))
+
+
+@register("csv_schema_drift", duck(f"""
+    , csv AS ({_DRIFTED}),
+    fields AS (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM csv) ON COLUMNS(*) INTO NAME column_name VALUE v),
+    seen AS (SELECT column_name, count(*) AS filled,
+               count(*) FILTER (WHERE regexp_full_match(v, '-?[0-9]+')) AS whole,
+               count(*) FILTER (WHERE regexp_full_match(v, '-?[0-9]+') AND TRY_CAST(v AS BIGINT) BETWEEN -2147483648 AND 2147483647) AS small,
+               count(*) FILTER (WHERE TRY_CAST(v AS DOUBLE) IS NOT NULL) AS num, count(*) FILTER (WHERE v IN ('true', 'false')) AS bool
+             FROM fields GROUP BY column_name),
+    declared AS (SELECT * FROM (VALUES {", ".join(f"('{f.name}', '{f.dataType.simpleString()}')" for f in SC.MATCH_CSV)}) AS x(column_name, declared)),
+    both_sides AS (SELECT coalesce(s.column_name, c.column_name) AS column_name, declared, filled,
+               CASE WHEN small = filled THEN 'int' WHEN whole = filled THEN 'bigint' WHEN num = filled THEN 'double'
+                    WHEN bool = filled THEN 'boolean' WHEN filled > 0 THEN 'string' END AS inferred,
+               CASE WHEN filled IS NOT NULL THEN CASE declared WHEN 'int' THEN filled - small WHEN 'bigint' THEN filled - whole
+                    WHEN 'boolean' THEN filled - bool END END AS misfits
+             FROM seen s FULL JOIN declared c ON s.column_name = c.column_name)
+    SELECT *, CASE WHEN filled IS NULL THEN 'missing' WHEN declared IS NULL THEN 'extra'
+                   WHEN misfits > 0 THEN 'misfits' ELSE 'fits' END AS status FROM both_sides""", "match_raw"))
+def q_csv_schema_drift(spark, d):
+    """A1: types that a CSV's fields show against the declared ones, with the fields that do not fit."""
+    return FL.schema_drift(spark, _drifted(spark, d), SC.MATCH_CSV)
+
+
+@register("csv_inferred_load", duck(f"""
+    SELECT match_id, neg_votes, CAST(first_blood_time AS DOUBLE) AS first_blood_time, duration, radiant_win FROM ({_DRIFTED})""", "match_raw"))
+def q_csv_inferred_load(spark, d):
+    """A1: the same CSV read under the schema its fields show."""
+    return FL.read_csv_inferred(spark, _drifted(spark, d)) \
+        .select("match_id", "neg_votes", F.col("first_blood_time").cast("double").alias("first_blood_time"), "duration", "radiant_win")
+
+
 # ---- ten runs over a growing history ---------------------------------------
 
 @register("etl_chat_ten_runs", duck(SUMMARY_SQL, "match_t", "chat_t", "region_t"))

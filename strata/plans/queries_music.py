@@ -119,6 +119,20 @@ def q_users_first_last_level(spark, d):
     return ST.users_dim(_events(spark, d), "first_last_level")
 
 
+@register("users_all_pages", duck("""
+    SELECT f.user_id, f.first_name, f.last_name, f.gender, l.level
+    FROM (SELECT userId AS user_id, firstName AS first_name, lastName AS last_name, gender,
+                 row_number() OVER (PARTITION BY userId ORDER BY ts, event_id) AS rn
+          FROM staging_events WHERE userId IS NOT NULL AND userId <> 0) f
+    JOIN (SELECT userId AS user_id, level,
+                 row_number() OVER (PARTITION BY userId ORDER BY ts DESC, event_id DESC) AS rn
+          FROM staging_events WHERE userId IS NOT NULL AND userId <> 0) l
+      ON f.user_id = l.user_id AND f.rn = 1 AND l.rn = 1""", "staging_events"))
+def q_users_all_pages(spark, d):
+    """Users of every page's events, ids that are null, empty or zero skipped."""
+    return ST.users_dim(_events(spark, d), "first_last_level", pages="all")
+
+
 TIME_PARTS_SQL = "hour(t) AS hour, day(t) AS day, weekofyear(t) AS week, month(t) AS month, year(t) AS year"
 
 

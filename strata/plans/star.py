@@ -16,8 +16,9 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.keys import md5_key
 from ..functions.timeparts import epoch_ms_to_ts, epoch_ms_to_ts_seconds, time_parts
@@ -58,9 +59,19 @@ def artists_dim(songs: DataFrame, policy: str = "distinct", order_col: str = "so
     raise ValueError(f"unknown artists policy {policy!r}")
 
 
+def _truthy(events: DataFrame, c: str) -> Column:
+    """Neither null nor empty nor zero."""
+    empty = "" if isinstance(events.schema[c].dataType, StringType) else 0
+    return F.col(c).isNotNull() & (F.col(c) != F.lit(empty))
+
+
 def users_dim(events: DataFrame, policy: str = "distinct",
-              order_by: Sequence[str] = ("ts", "event_id")) -> DataFrame:
-    p = plays(events)
+              order_by: Sequence[str] = ("ts", "event_id"), pages: str = "plays") -> DataFrame:
+    """``pages``: "plays" takes users from song plays; "all" from the events of
+    every page, without those whose id is null, empty or zero (under any policy)."""
+    if pages not in ("plays", "all"):
+        raise ValueError(f"unknown pages {pages!r}")
+    p = plays(events) if pages == "plays" else events.filter(_truthy(events, "userId"))
     cols = [F.col("userId").alias("user_id"), F.col("firstName").alias("first_name"),
             F.col("lastName").alias("last_name"), F.col("gender"), F.col("level")]
     if policy == "none":

@@ -1,4 +1,4 @@
-"""File scans under explicit schemas (no inference pass over the data)."""
+"""File scans under explicit schemas; type inference and drift reports are separate reads."""
 
 from __future__ import annotations
 
@@ -96,6 +96,68 @@ def csv_rejects(text: DataFrame, schema: StructType) -> DataFrame:
         F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("bad_fields"))
 
 
+#: Types a text column can be found to hold, the narrowest first.
+INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
+
+
+def _is(c: Column, kind: str) -> Column:
+    """Whether a filled field is of a type, as type inference of CSV files counts it."""
+    if kind == "boolean":
+        return F.lower(c).isin("true", "false")
+    fits = c.try_cast(kind).isNotNull()
+    return fits & c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$") if kind == "date" else fits
+
+
+def _headed_text(spark: SparkSession, path: str | list[str], recursive: bool, glob: str | None, options: dict) -> DataFrame:
+    """Every column of headed CSV files as text; files of another header raise."""
+    return _csv_reader(spark, True, recursive, glob, {"enforceSchema": "false", **options}).csv(path)
+
+
+def inferred_types(text: DataFrame, declared: StructType = StructType([])) -> DataFrame:
+    """One row per column of text: column_name, filled (fields that are not blank),
+    inferred, the narrowest type every filled field has ("string" if none, null
+    without a filled field), and misfits, the filled fields that are not of the
+    column's declared type (null for a column not declared).
+
+    One aggregate over the rows; only counts are shuffled."""
+    types = {f.name: f for f in declared}
+    aggs = []
+    for name in text.columns:
+        v = F.trim(F.col(f"`{name}`"))
+        v = F.when(v != "", v)
+        filled = F.count(v)
+        kind = F.when(filled == 0, F.lit(None).cast("string"))
+        for k in INFERRED:
+            kind = kind.when(F.count(F.when(_is(v, k), 1)) == filled, F.lit(k))
+        misfits = F.count(F.when(v.isNotNull() & _typed(types[name]).isNull(), 1)) if name in types else F.lit(None).cast("long")
+        aggs.append(F.struct(F.lit(name).alias("column_name"), filled.alias("filled"), kind.otherwise(F.lit("string")).alias("inferred"),
+                             misfits.alias("misfits")))
+    return text.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
+
+
+def read_csv_inferred(spark: SparkSession, path: str | list[str], *, recursive: bool = False, glob: str | None = None,
+                      **options) -> DataFrame:
+    """Headed CSV under the schema its fields show (two scans: types, then rows).
+    A column without a filled field stays text."""
+    text = _headed_text(spark, path, recursive, glob, options)
+    types = {r["column_name"]: r["inferred"] or "string" for r in inferred_types(text).collect()}  # one row a column
+    return text.select(*[F.when(F.trim(F.col(f"`{c}`")) != "", F.trim(F.col(f"`{c}`"))).cast(types[c]).alias(c)
+                         if types[c] != "string" else F.col(f"`{c}`") for c in text.columns])
+
+
+def schema_drift(spark: SparkSession, path: str | list[str], schema: StructType, *, recursive: bool = False,
+                 glob: str | None = None, **options) -> DataFrame:
+    """One row per column that headed CSV files or a declared schema name:
+    column_name, declared, inferred (types), filled, misfits (filled fields that
+    are not of the declared type) and status: "fits", "misfits", "missing" (only
+    declared) or "extra" (only in the files).  One pass over the files."""
+    found = inferred_types(_headed_text(spark, path, recursive, glob, options), schema)
+    names = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "column_name string, declared string")
+    status = F.when(F.col("filled").isNull(), "missing").when(F.col("declared").isNull(), "extra") \
+        .when(F.col("misfits") > 0, "misfits").otherwise("fits")
+    return found.join(names, "column_name", "full").select("column_name", "declared", "inferred", "filled", "misfits", status.alias("status"))
+
+
 CORRUPT = "corrupt_record"
 
 

@@ -2,6 +2,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from strata import schemas as SC
@@ -159,6 +160,23 @@ def test_csv_bad_fields_are_counted_and_follow_the_policy(spark, tmp_path):
         FL.read_csv(spark, src, REGION_CSV, on_bad="ignore")
 
 
+def test_inferred_types_and_drift(spark, tmp_path):
+    src = _csv(tmp_path, "drift.csv", "cluster,a,b,c,d,e,f,odd.name", "1,3000000000,1.5,2024-01-02,2024-01-02 03:04:05,true,,x",
+               "2,1,2,2024-1-3,2024-01-02,FALSE,,y", " ,-4,x,,,,,1")
+    types = {r["column_name"]: (r["filled"], r["inferred"]) for r in FL.inferred_types(spark.read.option("header", True).csv(src)).collect()}
+    assert types == {"cluster": (2, "int"), "a": (3, "bigint"), "b": (3, "string"), "c": (2, "date"), "d": (2, "timestamp"),
+                     "e": (2, "boolean"), "f": (0, None), "odd.name": (3, "string")}
+    df = FL.read_csv_inferred(spark, src)
+    assert [f.dataType.simpleString() for f in df.schema] == ["int", "bigint", "string", "date", "timestamp", "boolean", "string", "string"]
+    assert [(r["cluster"], r["a"], r["e"]) for r in df.collect()] == [(1, 3000000000, True), (2, 1, False), (None, -4, None)]
+    drift = {r["column_name"]: tuple(r)[1:] for r in FL.schema_drift(spark, src, StructType.fromDDL("cluster int, a int, region string")).collect()}
+    assert drift["cluster"] == ("int", "int", 2, 0, "fits")
+    assert drift["a"] == ("int", "bigint", 3, 1, "misfits")
+    assert drift["region"] == ("string", None, None, None, "missing")
+    assert drift["b"] == (None, "string", 3, None, "extra")
+    assert len(drift) == 9
+
+
 def test_csv_without_header_is_read_by_position(spark, tmp_path):
     src = _csv(tmp_path, "a.csv", "1,EU", "2,US")
     assert rows(FL.read_csv(spark, src, REGION_CSV, header=False)) == [(1, "EU"), (2, "US")]

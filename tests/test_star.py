@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
 from strata.plans import lookups as L
 from strata.plans import star as ST
 from conftest import rows
@@ -85,3 +88,17 @@ def test_lookup_tables_last_write_wins(spark):
     assert rows(L.song_listener_lookup(L.song_listeners(dup), "Song1")) == [("Ann Lee",), ("Anne Lee",)]
     # the empty-artist row never reaches the tables
     assert L.event_rows(ev).filter("artist = ''").count() == 0
+
+
+def test_users_of_all_pages_skip_falsy_ids(spark):
+    ev = _events(spark).unionByName(spark.createDataFrame([
+        (7, None, "Di", "F", 0, "Po", None, "free", "NY", "Login", 13, None, T0 + 1, "ua", 9),
+        (8, None, "No", "F", 0, "One", None, "free", "NY", "Login", 14, None, T0 + 2, "ua", 0)], EV_SCHEMA))
+    got = rows(ST.users_dim(ev, "first_last_level", pages="all"))
+    assert got == [(7, "Ann", "Lee", "F", "paid"), (8, "Bo", "Ng", "M", "paid"), (9, "Di", "Po", "F", "free")]
+    text = ev.withColumn("userId", F.coalesce(F.col("userId").cast("string"), F.lit("")))
+    assert [r[0] for r in rows(ST.users_dim(text, "first_last_level", pages="all"))] == ["0", "7", "8", "9"]
+    assert ST.users_dim(ev, "none", pages="all").count() == 6
+    assert ST.users_dim(ev.limit(0), "distinct", pages="all").count() == 0
+    with pytest.raises(ValueError):
+        ST.users_dim(ev, pages="some")
