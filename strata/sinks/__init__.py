@@ -7,10 +7,10 @@ from .compaction import compact, file_sizes
 from .key_index import KeyIndex
 from .keyed_table import KeyedTable
 from .writes import (append_if_absent, bloom_options, bucketed_table, create_table, drop_table, export_csv_quoted,
-                     for_partitioned_write, incremental_load, key_ranges, load_table, replace_table,
+                     for_partitioned_write, incremental_load, key_ranges, load_table, replace_table, replace_values,
                      rows_not_in_target, single_file_overwrite, touched_partitions, upsert_columns, write_parquet)
 
 __all__ = ["KeyIndex", "KeyedTable", "append_if_absent", "bloom_options", "bucketed_table", "compact", "create_table",
            "drop_table", "export_csv_quoted", "file_sizes", "for_partitioned_write", "incremental_load",
-           "key_ranges", "load_table", "replace_table", "rows_not_in_target", "single_file_overwrite",
+           "key_ranges", "load_table", "replace_table", "replace_values", "rows_not_in_target", "single_file_overwrite",
            "touched_partitions", "upsert_columns", "write_parquet"]

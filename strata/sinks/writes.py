@@ -190,6 +190,21 @@ def rows_not_in_target(spark: SparkSession, new: DataFrame, target: str, keys: S
     return new.join(existing, _key_match(new, existing, keys, null_safe), "left_anti")
 
 
+def replace_values(spark: SparkSession, new: DataFrame, target: str, column: str, partition_by: Sequence[str], *,
+                   schema: StructType, sort_within: Sequence[str] | None = None) -> int:
+    """Overwrite the rows of those values of ``column`` that ``new`` holds; rows of
+    other values stay.  For tables whose partitions hold many values: what a dynamic
+    overwrite does where each value is a partition.  ``new`` is evaluated several
+    times (a stored frame); returns its rows."""
+    if not path_exists(spark, target):
+        return write_parquet(new, target, "overwrite", partition_by, sort_within, replace="partitions")
+    old = spark.read.schema(schema).parquet(target).where(touched_partitions(new, partition_by))
+    values = new.select(F.col(column).alias("__value")).distinct()
+    kept = old.join(values, old[column].eqNullSafe(values["__value"]), "left_anti")
+    write_parquet(new.unionByName(kept.select(*new.columns)), target, "overwrite", partition_by, sort_within, replace="partitions")
+    return new.count()
+
+
 def append_if_absent(spark: SparkSession, new: DataFrame, target: str, keys: Sequence[str],
                      order_by: Sequence[str], partition_by: Sequence[str] | None = None,
                      schema: StructType | None = None, drop_order: bool = True,

@@ -65,6 +65,27 @@ def test_late_lines_change_a_summary_only_with_refresh(spark, tmp_path):
         assert summary(spark, root) == {1: want}
 
 
+@pytest.mark.parametrize("refresh", [False, True])
+def test_a_run_writes_few_files_however_many_dates_it_has(spark, tmp_path, refresh):
+    root, ids = str(tmp_path), range(1, 201)  # a match a day
+    lines = chat(spark, *[(i, "gg ez", 1, "a") for i in ids])
+    for run in RUNS[:2]:
+        R.run_chat_etl(spark, lines, match(spark, *ids), region(spark, 1), root, run, refresh=refresh)
+    assert summary(spark, root) == {i: (True, 1, "R1") for i in ids}
+    for table in ("match", "summary"):
+        assert len(spark.read.parquet(R.chat_paths(root)[table]).inputFiles()) < 20
+
+
+def test_a_refresh_keeps_the_rows_of_other_dates(spark, tmp_path):
+    root = str(tmp_path)
+    R.run_chat_etl(spark, chat(spark, (1, "hello", 1, "a"), (2, "hello", 1, "a")), match(spark, 1, 2), region(spark, 1), root, RUNS[0],
+                   refresh=True)
+    renamed = spark.createDataFrame([(1, "new")], "cluster int, region string")
+    rep = R.run_chat_etl(spark, chat(spark, (2, "noob", 2, "b")), match(spark, 1, 2), renamed, root, RUNS[1], refresh=True)
+    assert rep.loaded["match_summary_data"] == 1
+    assert summary(spark, root) == {1: (False, 1, "R1"), 2: (True, 1, "new")}
+
+
 def test_the_gate_ends_a_run_before_its_summary(spark, tmp_path):
     root = str(tmp_path)
     with pytest.raises(R.DataQualityError):
