@@ -66,7 +66,7 @@ def _gate(rep: RunReport, raise_on_fail: bool) -> None:
         raise DataQualityError(rep.checks)
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str) -> DataFrame:
     """A frame that several jobs of the run read, written once."""
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
@@ -149,17 +149,17 @@ def run_chat_etl(spark: SparkSession, chat_raw: DataFrame, match_raw: DataFrame,
     todo = done.missing(ready) if path_exists(spark, p["summary"]) else ready
     if refresh:
         waiting = todo.join(index.hits(todo).select("match_id").distinct(), "match_id", "left_semi").select("match_date")
-        dates = _stored(having_match(match_t, new_chat, "match_id").select("match_date")
+        dates = stored(having_match(match_t, new_chat, "match_id").select("match_date")
                         .unionByName(match_t.filter(run).select("match_date")).unionByName(waiting).distinct(), "dates")
         todo = match_t.where(touched_partitions(_by_year(dates), ["match_year"]))
         todo = todo.join(dates, todo["match_date"].eqNullSafe(dates["match_date"]), "left_semi")
-    todo = _stored(todo, "todo")
+    todo = stored(todo, "todo")
     lines = index.read(todo)
     # Reduced to one row per match before it meets the matches: no text is shuffled.
     per_match = T.chat_by_match(lines)
     summary = _by_year(T.summary_of(per_match, todo, region_t))
     if refresh:
-        n = replace_values(spark, _stored(summary, "summary"), p["summary"], "match_date", ["match_year"],
+        n = replace_values(spark, stored(summary, "summary"), p["summary"], "match_date", ["match_year"],
                            schema=SUMMARY_STORED, sort_within=MATCH_ORDER)
     else:
         n = write_parquet(summary, p["summary"], "append", ["match_year"], MATCH_ORDER)
@@ -197,9 +197,10 @@ def run_star_etl(spark: SparkSession, log_template: str, songs: DataFrame, root:
     The gate fails on an empty table."""
     p = star_paths(root)
     rep = RunReport(paths=p)
+    songs = stored(songs, "song-rows")  # the fact and two dimensions read them
     rep.loaded["staging_events"] = stage_json(spark, log_template, SC.EVENT_JSON, p["staging_events"], **params)
     events = spark.read.schema(SC.EVENT_JSON).parquet(p["staging_events"])
-    plays = ST.songplays_warehouse(events, songs)
+    plays = stored(ST.songplays_warehouse(events, songs), "plays")
     if append_fact:
         rep.loaded["songplays"] = load_table(plays, p["songplays"], append=True)
     else:

@@ -476,8 +476,9 @@ def q_etl_star_two_months(spark, d):
     """The star job over two stages of the log and once more over the second;
     fact and users equal one run over everything."""
     root = S.shared_dir(spark, "startwo")
-    songs = V.staging_songs(spark, d)
-    for month, part in zip(("01", "02"), _split(V.staging_events(spark, d))):
+    songs = R.stored(V.staging_songs(spark, d), "song-files")
+    events = R.stored(V.staging_events(spark, d), "events")
+    for month, part in zip(("01", "02"), _split(events)):
         part.write.mode("overwrite").json(f"{root}/log_data/2024/{month}")
     for month in ("01", "02", "02"):
         R.run_star_etl(spark, "{base}/log_data/{year}/{month}", songs, root, base=root, year="2024", month=month)
@@ -664,8 +665,9 @@ def q_staged_json_rejects(spark, d):
         F.count(F.when(F.col("file").endswith(".txt") & (F.col("line") >= 1), 1)).alias("kept_lines"),
         F.count(F.when(F.col(FL.CORRUPT) == "not json", 1)).alias("not_json"))
     ids = spark.read.schema(SC.EVENT_JSON).parquet(f"{root}/staging_events").agg(F.sum("event_id").alias("ids"))
-    return bad.crossJoin(ids).select(F.lit(rep["loaded"]).cast("long").alias("loaded"), F.lit(rep["rejected"]).cast("long").alias("rejected"),
-                                     "kept_lines", "not_json", "ids")
+    both = bad.unionByName(ids, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("kept_lines", "not_json", "ids")])
+    return both.select(F.lit(rep["loaded"]).cast("long").alias("loaded"), F.lit(rep["rejected"]).cast("long").alias("rejected"),
+                       "kept_lines", "not_json", "ids")
 
 
 EVENT_PATHS = {"userId": "$.user.id", "firstName": "$.user['first name']", "lastName": "$.user.last", "gender": "$.user.gender",

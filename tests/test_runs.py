@@ -125,3 +125,21 @@ def test_star_job_keeps_users_and_repeats_cleanly(spark, tmp_path):
     assert rows(spark.read.parquet(p["songplays"]), "user_id", "song_id") == [(1, "S1"), (2, "S1")]
     R.run_star_etl(spark, "{base}/log/{month}", songs, root, append_fact=True, base=str(tmp_path), month="02")
     assert spark.read.parquet(p["songplays"]).count() == 3
+
+
+def test_star_job_reads_its_songs_once(spark, tmp_path, monkeypatch):
+    d = tmp_path / "log" / "01"
+    d.mkdir(parents=True)
+    (d / "a.json").write_text(json.dumps({"event_id": 1, "userId": 1, "sessionId": 1, "page": "NextSong", "song": "T", "artist": "A", "length": 1.5,
+                                          "level": "free", "ts": 1541106106000}) + "\n")
+    read = spark.sparkContext.accumulator(0)
+    columns = ("num_songs int, artist_id string, artist_name string, artist_latitude double, artist_longitude double, "
+               "artist_location string, song_id string, title string, duration double, year int")
+
+    def song(_):
+        read.add(1)
+        return (1, "AR1", "A", None, None, "x", "S1", "T", 1.5, 2000)
+
+    songs = spark.createDataFrame(spark.sparkContext.parallelize([0], 1).map(song), columns)
+    R.run_star_etl(spark, "{base}/log/{month}", songs, str(tmp_path / "out"), base=str(tmp_path), month="01")
+    assert read.value == 1
