@@ -5,7 +5,10 @@ list of a few dozen.  Here the text is passed over once, whatever the list holds
 
 * substrings of a list of up to ``PATTERN_BYTES``, which is measured: one pattern that
   branches on one character after the other gives the longest listed word at every place of a
-  text; the listed words that a found word starts with are found with it (a small table);
+  text; the listed words that a found word starts with are found with it (a small table).
+  Where every listed word is a run of letters and digits, it can only lie within such a run of
+  a text, so each distinct run of a text is passed over once.  Rows are dealt out evenly before,
+  however few row groups hold them;
 * substrings of a longer list: the text is cut into short pieces that overlap by the
   longest word; every place of a piece yields an anchor (its next 4 characters, and its next
   2 and 1 where the list has such short words), anchors meet the words that start
@@ -49,6 +52,16 @@ def longest_word_pattern(words: Iterable[str]) -> str:
             node = node.setdefault(ch, {})
         node[""] = {}
 
+    def heads(chars: Iterable[str]) -> str:
+        return f"(?=[{''.join(re.escape(ch) for ch in chars)}])"
+
+    def choice(ways: list[tuple[str, str]]) -> str:
+        """Alternatives by their first characters, halved so that a place tests few."""
+        if len(ways) <= 3:
+            return "|".join(way for _, way in ways)
+        parts = ways[:len(ways) // 2], ways[len(ways) // 2:]
+        return "|".join(f"{heads(ch for ch, _ in part)}(?:{choice(part)})" for part in parts)
+
     def branch(node: dict) -> str:
         ways = []
         for ch in sorted(c for c in node if c):
@@ -56,12 +69,12 @@ def longest_word_pattern(words: Iterable[str]) -> str:
             while len(below) == 1 and "" not in below:  # a run without branches
                 (nxt, below), = below.items()
                 tail += re.escape(nxt)
-            ways.append(tail + branch(below))
+            ways.append((ch, tail + branch(below)))
         if not ways:
             return ""
-        return f"(?:{'|'.join(ways)})" + ("?" if "" in node else "")
+        return f"(?:{choice(ways)})" + ("?" if "" in node else "")
 
-    return f"(?=({branch(root)}))"
+    return f"{heads(sorted(root))}(?=({branch(root)}))"
 
 
 def starts_within(words: Sequence[str]) -> list[tuple[str, str]]:
@@ -107,7 +120,8 @@ def listed_words(texts: DataFrame, keys: Sequence[str], text: str, words: DataFr
     listed = _word_table(words, word, ignore_case)
     size = F.length("__word")
     shape = listed.agg(F.max(size).alias("longest"), F.collect_set(_anchor_length(size)).alias("anchors"),
-                       F.coalesce(F.sum(F.octet_length("__word") + 32), F.lit(0)).alias("bytes")).first()
+                       F.coalesce(F.sum(F.octet_length("__word") + 32), F.lit(0)).alias("bytes"),
+                       F.coalesce(F.bool_and(F.regexp_replace("__word", TOKEN, "") == ""), F.lit(False)).alias("runs")).first()
 
     def beside(table: DataFrame) -> DataFrame:
         return F.broadcast(table) if shape["bytes"] <= BROADCAST_BYTES else table.hint("merge")
@@ -124,6 +138,9 @@ def listed_words(texts: DataFrame, keys: Sequence[str], text: str, words: DataFr
         elif shape["bytes"] <= PATTERN_BYTES:
             known = sorted(r[0] for r in listed.collect())
             starts = src.sparkSession.createDataFrame(starts_within(known), "__longest string, __word string")
+            if shape["runs"]:
+                src = src.withColumn("__text", F.array_join(F.array_distinct(F.regexp_extract_all("__text", F.lit(TOKEN), F.lit(0))), " "))
+            src = src.repartition(4 * src.sparkSession.sparkContext.defaultParallelism)
             places = F.regexp_extract_all("__text", F.lit(longest_word_pattern(known)), F.lit(1))
             found = src.select(*key, F.explode(F.array_distinct(places)).alias("__longest")) \
                 .join(F.broadcast(starts), "__longest").select(*key, "__word")

@@ -90,3 +90,13 @@ def test_a_listed_word_that_is_no_single_word_raises_in_word_mode(spark):
         W.listed_word_hits(texts(spark, ["x y"]), ["id"], "t", listed(spark, ["x y"]), "w", mode="word").collect()
     with pytest.raises(ValueError):
         W.listed_word_hits(texts(spark, ["x"]), ["id"], "t", listed(spark, ["x"]), "w", mode="other")
+
+
+def test_listed_runs_in_repeated_words_of_one_partition(spark):
+    words = ["ab", "b", "bc", "1a", "é", "ß1", "x y"]
+    ts = ["abc abc, abc-abc", "a b c", "1ab\n1ab é", "aß1é", "", None, "x y xy"]
+    for listed_words in (words[:-1], words):  # the last one is no run of letters and digits
+        one = texts(spark, ts).coalesce(1)
+        got = W.listed_word_hits(one, ["id"], "t", listed(spark, listed_words), "w")
+        assert rows(got) == [(i, sum(w in (t or "g") for w in listed_words)) for i, t in enumerate(ts)]
+        assert "RoundRobinPartitioning" in got._jdf.queryExecution().toString()
