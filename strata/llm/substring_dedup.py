@@ -1,8 +1,10 @@
 """Removal of repeated passages: every window of ``n`` words that starts twice.
 
-1. Every partition sketches its windows (count-min); the merged sketch never
-   understates a count, so a window it calls single is single.
-2. Only windows estimated repeated are grouped exactly, by a 96-bit hash, in
+1. Of every window the run of ``GRAM`` words with the smallest hash is its anchor
+   (the leftmost of equal ones).  Equal windows have equal anchors at different
+   places, so a window whose anchor stands at one place only is single.
+   Neighbours share anchors: there are some 0.1 a word.  Spark counts them.
+2. Only windows whose anchor repeats are grouped exactly, by a 96-bit hash, in
    hash ranges.  A window repeated inside one task's flush is decided there: one
    entry stands for it in the exchange, so a window that a third of all
    documents share reaches its range once per flush, not once per occurrence.
@@ -11,10 +13,10 @@
    where an id may be shared, 64-bit text hash) with their ranges.  Equal rows of one id share them, and
    each flush and range sends a position of theirs once.
 
-Windows are judged on the input.  The sketch plane is the only broadcast; it is
-bounded by ``sketch.MAX_CELLS`` bits a row, and the filter of affected
-documents by 32 MB.  Past these bounds more windows and documents take the exact
-path; nothing is lost.
+Windows are judged on the input.  What is broadcast: a filter of the repeated
+anchors (a plane of at most ``sketch.MAX_CELLS`` bits a row, sized by these anchors
+and not by the text) and one of the affected documents (32 MB).  Past these bounds
+more windows and documents take the exact path; nothing is lost.
 
 Defined results: a null or empty text has no words and keeps the empty text;
 texts shorter than n words lose nothing; repeated rows are separate documents,
@@ -32,24 +34,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbytes as T
-from strata.llm.common import column, kept_table, map_chunks, marked_apart, pick
-from strata.llm.sketch import Plane, cells_for, merged, pack, pack_sorted, unpack, unpack_sorted
+from strata.llm.common import column, kept_table, map_chunks, marked_apart, pick, python_ready
+from strata.llm.sketch import Plane, cells_for, pack, pack_sorted, plane_of, unpack, unpack_sorted
 
 WINDOW = 35
-SKETCH_ROWS = 2
-CELLS_PER_WORD = 2.5      # per sketch row
+GRAM = 16                 # words of an anchor, at most the window
+PLANE_ROWS = 2
+CELLS_PER_ANCHOR = 8      # per plane row and repeated anchor
 PER_RANGE = 1 << 20       # windows per exact-grouping range, about
 PER_BUCKET = 1 << 13      # documents per bucket of returned ranges, about
 FLUSH = 1 << 20
 _SEED = np.uint64(0xA24BAED4963EE407)
 
 
-def _windows(c: T.Chunk, n: int) -> tuple[T.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, word hashes, window starts, window hashes)."""
-    w = T.words(c)
-    h = T.word_hashes(c, w)
-    s = T.window_starts(w, n)
-    return w, h, s, T.window_hashes(h, n)[s] if len(s) else np.zeros(0, np.uint64)
+def _leftmost_smallest(g: np.ndarray, m: int) -> np.ndarray:
+    """Position of the smallest of every m consecutive values (the leftmost of equal ones)."""
+    def smaller(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(g[b] < g[a], b, a)
+
+    at, width = np.arange(len(g)), 1
+    while 2 * width <= m:
+        at, width = smaller(at[:-width], at[width:]), 2 * width
+    return smaller(at[:len(at) - (m - width)], at[m - width:]) if m > width else at
+
+
+def _anchors(h: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(anchor hashes, how many consecutive windows each serves), one per place."""
+    k = min(n, GRAM)
+    g = T.window_hashes(h, k)
+    at = _leftmost_smallest(g, n - k + 1)[starts]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return g[at[first]], np.diff(np.append(first, len(at)))
+
+
+def repeated_anchors(rows: DataFrame, n: int = WINDOW) -> DataFrame:
+    """Column ``h``: the anchors that stand at more than one place of all texts."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c in T.chunks(b.column(0)):
+                w = T.words(c)
+                s = T.window_starts(w, n)
+                if len(s):
+                    a, _ = _anchors(T.word_hashes(c, w), s, n)
+                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64))], names=["h"])
+
+    python_ready(rows.sparkSession)
+    places = rows.select("text").mapInArrow(found, "h long")
+    return places.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
 
 
 def _second(c: T.Chunk, w: T.Words, n: int, starts: np.ndarray) -> np.ndarray:
@@ -165,18 +196,24 @@ def repeated_ranges(rows: DataFrame, plane: Broadcast, cells: int, words: int, d
     buckets = max(1, -(-docs // PER_BUCKET))
 
     def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = Plane(plane.value, cells, SKETCH_ROWS)
+        look = Plane(plane.value, cells, PLANE_ROWS)
         held: list[tuple] = []
         size = 0
         for b in batches:
             ids = column(b, "doc").to_numpy(zero_copy_only=False)
             ths = column(b, "th").to_numpy(zero_copy_only=False).view(np.uint64)
             for c in T.chunks(column(b, "text")):
-                w, _, s, h = _windows(c, n)
-                keep = np.flatnonzero(look.level(h)) if len(h) else []
+                w = T.words(c)
+                s = T.window_starts(w, n)
+                if not len(s):
+                    continue
+                h = T.word_hashes(c, w)
+                a, serves = _anchors(h, s, n)
+                keep = np.flatnonzero(np.repeat(look.level(a), serves))
                 if not len(keep):
                     continue
-                s, h = s[keep], h[keep]
+                s = s[keep]
+                h = T.window_hashes(h, n)[s]
                 row = w.row[s]
                 held.append((h, _second(c, w, n, s), ids[c.lo + row], ths[c.lo + row], (s - w.first[row]).astype(np.int32)))
                 size += len(keep)
@@ -223,18 +260,20 @@ def remove(docs: DataFrame, carry: list[str] | None = None, n: int = WINDOW, doc
     rows = pick(docs, row=F.struct(*[docs[c] for c in carry]), doc=F.coalesce(docs[doc_id].cast("long"), F.lit(-1)),
                 text=F.coalesce(docs[text], F.lit("")))
     stat = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    repeated = kept_table(repeated_anchors(rows, n), "anchors")
+    cells = cells_for(repeated.count(), CELLS_PER_ANCHOR)
+    plane = spark.sparkContext.broadcast(plane_of(repeated, cells, PLANE_ROWS))
     # only rows that share their id need the text hash beside it; 0 costs no space in the exchanges
     shared = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc")
     alone, rest = marked_apart(rows, ["doc"], shared, stat["n"])
     rows = alone.withColumn("th", F.lit(0).cast("long")).unionByName(rest.withColumn("th", F.xxhash64("text")))
     words = (stat["b"] or 0) // 6
-    cells = cells_for(words, CELLS_PER_WORD)
-    plane = spark.sparkContext.broadcast(merged(rows, lambda c: _windows(c, n)[3], cells, SKETCH_ROWS))
     cuts = kept_table(repeated_ranges(rows, plane, cells, words, stat["n"], n), "passages")
     plane.unpersist()
 
     row_type = rows.schema["row"].dataType.simpleString()
     out = f"row {row_type}, n_words long, n_removed long, kept binary"
     clean, others = marked_apart(rows, ["doc", "th"], cuts, stat["n"])
-    rest = others.join(cuts, ["doc", "th"], "left").select("row", "text", "cuts")
+    # merge: the ranges grow with the input and are not to pass through the driver
+    rest = others.join(cuts.hint("merge"), ["doc", "th"], "left").select("row", "text", "cuts")
     return map_chunks(clean, _finish, out).unionByName(map_chunks(rest, _finish, out))

@@ -71,3 +71,28 @@ def test_equal_rows_of_one_id_send_a_position_once():
     doc, th, pos = np.array([7, 7, 7, 8], np.int64), np.array([3, 3, 3, 3], np.uint64), np.array([1, 1, 2, 1], np.int32)
     rows = S._by_document(doc, th, pos, 1)
     assert sum(len(S.unpack(r[4], np.int32)) for r in rows) == 3
+
+
+def test_windows_without_a_repeated_anchor_stay_out_of_the_exchange(docs_of, monkeypatch):
+    def none_expected(held, ranges, buckets):
+        raise AssertionError("a single window was sent to be grouped")
+
+    monkeypatch.setattr(S, "_flush", none_expected)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(1000))) for i in range(40)]
+    assert run(docs_of(rows), 35) == brute(rows, 35)
+
+
+@pytest.mark.parametrize("n", [1, 5, 16, 17, 35])
+def test_a_window_keeps_its_anchor_wherever_it_stands(n):
+    rng = np.random.default_rng(n)
+    h = rng.integers(0, 4, 300).astype(np.uint64)  # few values: many ties
+    h = np.concatenate([h, rng.integers(0, 1 << 60, 50).astype(np.uint64), h])
+    anchors, serves = S._anchors(h, np.arange(len(h) - n + 1), n)
+    of = np.repeat(anchors, serves)
+    assert serves.sum() == len(h) - n + 1
+    assert (of[:300 - n + 1] == of[350:]).all()
+    k = min(n, S.GRAM)
+    g = S.T.window_hashes(h, k)
+    assert [int(x) for x in of] == [int(g[i:i + n - k + 1].min()) for i in range(len(of))]
+    count = Counter(int(x) for x in anchors)
+    assert all(count[int(x)] > 1 for x in of[350:])
