@@ -288,3 +288,18 @@ def test_pruned_load_is_exact_with_null_partitions(spark, tmp_path):
     new = old.unionByName(spark.range(100, 110).select(F.col("id").alias("k"), F.lit(None).cast("long").alias("p")))
     want = list(range(100, 110))
     assert sorted(r.k for r in K.rows_not_in_target(spark, new, path, ["k"], prune_by=["p"]).collect()) == want
+
+
+def test_listing_many_directories_takes_one_task_a_core(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(60).withColumn("k", F.col("id")).coalesce(1).write.partitionBy("k").parquet(path)
+    S.configure(spark)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        df = spark.read.schema("id long, k long").parquet(path)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and sum(s.numTasks for s in stages) <= spark.sparkContext.defaultParallelism
+    assert df.filter("id = k").count() == 60
